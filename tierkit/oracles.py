@@ -168,4 +168,5 @@ FROM facts f LEFT JOIN ref r ON f.country = r.country AND f.postal_code = r.post
 FROM lineitem""",
     "bronze_to_silver": SILVER_LATEST,
     "silver_to_gold": _gold_over(SILVER_LATEST),
+    "stream_bronze_to_silver": SILVER_LATEST,
 }

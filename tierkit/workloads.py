@@ -458,6 +458,14 @@ def q_silver_to_gold(spark, sf_dir):
     return read_table(spark, gcfg.gold_path)
 
 
+def q_stream_bronze_to_silver(spark, sf_dir):
+    from tierkit.streaming.incremental import stream_bronze_to_silver
+
+    cfg = _silver_cfg(spark, _land_venues(spark, sf_dir))
+    stream_bronze_to_silver(spark, cfg, checkpoint=scratch_path(spark, "silver-stream-ckpt"))
+    return read_table(spark, cfg.silver_path, text_partitions=("country",))
+
+
 WORKLOADS = {
     "scan_json_snapshots": q_scan_json_snapshots,
     "land_json_partitioned": q_land_json_partitioned,
@@ -495,4 +503,5 @@ WORKLOADS = {
     "cluster_layout": q_cluster_layout,
     "bronze_to_silver": q_bronze_to_silver,
     "silver_to_gold": q_silver_to_gold,
+    "stream_bronze_to_silver": q_stream_bronze_to_silver,
 }
