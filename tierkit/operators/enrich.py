@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierkit.session import scratch_root
+
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
@@ -41,6 +43,14 @@ def enrich_left(df: DataFrame, ref: DataFrame, keys, attrs,
     if clash:
         raise ValueError(f"attribute columns already on the facts: {sorted(clash)}")
     uref = unique_reference(ref, keys, attrs)
+    if strategy in ("auto", "shuffle"):
+        # Materialise the deduplicated reference once (reliable checkpoint in
+        # the shared spark.checkpoint.dir): the size check then counts stored
+        # rows instead of re-running the dedup, and in the shuffle join both
+        # inputs are plain shuffle stages - the shape AQE needs to split a
+        # skewed fact partition.
+        scratch_root(df.sparkSession)
+        uref = uref.checkpoint(eager=True)
     if strategy == "auto":
         n = uref.count()  # size check on the (small) reference side only
         strategy = "broadcast" if n <= max_broadcast_rows else "shuffle"
