@@ -167,3 +167,24 @@ def test_cluster_layout_sorted_files(spark, tmpdir_path):
     ranges = back.groupBy(F.spark_partition_id().alias("pid")).agg(
         F.min("a").alias("lo"), F.max("a").alias("hi")).collect()
     assert len(ranges) >= 2
+
+
+def test_literal_rows_and_pandas(spark):
+    from tierkit.sources.tables import literal_rows
+
+    df = literal_rows(spark, [(1, "John Doe", 21), (2, "Jane Doe", 22), (3, "Joe Bloggs", 23)],
+                      ["id", "name", "age"])
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["bigint", "string", "bigint"]
+    assert df.toPandas()["age"].tolist() == [21, 22, 23]
+
+
+def test_audit_columns_fixed_and_aware(spark):
+    from datetime import datetime, timezone
+
+    from tierkit.operators.aggregate import audit_columns
+
+    df = spark.range(2)
+    a = audit_columns(df, datetime(2025, 1, 1)).select("created_at", "updated_at").distinct()
+    assert a.count() == 1
+    r = audit_columns(df, datetime(2025, 1, 1, tzinfo=timezone.utc)).first()
+    assert r.created_at == r.updated_at

@@ -31,7 +31,11 @@ def audit_columns(df: DataFrame, as_of: datetime | Column | None = None,
     elif isinstance(as_of, Column):
         ts = as_of
     else:
-        ts = F.lit(as_of).cast("timestamp")
+        # as text: a naive time is read as wall time of the *session* zone (a
+        # datetime literal would go through the Python process's zone); an
+        # aware one keeps its offset
+        text = as_of.isoformat(sep=" ") if as_of.tzinfo else as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
+        ts = F.lit(text).cast("timestamp")
     return df.withColumn(created, ts).withColumn(updated, ts)
 
 
