@@ -188,3 +188,27 @@ def test_audit_columns_fixed_and_aware(spark):
     assert a.count() == 1
     r = audit_columns(df, datetime(2025, 1, 1, tzinfo=timezone.utc)).first()
     assert r.created_at == r.updated_at
+
+
+def test_zorder_layout_narrows_both_columns(spark, tmpdir_path):
+    from tierkit.sinks.layout import cluster_layout
+
+    df = spark.range(40_000).select((F.col("id") % 200).alias("a"),
+                                    (F.col("id") / 200).cast("int").cast("string").alias("b"), "id")
+    lin, z = os.path.join(tmpdir_path, "lin"), os.path.join(tmpdir_path, "z")
+    cluster_layout(df, lin, ["a", "b"], num_files=16)
+    cluster_layout(df, z, ["a", "b"], num_files=16, mode="zorder")
+
+    def spans(p):
+        back = spark.read.parquet(p)
+        assert back.count() == 40_000
+        r = back.groupBy(F.input_file_name()).agg(
+            (F.max("a") - F.min("a")).alias("sa"),
+            F.countDistinct("b").alias("sb")).agg(F.avg("sa").alias("sa"), F.avg("sb").alias("sb")).first()
+        return r.sa, r.sb
+
+    lin_a, lin_b = spans(lin)
+    z_a, z_b = spans(z)
+    # linear: narrow on a only; z-order: both columns narrower than the full range
+    assert lin_a < 30 and lin_b > 150
+    assert z_a < 150 and z_b < 150

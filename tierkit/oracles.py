@@ -165,6 +165,8 @@ FROM facts f LEFT JOIN ref r ON f.country = r.country AND f.postal_code = r.post
     "csv_export_partitioned": SILVER_ALL,
     "csv_export_plain": AUDIT,
     "cluster_layout": """SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity
+FROM lineitem""",
+    "cluster_zorder": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
 FROM lineitem""",
     "bronze_to_silver": SILVER_LATEST,
     "silver_to_gold": _gold_over(SILVER_LATEST),

@@ -62,6 +62,7 @@ class GoldConfig:
     fmt: str = "parquet"
     skip_if_current: bool = False
     text_partitions: tuple = ("country",)
+    layout_mode: str = "zorder"        # K5: "zorder" like the reference, or "linear"
 
 
 def land_snapshot(df: DataFrame, bronze_root: str, watermark_path: str | None = None,
@@ -109,7 +110,7 @@ def publish_snapshot(spark: SparkSession, cfg: SilverConfig, scan: DataFrame,
     overwrite_table(silver, cfg.silver_path, cfg.partition_by, cfg.fmt)
     written = spark.read.format(cfg.fmt).schema(silver.schema).load(cfg.silver_path)
     if cfg.csv_path:
-        export_csv(written, cfg.csv_path, cfg.partition_by)
+        export_csv(written, cfg.csv_path, cfg.partition_by, rebalance=False)
     write_watermark(spark, cfg.watermark_path, newest)
     return {"status": "written", "stamp": newest}
 
@@ -131,7 +132,7 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
     as_of = as_of or datetime.utcnow().replace(microsecond=0)
     gold = gold_frame(silver, cfg, as_of)
     # K4 + K5 in one write: the table is written clustered by its keys.
-    cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt)
+    cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt, mode=cfg.layout_mode)
     if cfg.csv_path:
         export_csv(spark.read.format(cfg.fmt).load(cfg.gold_path), cfg.csv_path)
     if newest:

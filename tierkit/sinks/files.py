@@ -72,11 +72,17 @@ def overwrite_table(df: DataFrame, path: str, partition_by=None, fmt: str = "par
     w.save(path)
 
 
-def export_csv(df: DataFrame, path: str, partition_by=None) -> None:
-    """K3/K6: header CSV mirror (lossy: '' and NULL both read back as NULL)."""
+def export_csv(df: DataFrame, path: str, partition_by=None, rebalance: bool = True) -> None:
+    """K3/K6: header CSV mirror (lossy: '' and NULL both read back as NULL).
+
+    ``rebalance=False`` when ``df`` is a table already written partitioned by
+    the same columns: each of its files holds one partition value, so the
+    mirror is written without another shuffle.
+    """
     _check_not_reading(df, path)
     pcols = list(partition_by or [])
-    w = _rebalanced(df, pcols).write.mode("overwrite").option("header", "true")
+    src = _rebalanced(df, pcols) if rebalance else df
+    w = src.write.mode("overwrite").option("header", "true")
     if pcols:
         w = w.partitionBy(*pcols)
     w.csv(path)

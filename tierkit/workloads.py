@@ -442,6 +442,14 @@ def q_cluster_layout(spark, sf_dir):
     return read_table(spark, path)
 
 
+def q_cluster_zorder(spark, sf_dir):
+    path = scratch_path(spark, "zordered")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    cluster_layout(li, path, ["l_partkey", "l_suppkey"], mode="zorder")
+    return read_table(spark, path)
+
+
 # --- composite flows --------------------------------------------------------------
 
 def q_bronze_to_silver(spark, sf_dir):
@@ -501,6 +509,7 @@ WORKLOADS = {
     "csv_export_partitioned": q_csv_export_partitioned,
     "csv_export_plain": q_csv_export_plain,
     "cluster_layout": q_cluster_layout,
+    "cluster_zorder": q_cluster_zorder,
     "bronze_to_silver": q_bronze_to_silver,
     "silver_to_gold": q_silver_to_gold,
     "stream_bronze_to_silver": q_stream_bronze_to_silver,
