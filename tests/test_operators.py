@@ -212,3 +212,12 @@ def test_zorder_layout_narrows_both_columns(spark, tmpdir_path):
     # linear: narrow on a only; z-order: both columns narrower than the full range
     assert lin_a < 30 and lin_b > 150
     assert z_a < 150 and z_b < 150
+
+
+def test_zorder_constant_and_null_columns(spark, tmpdir_path):
+    from tierkit.sinks.layout import cluster_layout
+
+    df = spark.createDataFrame([("x", None, i) for i in range(50)], "a string, b string, v int")
+    p = os.path.join(tmpdir_path, "z")
+    cluster_layout(df, p, ["a", "b"], mode="zorder")
+    assert spark.read.parquet(p).count() == 50

@@ -62,26 +62,40 @@ def order_image(df: DataFrame, col: str) -> Column:
 def z_ordered(df: DataFrame, cols, rel_error: float = 0.001) -> DataFrame:
     """``df`` plus ``__z``: bit-interleaved quantile buckets of ``cols``.
 
-    ``QuantileDiscretizer`` computes the per-column bucket bounds with one
-    distributed approximate-quantile job and bucketizes by binary search on
-    the JVM; the interleave is plain bit arithmetic on the bucket numbers.
+    One distributed approximate-quantile job gives each column's bucket bounds
+    (a bounded list: at most ``2**bits - 1`` numbers per column); ``Bucketizer``
+    then maps values to buckets by binary search on the JVM, and the
+    interleave is plain bit arithmetic on the bucket numbers.  A column with a
+    single value (or only NULLs) contributes bucket 0.
     """
-    from pyspark.ml.feature import QuantileDiscretizer
+    from pyspark.ml.feature import Bucketizer
 
     n = len(cols)
     bits = max(1, min(Z_BUCKET_BITS, 62 // n))
     imgs = [f"__img{i}" for i in range(n)]
-    bkts = [f"__bkt{i}" for i in range(n)]
     with_img = df.select("*", *[F.coalesce(order_image(df, c), F.lit(float("-inf"))).alias(m)
                                 for c, m in zip(cols, imgs)])
-    model = QuantileDiscretizer(numBuckets=1 << bits, inputCols=imgs, outputCols=bkts,
-                                relativeError=rel_error, handleInvalid="keep").fit(with_img)
-    out = model.transform(with_img)
+    probs = [i / (1 << bits) for i in range(1, 1 << bits)]
+    qs = with_img.approxQuantile(imgs, probs, rel_error)
+    inf = float("inf")
+    splits, ins, outs, bucket_cols = [], [], [], []
+    for i, q in enumerate(qs):
+        inner = sorted({v for v in q if v not in (inf, -inf) and v == v})
+        if inner:
+            splits.append([-inf] + inner + [inf])
+            ins.append(imgs[i])
+            outs.append(f"__bkt{i}")
+            bucket_cols.append(F.col(f"__bkt{i}").cast("long"))
+        else:
+            bucket_cols.append(F.lit(0).cast("long"))
+    out = with_img
+    if ins:
+        out = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs,
+                         handleInvalid="keep").transform(with_img)
     z = F.lit(0).cast("long")
     for bit in range(bits):
-        for i, b in enumerate(bkts):
-            z = z.bitwiseOR(F.shiftleft(
-                F.shiftright(F.col(b).cast("long"), bit).bitwiseAND(1), bit * n + i))
+        for i, b in enumerate(bucket_cols):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(b, bit).bitwiseAND(1), bit * n + i))
     return out.select(*df.columns, z.alias("__z"))
 
 
