@@ -153,3 +153,37 @@ def test_watermark_default_and_monotonic(spark, tmpdir_path):
     assert read_watermark(spark, p) == S2
     with pytest.raises(ValueError):
         write_watermark(spark, p, " ")
+
+
+def test_run_all_lands_then_silver_then_gold(spark, tmpdir_path):
+    from tierkit.plans.flows import run_all
+
+    cfg = _cfg(tmpdir_path)
+    cfg.layout = "directory"
+    gcfg = GoldConfig(silver_path=cfg.silver_path, gold_path=os.path.join(tmpdir_path, "gold"),
+                      watermark_path=os.path.join(tmpdir_path, "gold_wm"))
+    recs = spark.createDataFrame([("a", "x", "AT", "micro"), ("a", "y", "AT", "micro"),
+                                  ("b", "z", "DE", "brewpub")],
+                                 "id string, name string, country string, brewery_type string")
+    bronze_wm = os.path.join(tmpdir_path, "bronze_wm")
+    out = run_all(spark, recs, bronze_wm, cfg, gcfg, as_of=AS_OF)
+    assert out["silver"]["status"] == "written" and out["gold"]["status"] == "written"
+    assert read_watermark(spark, bronze_wm) == out["landed"]
+    gold = {(r.country, r.brewery_type): r.quantity_of_breweries
+            for r in spark.read.parquet(gcfg.gold_path).collect()}
+    assert gold == {("at", "micro"): 1, ("de", "brewpub"): 1}
+
+
+def test_run_all_failure_stops_the_rest(spark, tmpdir_path):
+    from tierkit.plans.flows import run_all
+
+    cfg = _cfg(tmpdir_path)
+    cfg.layout = "directory"
+    cfg.silver_path = cfg.bronze_root  # refused: overwriting the source
+    gcfg = GoldConfig(silver_path=cfg.silver_path, gold_path=os.path.join(tmpdir_path, "gold"),
+                      watermark_path=os.path.join(tmpdir_path, "gold_wm"))
+    recs = spark.createDataFrame([("a", "x", "AT")], "id string, name string, country string")
+    with pytest.raises(ValueError):
+        run_all(spark, recs, None, cfg, gcfg)
+    assert not os.path.exists(gcfg.gold_path)
+    assert read_watermark(spark, cfg.watermark_path) is None
