@@ -24,6 +24,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Arrow batches for pandas UDFs are cut by bytes too, not only by 10,000
+    # rows: whole documents (up to ~150 KB each) cannot make a batch huge.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
