@@ -39,7 +39,7 @@ def test_slug_edges(edge_df):
     assert got == [e[1] for e in EDGE]
 
 
-@pytest.mark.parametrize("mode", ["python", "hybrid"])
+@pytest.mark.parametrize("mode", ["arrow", "python", "hybrid"])
 def test_fold_exact_modes(edge_df, mode):
     got = [r.s for r in edge_df.select(T.fold_slug("x", mode).alias("s")).collect()]
     assert got == [e[2] for e in EDGE]
@@ -98,14 +98,45 @@ TEXT = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=40
 def test_fold_properties(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "x string")
     rows = df.select(T.fold_slug("x", "hybrid").alias("h"), T.fold_slug("x", "native").alias("n"),
-                     T.slug("x").alias("s")).collect()
+                     T.fold_slug("x").alias("a"), T.slug("x").alias("s")).collect()
     _, _, multi = T.fold_tables()
     allowed = set(string.ascii_lowercase + string.digits + "_")
     for x, r in zip(xs, rows):
         exp = T.fold_text_python(x)
-        assert r.h == exp
+        assert r.h == exp and r.a == exp
         if not any(c in multi for c in x):
             assert r.n == exp
         assert set(r.s) <= allowed and set(r.h) <= allowed
         assert not r.h.startswith("_") and "__" not in r.h
         assert T.fold_text_python(exp) == exp  # idempotent
+
+
+# The Arrow kernel alone (no Spark): equal to the per-row definition on any
+# array - with NULLs, empty strings, runs of '_' across string boundaries, and
+# on sliced and large-string arrays (offsets not starting at 0 / 64-bit).
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXT, st.text(alphabet="_ aÉ-ﬁ½", max_size=8)), max_size=30),
+       st.integers(min_value=0, max_value=5))
+def test_fold_arrow_kernel_equals_definition(xs, cut):
+    import pyarrow as pa
+
+    exp = [T.fold_text_python(x) for x in xs]
+    arr = pa.array(xs, type=pa.string())
+    assert T.fold_text_arrow(arr).to_pylist() == exp
+    assert T.fold_text_arrow(arr.cast(pa.large_string())).to_pylist() == exp
+    assert T.fold_text_arrow(arr.slice(cut)).to_pylist() == exp[cut:]
+
+
+def test_fold_arrow_kernel_edges():
+    import pyarrow as pa
+
+    xs = [e[0] for e in EDGE]
+    assert T.fold_text_arrow(pa.array(xs)).to_pylist() == [e[2] for e in EDGE]
+    assert T.fold_text_arrow(pa.array([], pa.string())).to_pylist() == []
+    assert T.fold_text_arrow(pa.array([None, None], pa.string())).to_pylist() == [None, None]
+    assert T.fold_text_arrow(pa.array(["_", "", "__", "a_", "_b"])).to_pylist() == ["", "", "", "a", "b"]
+
+
+def test_plan_arrow_fold_is_batched(spark, edge_df):
+    plan = edge_df.select(T.fold_slug("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan

@@ -2,9 +2,9 @@
 
 All functions take and return ``Column`` objects built from built-in Spark SQL
 functions, so they stay inside whole-stage code generation.  The one exception
-is the exact accent fold, which needs Unicode NFKD: by default an Arrow-batched
-pandas UDF (measured faster than the all-JVM form), with a native mode and a
-hybrid mode that sends only rows holding rare characters to Python.
+is the exact accent fold, which needs Unicode NFKD: by default an Arrow UDF
+whose body is columnar (Arrow's NFKD kernel, then numpy over the value buffer),
+measured faster than the all-JVM form; a native mode and a hybrid mode remain.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -122,12 +125,69 @@ def fold_text_python(text, null_as_text: bool = False):
     return s.strip("_")
 
 
+# byte map applied after NFKD, once only ASCII is left: A-Z -> a-z, a-z and
+# 0-9 kept, every other byte -> '_' (the fold's lower + FOLD_PATTERN steps)
+_FOLD_BYTES = np.full(256, ord("_"), dtype=np.uint8)
+_FOLD_BYTES[ord("0"):ord("9") + 1] = np.arange(ord("0"), ord("9") + 1)
+_FOLD_BYTES[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
+_FOLD_BYTES[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
+
+
+def _delete_bytes(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray):
+    """Keep the bytes where ``keep`` is set; shift the string offsets to match."""
+    gone = np.flatnonzero(~keep)
+    if gone.size == 0:
+        return data, offsets
+    return data[keep], offsets - np.searchsorted(gone, offsets)
+
+
+def fold_text_arrow(arr: pa.Array) -> pa.Array:
+    """X13 on a whole Arrow string array, equal to ``fold_text_python`` per row.
+
+    Arrow's NFKD kernel runs first; after it every byte >= 0x80 belongs to a
+    non-ASCII code point, so "drop non-ASCII, lower, slug, collapse ``_``" are
+    byte operations on the value buffer (numpy), with the string offsets
+    shifted by the number of bytes deleted before them.  No per-row Python.
+    """
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    n = len(arr)
+    if n == 0:
+        return arr
+    large = pa.types.is_large_string(arr.type)
+    otype = np.int64 if large else np.int32
+    s = pc.utf8_normalize(pc.fill_null(arr, ""), form="NFKD")
+    bufs = s.buffers()
+    offsets = np.frombuffer(bufs[1], dtype=otype)[s.offset:s.offset + n + 1].astype(np.int64)
+    data = (np.frombuffer(bufs[2], dtype=np.uint8) if bufs[2] is not None
+            else np.zeros(0, dtype=np.uint8))[offsets[0]:offsets[-1]]
+    offsets -= offsets[0]
+    data, offsets = _delete_bytes(data, offsets, data < 0x80)
+    data = _FOLD_BYTES[data]
+    # an '_' right after an '_' of the same string goes
+    us = data == ord("_")
+    keep = np.ones(len(data), dtype=bool)
+    keep[1:] = ~(us[1:] & us[:-1])
+    keep[offsets[:-1][offsets[:-1] < len(data)]] = True  # first byte of each string stays
+    data, offsets = _delete_bytes(data, offsets, keep)
+    out = pa.Array.from_buffers(pa.large_string() if large else pa.string(), n,
+                                [None, pa.py_buffer(offsets.astype(otype)), pa.py_buffer(data)])
+    out = pc.utf8_trim(out, characters="_")
+    if arr.null_count:
+        out = pc.if_else(pc.is_valid(arr), out, pa.scalar(None, out.type))
+    return out
+
+
+fold_slug_udf = F.arrow_udf(fold_text_arrow, StringType())
+fold_slug_udf.__doc__ = "U1: exact accent fold as an Arrow UDF (columnar body, NULL -> NULL)."
+
+
 def _fold_series(s: pd.Series) -> pd.Series:
     return s.map(fold_text_python, na_action="ignore")
 
 
-fold_slug_udf = F.pandas_udf(_fold_series, StringType())
-fold_slug_udf.__doc__ = "U1: Arrow-batched exact accent fold (NULL -> NULL)."
+# the per-row definition behind one pandas UDF; kept to check the Arrow kernel
+fold_slug_rowwise_udf = F.pandas_udf(_fold_series, StringType())
 
 
 @lru_cache(maxsize=1)
@@ -154,14 +214,18 @@ def _fold_native(col: Column) -> Column:
     return F.btrim(s, F.lit("_"))
 
 
-def fold_slug(col, mode: str = "python", null_as_text: bool = False) -> Column:
+def fold_slug(col, mode: str = "arrow", null_as_text: bool = False) -> Column:
     """ASCII-fold slug.
 
     ``mode``:
-      * ``python`` (default, exact) - the Arrow-batched pandas UDF.  Measured on
-        whole ``documents.text`` at sf0.1 (local[8], warm): 3.9 s, against
-        5.1 s for ``native``: Spark's ``translate`` allocates per character and
-        the regex passes each rescan the text, while NFKD and ``re`` run in C.
+      * ``arrow`` (default, exact) - the Arrow UDF ``fold_text_arrow``: Arrow's
+        NFKD kernel plus numpy byte operations, no per-row Python.  Whole
+        ``documents.text`` at sf0.1 (local[8], warm): 1.4 s, against 2.7 s for
+        ``python``, 3.3-4.4 s for ``native`` and 4.4 s for ``hybrid``: Spark's
+        ``translate`` allocates per character and each regex pass rescans the
+        text.
+      * ``python`` (exact) - the per-row definition ``fold_text_python`` behind
+        a pandas UDF; kept as the reference the kernel is checked against.
       * ``native`` - built-in functions only (translate map + regex), no Python
         worker.  Exact for every character except those whose NFKD expands to
         several ASCII characters (``fold_tables()[2]``), which it drops.
@@ -173,8 +237,10 @@ def fold_slug(col, mode: str = "python", null_as_text: bool = False) -> Column:
     c = as_text(col)
     if mode == "native":
         out = _fold_native(c)
-    elif mode == "python":
+    elif mode == "arrow":
         out = fold_slug_udf(c)
+    elif mode == "python":
+        out = fold_slug_rowwise_udf(c)
     elif mode == "hybrid":
         # rows that may hold a multi-expansion character (see rare_class; a
         # class listing all ~450 characters one by one is ~40x slower)
