@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierkit.operators.aggregate import group_count
 from tierkit.operators.dedup import first_per_key
-from tierkit.operators.enrich import enrich_left
+from tierkit.operators.enrich import broadcast_row_bytes, enrich_left
 from tierkit.operators.snapshot import latest_snapshot, max_stamp, newer_than
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
@@ -70,6 +70,26 @@ def test_enrich_auto_falls_back_to_shuffle(spark):
     assert sorted((r.fid, r.attr) for r in out.collect()) == [(1, "x"), (2, None)]
 
 
+def test_enrich_auto_checks_bytes(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "b")], "fid int, k string")
+    ref = spark.createDataFrame([("a", "x" * 100), ("b", "y")], "k string, attr string")
+    # 2 rows: 8 (null bits) + 2 * 8 (fields) = 24 each, plus 8 ("a") + 104 and 8 + 8
+    rows = ref.select(broadcast_row_bytes(ref).alias("b")).collect()
+    assert sorted(r.b for r in rows) == [24 + 8 + 8, 24 + 8 + 104]
+    small = enrich_left(facts, ref, ["k"], ["attr"], max_broadcast_bytes=200)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    big = enrich_left(facts, ref, ["k"], ["attr"], max_broadcast_bytes=100)
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" not in plan
+    assert sorted((r.fid, len(r.attr)) for r in big.collect()) == [(1, 100), (2, 1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        off = enrich_left(facts, ref, ["k"], ["attr"])
+        assert "BroadcastHashJoin" not in off._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_group_count_nulls(spark):
     df = spark.createDataFrame([("x", None, 1), ("x", None, None), ("x", "a", None)],
                                "country string, brewery_type string, id int")

@@ -2,8 +2,10 @@
 
 The reference is first made unique per key (deterministically: the smallest
 attribute tuple wins), so a fact row can never be multiplied.  Its size is then
-*checked*: within ``max_broadcast_rows`` it is broadcast (no shuffle of the
-facts at all); beyond it the join is a shuffle join, where
+*measured* - rows and the exact bytes of the rows a broadcast would hold - and
+only within ``max_broadcast_rows`` *and* ``max_broadcast_bytes`` (default: the
+session's ``spark.sql.autoBroadcastJoinThreshold``) it is broadcast (no
+shuffle of the facts at all); beyond either the join is a shuffle join, where
 
 * fact rows with a NULL key - which can never match - are split off and
   passed through, so they cannot pile up in the one partition NULL hashes to;
@@ -15,14 +17,40 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from tierkit.session import scratch_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def broadcast_row_bytes(df: DataFrame) -> Column:
+    """Bytes one row of ``df`` takes as a Spark ``UnsafeRow`` - the form rows
+    are kept in by a broadcast hash relation: a null bitmap word per 64
+    fields, 8 bytes per field, and variable-length values rounded up to 8.
+    Nested values are counted by their JSON text, an over-estimate."""
+    fields = df.schema.fields
+    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
+    size = F.lit(fixed).cast("long")
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            var = F.octet_length(c)
+        elif f.dataType.typeName() in ("array", "map", "struct"):
+            var = F.octet_length(F.to_json(c))
+        else:
+            continue
+        size = size + F.coalesce(F.ceil(var / 8) * 8, F.lit(0)).cast("long")
+    return size
+
+
+def session_broadcast_limit(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def unique_reference(ref: DataFrame, keys, attrs) -> DataFrame:
     """One row per non-NULL key; ties resolved by the smallest ``attrs`` tuple."""
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -34,10 +62,11 @@ def unique_reference(ref: DataFrame, keys, attrs) -> DataFrame:
 
 def enrich_left(df: DataFrame, ref: DataFrame, keys, attrs,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                strategy: str = "auto") -> DataFrame:
+                strategy: str = "auto", max_broadcast_bytes: int | None = None) -> DataFrame:
     """Left join ``attrs`` of ``ref`` onto ``df`` by ``keys``; unmatched -> NULL.
 
     ``strategy``: ``auto`` (size check), ``broadcast`` or ``shuffle``.
+    ``max_broadcast_bytes``: ``None`` -> the session's broadcast threshold.
     """
     clash = set(attrs) & set(df.columns)
     if clash:
@@ -52,8 +81,13 @@ def enrich_left(df: DataFrame, ref: DataFrame, keys, attrs,
         scratch_root(df.sparkSession)
         uref = uref.checkpoint(eager=True)
     if strategy == "auto":
-        n = uref.count()  # size check on the (small) reference side only
-        strategy = "broadcast" if n <= max_broadcast_rows else "shuffle"
+        if max_broadcast_bytes is None:
+            max_broadcast_bytes = session_broadcast_limit(df.sparkSession)
+        # one aggregate over the stored reference: its rows and their bytes
+        size = uref.agg(F.count(F.lit(1)).alias("rows"),
+                        F.coalesce(F.sum(broadcast_row_bytes(uref)), F.lit(0)).alias("bytes")).first()
+        fits = size["rows"] <= max_broadcast_rows and size["bytes"] <= max_broadcast_bytes
+        strategy = "broadcast" if fits else "shuffle"
     if strategy == "broadcast":
         return df.join(F.broadcast(uref), on=list(keys), how="left")
     if strategy != "shuffle":
