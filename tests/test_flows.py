@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tierkit.functions.stamps import EPOCH_STAMP, default_stamp
 from tierkit.plans.flows import GoldConfig, SilverConfig, bronze_to_silver, silver_to_gold
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
-from tierkit.sources.snapshots import read_snapshots
+from tierkit.sinks.files import land_json, overwrite_table
+from tierkit.sources.snapshots import newest_stamp, read_snapshots
 from tierkit.workloads import AS_OF, RECORD_SCHEMA, SILVER_RULES
 
 S1 = "20250711_221343_092307"
@@ -71,6 +72,32 @@ def test_scan_file_name_layout(spark, tmpdir_path):
     assert "_metadata" in plan or "file_name" in plan
 
 
+def test_newest_stamp_from_listing(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "bronze")
+    _bronze(root)
+    assert newest_stamp(spark, root, None, "file_name") == S2
+    assert newest_stamp(spark, root, S1, "file_name") == S2
+    assert newest_stamp(spark, root, S2, "file_name") is None  # nothing newer
+    # the directory layout written by land_json
+    droot = os.path.join(tmpdir_path, "landed")
+    recs = spark.createDataFrame([("a", S1), ("b", S2), ("c", S2)], "id string, stamp string")
+    land_json(recs, droot, stamp_col="stamp")
+    assert newest_stamp(spark, droot) == S2
+    assert newest_stamp(spark, droot, S2) is None
+    # the listing job reads no record: only the path column is scanned
+    plan = spark.read.format("binaryFile").load(droot).select("path")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_overwrite_refuses_its_own_source(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    overwrite_table(spark.range(3), path)
+    with pytest.raises(ValueError, match="read by this DataFrame"):
+        overwrite_table(spark.read.parquet(path), path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_bronze_to_silver_then_gold(spark, tmpdir_path):
     cfg = _cfg(tmpdir_path)
     _bronze(cfg.bronze_root)

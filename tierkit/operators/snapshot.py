@@ -1,13 +1,11 @@
-"""Incremental-snapshot operators: F1, A1, A2, J1 and the listing shortcut."""
+"""Incremental-snapshot operators: F1, A1, A2, J1."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierkit.functions.stamps import DIR_STAMP_REGEX, EPOCH_STAMP, FILE_STAMP_REGEX
+from tierkit.functions.stamps import EPOCH_STAMP
 
 
 def newer_than(df: DataFrame, stamp_col: str, watermark: str | None) -> DataFrame:
@@ -39,21 +37,3 @@ def latest_snapshot(df: DataFrame, stamp_col: str, since: str | None = None) ->
     mx = max_stamp(df, stamp_col, "__latest", since)
     return (df.join(F.broadcast(mx), F.col(stamp_col) == F.col("__latest"), "inner")
             .drop("__latest"))
-
-
-def latest_stamp_in_files(df: DataFrame, since: str | None = None,
-                          layout: str = "directory") -> str | None:
-    """Newest stamp newer than ``since`` read from the scan's *file listing*.
-
-    The listing is held by the driver anyway (it plans the scan), so this finds
-    the newest snapshot without reading one record, where the relational
-    ``max_stamp`` would read every file newer than the watermark.
-    """
-    rx = re.compile(DIR_STAMP_REGEX if layout == "directory" else FILE_STAMP_REGEX)
-    floor = since or EPOCH_STAMP
-    best = None
-    for path in df.inputFiles():
-        m = rx.search(path)
-        if m and m.group(1) > floor and (best is None or m.group(1) > best):
-            best = m.group(1)
-    return best

@@ -2,9 +2,10 @@
 
 Design points (compared with a straight "SQL per step" job):
 
-* The newest snapshot is found from the file listing (no record is read for
-  it) and then read through a partition / file-metadata filter, so a run opens
-  only that snapshot's files, whatever the size of the bronze history.
+* The newest snapshot is found from the file listing (a job over file paths;
+  no record is read for it) and then read through a partition / file-metadata
+  filter, so a run opens only that snapshot's files, whatever the size of the
+  bronze history.
 * Each result is written once and *read back* for the CSV mirror, the empty
   check and the ``MAX`` stamp: no step recomputes the deduplication, the
   mirror always equals the table, and the lineage is cut at the table.
@@ -25,11 +26,10 @@ from tierkit.operators.aggregate import audit_columns, group_count
 from tierkit.operators.dedup import first_per_key
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
-from tierkit.operators.snapshot import latest_stamp_in_files
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
-from tierkit.sources.snapshots import read_snapshots
+from tierkit.sources.snapshots import newest_stamp, read_snapshots
 from tierkit.sources.tables import read_table
 
 
@@ -91,7 +91,7 @@ def bronze_to_silver(spark: SparkSession, cfg: SilverConfig) -> dict:
     since = effective_watermark(spark, cfg.watermark_path)
     scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
                           stamp_col=cfg.stamp_col)
-    newest = latest_stamp_in_files(scan, since, cfg.layout)
+    newest = newest_stamp(spark, cfg.bronze_root, since, cfg.layout)
     if newest is None:
         return {"status": "nothing_new", "since": since}
     return dict(publish_snapshot(spark, cfg, scan, newest), since=since)

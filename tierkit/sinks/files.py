@@ -20,8 +20,18 @@ def _rebalanced(df: DataFrame, partition_by) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _path_exists(spark, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _check_not_reading(df: DataFrame, path: str) -> None:
     # Parquet/CSV overwrite deletes the target first; never overwrite a source.
+    # A target that does not exist yet cannot be read, so the input listing is
+    # only consulted when re-writing an existing table.
+    if not _path_exists(df.sparkSession, path):
+        return
     target = path.rstrip("/") + "/"
     for f in df.inputFiles():
         if f.replace("file://", "").startswith(target.replace("file://", "")):

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierkit.functions.stamps import FILE_STAMP_REGEX, STAMP_TEXT_REGEX
+from tierkit.functions.stamps import DIR_STAMP_REGEX, EPOCH_STAMP, FILE_STAMP_REGEX, \
+    STAMP_TEXT_REGEX
 
 PARTITION_COLS = ("year", "month", "day", "snapshot")
 
@@ -54,6 +55,30 @@ def read_snapshots(spark: SparkSession, root: str, schema, layout: str = "direct
     raise ValueError(f"unknown layout {layout!r}")
 
 
+def newest_stamp(spark: SparkSession, root: str, since: str | None = None,
+                 layout: str = "directory", glob: str = "*/*/*/*.json",
+                 file_regex: str = FILE_STAMP_REGEX) -> str | None:
+    """Newest stamp strictly newer than ``since`` among the landed files.
+
+    Found from the file *listing* alone, by a small distributed job: the
+    ``binaryFile`` source gives one row per file and opens none of them when
+    only its ``path`` column is used; the stamp is a regex group of the path
+    (``''`` when absent, so never newer) and ``MAX`` returns one value.  No
+    record is parsed, and the driver never holds the list of paths.  The
+    files are the ones ``read_snapshots`` scans with the same arguments.
+    """
+    if layout == "directory":
+        src, rx = root, DIR_STAMP_REGEX
+    elif layout == "file_name":
+        src, rx = root.rstrip("/") + ("/" + glob if glob else ""), file_regex
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    stamp = F.regexp_extract(F.col("path"), rx, 1)
+    files = spark.read.format("binaryFile").load(src).select(stamp.alias("stamp"))
+    return (files.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
+            .agg(F.max("stamp").alias("m")).first()["m"])
+
+
 def stamp_column(file_regex: str = FILE_STAMP_REGEX) -> Column:
     """S3: stamp from the source file name (``''`` when it does not match)."""
     return F.regexp_extract(F.col("_metadata.file_name"), file_regex, 1)
