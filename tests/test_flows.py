@@ -10,7 +10,7 @@ from tierkit.functions.stamps import EPOCH_STAMP, default_stamp
 from tierkit.plans.flows import GoldConfig, SilverConfig, bronze_to_silver, silver_to_gold
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
 from tierkit.sinks.files import land_json, overwrite_table
-from tierkit.sources.snapshots import newest_stamp, read_snapshots
+from tierkit.sources.snapshots import newest_snapshot, newest_stamp, read_snapshots
 from tierkit.workloads import AS_OF, RECORD_SCHEMA, SILVER_RULES
 
 S1 = "20250711_221343_092307"
@@ -78,12 +78,23 @@ def test_newest_stamp_from_listing(spark, tmpdir_path):
     assert newest_stamp(spark, root, None, "file_name") == S2
     assert newest_stamp(spark, root, S1, "file_name") == S2
     assert newest_stamp(spark, root, S2, "file_name") is None  # nothing newer
+    stamp, folders = newest_snapshot(spark, root, S1, "file_name")
+    assert stamp == S2 and [f.rsplit("/", 1)[-1] for f in folders] == ["day=12"]
+    narrowed = read_snapshots(spark, root, RECORD_SCHEMA, layout="file_name", folders=folders)
+    # the day folder also holds the unstamped file; its stamp is '' as before
+    assert sorted(r.bronze_file_timestamp for r in narrowed.select("bronze_file_timestamp")
+                  .collect()) == ["", S2, S2, S2, S2, S2]
+    assert newest_snapshot(spark, root, S2, "file_name") == (None, [])
     # the directory layout written by land_json
     droot = os.path.join(tmpdir_path, "landed")
     recs = spark.createDataFrame([("a", S1), ("b", S2), ("c", S2)], "id string, stamp string")
     land_json(recs, droot, stamp_col="stamp")
     assert newest_stamp(spark, droot) == S2
     assert newest_stamp(spark, droot, S2) is None
+    stamp, folders = newest_snapshot(spark, droot)
+    assert stamp == S2 and len(folders) == 1 and folders[0].endswith(f"day=12/snapshot={S2}")
+    got = read_snapshots(spark, droot, "id string", folders=folders)
+    assert sorted((r.id, r.snapshot, r.day) for r in got.collect()) == [("b", S2, "12"), ("c", S2, "12")]
     # the listing job reads no record: only the path column is scanned
     plan = spark.read.format("binaryFile").load(droot).select("path")._jdf.queryExecution() \
         .executedPlan().toString()

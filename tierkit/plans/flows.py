@@ -2,10 +2,10 @@
 
 Design points (compared with a straight "SQL per step" job):
 
-* The newest snapshot is found from the file listing (a job over file paths;
-  no record is read for it) and then read through a partition / file-metadata
-  filter, so a run opens only that snapshot's files, whatever the size of the
-  bronze history.
+* The newest snapshot is found from one listing of bronze (a job over file
+  paths; no record is read for it); the scan then lists and opens only that
+  snapshot's folder, and a stamp filter (partition / file-metadata filter)
+  keeps its files alone, whatever the size of the bronze history.
 * Each result is written once and *read back* for the CSV mirror, the empty
   check and the ``MAX`` stamp: no step recomputes the deduplication, the
   mirror always equals the table, and the lineage is cut at the table.
@@ -27,9 +27,10 @@ from tierkit.operators.dedup import first_per_key
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
+from tierkit.session import scratch_root
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
-from tierkit.sources.snapshots import newest_stamp, read_snapshots
+from tierkit.sources.snapshots import newest_snapshot, read_snapshots
 from tierkit.sources.tables import read_table
 
 
@@ -89,11 +90,11 @@ def silver_frame(scan: DataFrame, cfg: SilverConfig, newest: str) -> DataFrame:
 def bronze_to_silver(spark: SparkSession, cfg: SilverConfig) -> dict:
     """Newest unseen snapshot -> deduplicated, cleaned silver table."""
     since = effective_watermark(spark, cfg.watermark_path)
-    scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
-                          stamp_col=cfg.stamp_col)
-    newest = newest_stamp(spark, cfg.bronze_root, since, cfg.layout)
+    newest, folders = newest_snapshot(spark, cfg.bronze_root, since, cfg.layout)
     if newest is None:
         return {"status": "nothing_new", "since": since}
+    scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
+                          stamp_col=cfg.stamp_col, folders=folders)
     return dict(publish_snapshot(spark, cfg, scan, newest), since=since)
 
 
@@ -123,14 +124,21 @@ def gold_frame(silver: DataFrame, cfg: GoldConfig, as_of) -> DataFrame:
 def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None = None) -> dict:
     """Silver table -> gold aggregate, clustered, with CSV mirror."""
     silver = read_table(spark, cfg.silver_path, cfg.fmt, text_partitions=cfg.text_partitions)
-    if is_empty(silver):
+    # F4 + A2 in one job: the MAX scans the stamp column anyway, the count of
+    # the same rows comes with it
+    stats = silver.agg(F.max(cfg.stamp_col).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    if stats["n"] == 0:
         return {"status": "empty"}
-    newest = silver.agg(F.max(cfg.stamp_col).alias("m")).first()["m"]
+    newest = stats["m"]
     if cfg.skip_if_current and newest is not None and newest == read_watermark(
             spark, cfg.watermark_path):
         return {"status": "current", "stamp": newest}
     as_of = as_of or datetime.utcnow().replace(microsecond=0)
-    gold = gold_frame(silver, cfg, as_of)
+    # The aggregate is computed once and kept in the shared checkpoint folder:
+    # the layout's quantile job, its range sample and the write then read it
+    # instead of each re-scanning the whole silver table.
+    scratch_root(spark)
+    gold = gold_frame(silver, cfg, as_of).checkpoint(eager=True)
     # K4 + K5 in one write: the table is written clustered by its keys.
     cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt, mode=cfg.layout_mode)
     if cfg.csv_path:

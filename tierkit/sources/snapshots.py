@@ -34,47 +34,80 @@ def _as_struct(spark: SparkSession, schema) -> StructType:
 
 def read_snapshots(spark: SparkSession, root: str, schema, layout: str = "directory",
                    glob: str = "*/*/*/*.json", stamp_col: str = "bronze_file_timestamp",
-                   file_regex: str = FILE_STAMP_REGEX) -> DataFrame:
-    """Scan every landed snapshot under ``root``; adds ``stamp_col``.
+                   file_regex: str = FILE_STAMP_REGEX, folders=None) -> DataFrame:
+    """Scan the landed snapshots under ``root``; adds ``stamp_col``.
 
     ``schema``: the record schema (``StructType`` or DDL).  No inference pass.
+    ``folders``: read only these folders of ``root`` (as returned by
+    ``newest_snapshot``), so only they are listed; default: everything.
     """
     rec = _as_struct(spark, schema)
     reader = spark.read.option("mode", "PERMISSIVE")
+    if folders is not None and not folders:
+        raise ValueError("no folders to read")
     if layout == "directory":
         full = StructType(list(rec.fields) + [
             StructField(p, StringType(), True) for p in PARTITION_COLS if p not in rec.fieldNames()
         ])
-        df = reader.schema(full).option("basePath", root).json(root)
+        df = reader.schema(full).option("basePath", root).json(*(folders or [root]))
         stamp = F.when(F.col("snapshot").rlike(STAMP_TEXT_REGEX), F.col("snapshot")).otherwise(F.lit(""))
         return df.withColumn(stamp_col, stamp)
     if layout == "file_name":
-        path = root.rstrip("/") + ("/" + glob if glob else "")
-        df = reader.schema(rec).json(path)
+        if folders:
+            # the glob's last part keeps selecting the files inside the folders
+            last = glob.rsplit("/", 1)[-1] if glob else "*"
+            df = reader.schema(rec).option("pathGlobFilter", last).json(*folders)
+        else:
+            df = reader.schema(rec).json(root.rstrip("/") + ("/" + glob if glob else ""))
         return df.withColumn(stamp_col, stamp_column(file_regex))
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def newest_stamp(spark: SparkSession, root: str, since: str | None = None,
-                 layout: str = "directory", glob: str = "*/*/*/*.json",
-                 file_regex: str = FILE_STAMP_REGEX) -> str | None:
-    """Newest stamp strictly newer than ``since`` among the landed files.
-
-    Found from the file *listing* alone, by a small distributed job: the
-    ``binaryFile`` source gives one row per file and opens none of them when
-    only its ``path`` column is used; the stamp is a regex group of the path
-    (``''`` when absent, so never newer) and ``MAX`` returns one value.  No
-    record is parsed, and the driver never holds the list of paths.  The
-    files are the ones ``read_snapshots`` scans with the same arguments.
+def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex: str) -> DataFrame:
+    """One row per landed file: ``stamp`` ('' when absent) and ``folder``.
+
+    The ``binaryFile`` source lists the files and, when only its ``path``
+    column is used, opens none of them.  ``folder`` is the ``snapshot=``
+    directory (directory layout) or the file's parent (file-name layout).
     """
     if layout == "directory":
         src, rx = root, DIR_STAMP_REGEX
+        folder = F.regexp_extract(F.col("path"), r"^(.*/snapshot=[^/]*)/", 1)
     elif layout == "file_name":
         src, rx = root.rstrip("/") + ("/" + glob if glob else ""), file_regex
+        folder = F.regexp_extract(F.col("path"), r"^(.*)/[^/]*$", 1)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    stamp = F.regexp_extract(F.col("path"), rx, 1)
-    files = spark.read.format("binaryFile").load(src).select(stamp.alias("stamp"))
+    return spark.read.format("binaryFile").load(src).select(
+        F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"))
+
+
+def newest_snapshot(spark: SparkSession, root: str, since: str | None = None,
+                    layout: str = "directory", glob: str = "*/*/*/*.json",
+                    file_regex: str = FILE_STAMP_REGEX) -> tuple[str | None, list[str]]:
+    """Newest stamp strictly newer than ``since``, and the folders holding it.
+
+    Found from the file *listing* alone, by two small distributed jobs over
+    one listing of ``root``: ``MAX`` of the stamp in the file paths, then the
+    distinct folders of that stamp (one ``snapshot=`` directory, or the day
+    folder of its files).  No record is parsed and the driver never holds the
+    list of paths; ``read_snapshots(..., folders=...)`` then lists only those
+    folders instead of the whole history.
+    """
+    files = _listing(spark, root, layout, glob, file_regex)
+    newest = (files.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
+              .agg(F.max("stamp").alias("m")).first()["m"])
+    if newest is None:
+        return None, []
+    folders = files.where(F.col("stamp") == F.lit(newest)).select("folder").distinct()
+    return newest, sorted(r.folder for r in folders.collect())
+
+
+def newest_stamp(spark: SparkSession, root: str, since: str | None = None,
+                 layout: str = "directory", glob: str = "*/*/*/*.json",
+                 file_regex: str = FILE_STAMP_REGEX) -> str | None:
+    """Only the stamp of ``newest_snapshot`` (one job over the listing)."""
+    files = _listing(spark, root, layout, glob, file_regex)
     return (files.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
             .agg(F.max("stamp").alias("m")).first()["m"])
 

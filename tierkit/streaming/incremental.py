@@ -9,9 +9,10 @@ failure.  Every micro-batch:
 1. finds the newest stamp among the rows it delivered (one small aggregate);
 2. skips it unless it is newer than the committed silver watermark - a late,
    older snapshot never replaces a newer one (the reference's rule);
-3. republishes that snapshot from the *table* scan (partition-pruned to its
-   directory), not from the micro-batch, so a snapshot whose files were split
-   over several micro-batches is still published whole.
+3. republishes that snapshot from its whole folder (the ``year=/month=/day=/
+   snapshot=`` directory named by the batch's partition values), not from the
+   micro-batch, so a snapshot whose files were split over several
+   micro-batches is still published whole; only that folder is listed.
 
 Run it with ``available_now=True`` after each landing (drains what is there,
 then stops) or with a processing-time trigger as a long-running job.
@@ -49,15 +50,22 @@ def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint:
         "basePath", cfg.bronze_root)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    root = cfg.bronze_root.rstrip("/")
+    folder = F.concat(F.lit(root + "/year="), F.col("year"), F.lit("/month="), F.col("month"),
+                      F.lit("/day="), F.col("day"), F.lit("/snapshot="), F.col("snapshot"))
     arrivals = reader.json(cfg.bronze_root).select(
         F.when(F.col("snapshot").rlike(STAMP_TEXT_REGEX), F.col("snapshot"))
-        .otherwise(F.lit("")).alias("stamp"))
+        .otherwise(F.lit("")).alias("stamp"), folder.alias("folder"))
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         newest = batch.agg(F.max("stamp").alias("m")).first()["m"]
         if not newest or newest <= effective_watermark(spark, cfg.watermark_path):
             return
-        scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, stamp_col=cfg.stamp_col)
+        # the folders of one snapshot (one in the landing layout)
+        folders = sorted(r.folder for r in batch.where(F.col("stamp") == newest)
+                         .select("folder").distinct().collect())
+        scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, stamp_col=cfg.stamp_col,
+                              folders=folders)
         publish_snapshot(spark, cfg, scan, newest)
 
     w = arrivals.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
