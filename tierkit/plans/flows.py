@@ -142,7 +142,8 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
     # K4 + K5 in one write: the table is written clustered by its keys.
     cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt, mode=cfg.layout_mode)
     if cfg.csv_path:
-        export_csv(spark.read.format(cfg.fmt).load(cfg.gold_path), cfg.csv_path)
+        export_csv(spark.read.format(cfg.fmt).schema(gold.schema).load(cfg.gold_path),
+                   cfg.csv_path)
     if newest:
         write_watermark(spark, cfg.watermark_path, newest)
     return {"status": "written", "stamp": newest, "as_of": as_of}
