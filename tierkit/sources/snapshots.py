@@ -82,25 +82,32 @@ def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex:
         F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"))
 
 
+def newest_of(stamped: DataFrame, since: str | None = None) -> tuple[str | None, list[str]]:
+    """``(stamp, folders)`` of the newest stamp above ``since`` in a frame of
+    ``stamp`` / ``folder`` rows, in one job: folders are gathered per stamp
+    (a partial aggregate: a snapshot has few folders) and only the top stamp
+    comes back to the driver."""
+    top = (stamped.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
+           .groupBy("stamp").agg(F.collect_set("folder").alias("folders"))
+           .orderBy(F.col("stamp").desc()).limit(1).collect())
+    if not top:
+        return None, []
+    return top[0]["stamp"], sorted(top[0]["folders"])
+
+
 def newest_snapshot(spark: SparkSession, root: str, since: str | None = None,
                     layout: str = "directory", glob: str = "*/*/*/*.json",
                     file_regex: str = FILE_STAMP_REGEX) -> tuple[str | None, list[str]]:
     """Newest stamp strictly newer than ``since``, and the folders holding it.
 
-    Found from the file *listing* alone, by two small distributed jobs over
-    one listing of ``root``: ``MAX`` of the stamp in the file paths, then the
-    distinct folders of that stamp (one ``snapshot=`` directory, or the day
+    Found from the file *listing* alone, by one small distributed job over
+    one listing of ``root``: the stamp and folder of each file path, its
+    folders per stamp, the top stamp (one ``snapshot=`` directory, or the day
     folder of its files).  No record is parsed and the driver never holds the
     list of paths; ``read_snapshots(..., folders=...)`` then lists only those
     folders instead of the whole history.
     """
-    files = _listing(spark, root, layout, glob, file_regex)
-    newest = (files.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
-              .agg(F.max("stamp").alias("m")).first()["m"])
-    if newest is None:
-        return None, []
-    folders = files.where(F.col("stamp") == F.lit(newest)).select("folder").distinct()
-    return newest, sorted(r.folder for r in folders.collect())
+    return newest_of(_listing(spark, root, layout, glob, file_regex), since)
 
 
 def newest_stamp(spark: SparkSession, root: str, since: str | None = None,

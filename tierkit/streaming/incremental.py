@@ -26,7 +26,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tierkit.plans.flows import SilverConfig, publish_snapshot
 from tierkit.plans.watermark import effective_watermark
-from tierkit.sources.snapshots import PARTITION_COLS, read_snapshots
+from tierkit.sources.snapshots import PARTITION_COLS, newest_of, read_snapshots
 from tierkit.functions.stamps import STAMP_TEXT_REGEX
 
 
@@ -58,12 +58,11 @@ def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint:
         .otherwise(F.lit("")).alias("stamp"), folder.alias("folder"))
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        newest = batch.agg(F.max("stamp").alias("m")).first()["m"]
-        if not newest or newest <= effective_watermark(spark, cfg.watermark_path):
+        # newest stamp of the micro-batch above the committed watermark, and
+        # its folder(s) - one job over the batch
+        newest, folders = newest_of(batch, effective_watermark(spark, cfg.watermark_path))
+        if newest is None:
             return
-        # the folders of one snapshot (one in the landing layout)
-        folders = sorted(r.folder for r in batch.where(F.col("stamp") == newest)
-                         .select("folder").distinct().collect())
         scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, stamp_col=cfg.stamp_col,
                               folders=folders)
         publish_snapshot(spark, cfg, scan, newest)
