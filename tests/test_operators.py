@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tierkit.operators.aggregate import group_count
 from tierkit.operators.dedup import first_per_key
-from tierkit.operators.enrich import broadcast_row_bytes, enrich_left
+from tierkit.operators.enrich import broadcast_row_bytes, enrich_left, session_broadcast_limit, \
+    size_in_bytes
 from tierkit.operators.snapshot import latest_snapshot, max_stamp, newer_than
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
@@ -82,6 +83,9 @@ def test_enrich_auto_checks_bytes(spark):
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "BroadcastHashJoin" not in plan
     assert sorted((r.fid, len(r.attr)) for r in big.collect()) == [(1, 100), (2, 1)]
+    assert session_broadcast_limit(spark) == 10 * 1024 * 1024  # Spark's default
+    assert [size_in_bytes(t) for t in ("10485760b", "20MB", "1g", "-1", "512")] == \
+        [10485760, 20 << 20, 1 << 30, -1, 512]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         off = enrich_left(facts, ref, ["k"], ["attr"])

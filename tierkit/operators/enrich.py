@@ -15,6 +15,7 @@ shuffle of the facts at all); beyond either the join is a shuffle join, where
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -46,9 +47,21 @@ def broadcast_row_bytes(df: DataFrame) -> Column:
     return size
 
 
+_BYTE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+               "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def size_in_bytes(text: str) -> int:
+    """A Spark size setting (``10485760b``, ``20MB``, ``-1``) in bytes."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _BYTE_UNITS:
+        raise ValueError(f"not a size: {text!r}")
+    return int(m.group(1)) * _BYTE_UNITS[m.group(2).lower()]
+
+
 def session_broadcast_limit(spark) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never broadcast)."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
 def unique_reference(ref: DataFrame, keys, attrs) -> DataFrame:
