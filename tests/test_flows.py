@@ -78,21 +78,23 @@ def test_newest_stamp_from_listing(spark, tmpdir_path):
     assert newest_stamp(spark, root, None, "file_name") == S2
     assert newest_stamp(spark, root, S1, "file_name") == S2
     assert newest_stamp(spark, root, S2, "file_name") is None  # nothing newer
-    stamp, folders = newest_snapshot(spark, root, S1, "file_name")
+    stamp, folders, size = newest_snapshot(spark, root, S1, "file_name")
     assert stamp == S2 and [f.rsplit("/", 1)[-1] for f in folders] == ["day=12"]
+    assert size == os.path.getsize(os.path.join(root, "year=2025", "month=07", "day=12",
+                                                f"breweries_{S2}.json"))
     narrowed = read_snapshots(spark, root, RECORD_SCHEMA, layout="file_name", folders=folders)
     # the day folder also holds the unstamped file; its stamp is '' as before
     assert sorted(r.bronze_file_timestamp for r in narrowed.select("bronze_file_timestamp")
                   .collect()) == ["", S2, S2, S2, S2, S2]
-    assert newest_snapshot(spark, root, S2, "file_name") == (None, [])
+    assert newest_snapshot(spark, root, S2, "file_name") == (None, [], None)
     # the directory layout written by land_json
     droot = os.path.join(tmpdir_path, "landed")
     recs = spark.createDataFrame([("a", S1), ("b", S2), ("c", S2)], "id string, stamp string")
     land_json(recs, droot, stamp_col="stamp")
     assert newest_stamp(spark, droot) == S2
     assert newest_stamp(spark, droot, S2) is None
-    stamp, folders = newest_snapshot(spark, droot)
-    assert stamp == S2 and len(folders) == 1 and folders[0].endswith(f"day=12/snapshot={S2}")
+    stamp, folders, size = newest_snapshot(spark, droot)
+    assert stamp == S2 and len(folders) == 1 and size > 0 and folders[0].endswith(f"day=12/snapshot={S2}")
     got = read_snapshots(spark, droot, "id string", folders=folders)
     assert sorted((r.id, r.snapshot, r.day) for r in got.collect()) == [("b", S2, "12"), ("c", S2, "12")]
     # the listing job reads no record: only the path column is scanned
@@ -101,6 +103,22 @@ def test_newest_stamp_from_listing(spark, tmpdir_path):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
 
+def test_shuffle_sizing_follows_input_and_restores(spark):
+    from tierkit.session import shuffle_sizing
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    slots = spark.sparkContext.defaultParallelism
+    with shuffle_sizing(spark, 1000 * (256 << 20)) as n:
+        assert n == 1000 and spark.conf.get("spark.sql.shuffle.partitions") == "1000"
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "1000"
+    with shuffle_sizing(spark, 1) as n:
+        assert n == slots  # never fewer partitions than task slots
+    with shuffle_sizing(spark, None) as n:
+        assert n is None and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
 def test_overwrite_refuses_its_own_source(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "t")
     overwrite_table(spark.range(3), path)

@@ -27,7 +27,7 @@ from tierkit.operators.dedup import first_per_key
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
-from tierkit.session import scratch_root
+from tierkit.session import scratch_root, shuffle_sizing
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
 from tierkit.sources.snapshots import newest_snapshot, read_snapshots
@@ -90,12 +90,15 @@ def silver_frame(scan: DataFrame, cfg: SilverConfig, newest: str) -> DataFrame:
 def bronze_to_silver(spark: SparkSession, cfg: SilverConfig) -> dict:
     """Newest unseen snapshot -> deduplicated, cleaned silver table."""
     since = effective_watermark(spark, cfg.watermark_path)
-    newest, folders = newest_snapshot(spark, cfg.bronze_root, since, cfg.layout)
-    if newest is None:
+    snap = newest_snapshot(spark, cfg.bronze_root, since, cfg.layout)
+    if snap.stamp is None:
         return {"status": "nothing_new", "since": since}
     scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
-                          stamp_col=cfg.stamp_col, folders=folders)
-    return dict(publish_snapshot(spark, cfg, scan, newest), since=since)
+                          stamp_col=cfg.stamp_col, folders=snap.folders)
+    # the dedup and rebalance shuffles get partitions sized from the snapshot
+    with shuffle_sizing(spark, snap.bytes):
+        out = publish_snapshot(spark, cfg, scan, snap.stamp)
+    return dict(out, since=since)
 
 
 def publish_snapshot(spark: SparkSession, cfg: SilverConfig, scan: DataFrame,

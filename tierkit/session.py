@@ -8,9 +8,11 @@ has none, which is the local/test case.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -82,3 +84,44 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared scratch root."""
     return f"{scratch_root(spark)}/tierkit/{name}-{uuid.uuid4().hex}"
+
+
+# Bytes of input per shuffle partition before AQE merges small ones: sort
+# buffers of a partition this size spill at worst, never exhaust an executor.
+TARGET_SHUFFLE_INPUT_BYTES = 256 * 1024 * 1024
+_SHUFFLE_KEYS = ("spark.sql.shuffle.partitions",
+                 "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def shuffle_partitions_for(spark: SparkSession, input_bytes: int,
+                           target_bytes: int = TARGET_SHUFFLE_INPUT_BYTES) -> int:
+    """Shuffle partitions for ``input_bytes`` of input: one per
+    ``target_bytes``, and never fewer than the cluster's task slots."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / target_bytes))
+
+
+@contextmanager
+def shuffle_sizing(spark: SparkSession, input_bytes: int | None,
+                   target_bytes: int = TARGET_SHUFFLE_INPUT_BYTES):
+    """Size the shuffles of a job from the bytes it reads, then restore.
+
+    AQE only *merges* shuffle partitions (and splits skewed ones); it never
+    cuts a too-large partition into more.  So the initial partition count must
+    grow with the input - the fixed default (200) would give 500 GB partitions
+    on 100 TB - and AQE then merges the small ones.  ``None``: leave as is.
+    """
+    if not input_bytes:
+        yield None
+        return
+    n = shuffle_partitions_for(spark, input_bytes, target_bytes)
+    old = {k: spark.conf.get(k, None) for k in _SHUFFLE_KEYS}
+    for k in _SHUFFLE_KEYS:
+        spark.conf.set(k, str(n))
+    try:
+        yield n
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -16,6 +16,8 @@ than any watermark.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -63,8 +65,16 @@ def read_snapshots(spark: SparkSession, root: str, schema, layout: str = "direct
     raise ValueError(f"unknown layout {layout!r}")
 
 
+class Snapshot(NamedTuple):
+    """The newest snapshot: its stamp (``None``: nothing new), the folders
+    holding its files, and their size in bytes (``None`` when unknown)."""
+    stamp: str | None
+    folders: list
+    bytes: int | None = None
+
+
 def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex: str) -> DataFrame:
-    """One row per landed file: ``stamp`` ('' when absent) and ``folder``.
+    """One row per landed file: ``stamp`` ('' when absent), ``folder``, ``length``.
 
     The ``binaryFile`` source lists the files and, when only its ``path``
     column is used, opens none of them.  ``folder`` is the ``snapshot=``
@@ -79,31 +89,36 @@ def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex:
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return spark.read.format("binaryFile").load(src).select(
-        F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"))
+        F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"), "length")
 
 
-def newest_of(stamped: DataFrame, since: str | None = None) -> tuple[str | None, list[str]]:
-    """``(stamp, folders)`` of the newest stamp above ``since`` in a frame of
-    ``stamp`` / ``folder`` rows, in one job: folders are gathered per stamp
+def newest_of(stamped: DataFrame, since: str | None = None) -> Snapshot:
+    """The newest stamp above ``since`` in a frame of ``stamp`` / ``folder``
+    (/ ``length``) rows, in one job: folders and bytes are gathered per stamp
     (a partial aggregate: a snapshot has few folders) and only the top stamp
     comes back to the driver."""
+    aggs = [F.collect_set("folder").alias("folders")]
+    if "length" in stamped.columns:
+        aggs.append(F.sum("length").alias("bytes"))
     top = (stamped.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
-           .groupBy("stamp").agg(F.collect_set("folder").alias("folders"))
+           .groupBy("stamp").agg(*aggs)
            .orderBy(F.col("stamp").desc()).limit(1).collect())
     if not top:
-        return None, []
-    return top[0]["stamp"], sorted(top[0]["folders"])
+        return Snapshot(None, [], None)
+    row = top[0].asDict()
+    return Snapshot(row["stamp"], sorted(row["folders"]), row.get("bytes"))
 
 
 def newest_snapshot(spark: SparkSession, root: str, since: str | None = None,
                     layout: str = "directory", glob: str = "*/*/*/*.json",
-                    file_regex: str = FILE_STAMP_REGEX) -> tuple[str | None, list[str]]:
-    """Newest stamp strictly newer than ``since``, and the folders holding it.
+                    file_regex: str = FILE_STAMP_REGEX) -> Snapshot:
+    """Newest stamp strictly newer than ``since``, the folders holding it and
+    their bytes.
 
     Found from the file *listing* alone, by one small distributed job over
     one listing of ``root``: the stamp and folder of each file path, its
-    folders per stamp, the top stamp (one ``snapshot=`` directory, or the day
-    folder of its files).  No record is parsed and the driver never holds the
+    folders and file sizes per stamp, the top stamp (one ``snapshot=``
+    directory, or the day folder of its files).  No record is parsed and the driver never holds the
     list of paths; ``read_snapshots(..., folders=...)`` then lists only those
     folders instead of the whole history.
     """

@@ -60,7 +60,7 @@ def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint:
     def publish(batch: DataFrame, epoch_id: int) -> None:
         # newest stamp of the micro-batch above the committed watermark, and
         # its folder(s) - one job over the batch
-        newest, folders = newest_of(batch, effective_watermark(spark, cfg.watermark_path))
+        newest, folders, _ = newest_of(batch, effective_watermark(spark, cfg.watermark_path))
         if newest is None:
             return
         scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, stamp_col=cfg.stamp_col,
