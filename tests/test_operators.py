@@ -245,3 +245,12 @@ def test_zorder_constant_and_null_columns(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "z")
     cluster_layout(df, p, ["a", "b"], mode="zorder")
     assert spark.read.parquet(p).count() == 50
+
+
+def test_table_bytes_from_listing(spark):
+    import os
+
+    from tierkit.sources.tables import table_bytes
+
+    path = "/root/testdata/sf0.001/lineitem.parquet"
+    assert table_bytes(spark, path) == os.path.getsize(path)

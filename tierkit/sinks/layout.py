@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DateType, NumericType, StringType, \
     TimestampNTZType, TimestampType
 
+from tierkit.session import shuffle_sizing
 from tierkit.sinks.files import overwrite_table
 
 Z_BUCKET_BITS = 8  # up to 256 buckets per column (fewer bits when many columns)
@@ -109,12 +110,20 @@ def z_clustered(df: DataFrame, cols, num_files: int | None = None) -> DataFrame:
 
 
 def cluster_layout(df: DataFrame, path: str, cols, num_files: int | None = None,
-                   fmt: str = "parquet", mode: str = "linear") -> None:
-    """Write ``df`` to ``path`` clustered by ``cols`` (overwrite)."""
+                   fmt: str = "parquet", mode: str = "linear",
+                   input_bytes: int | None = None) -> None:
+    """Write ``df`` to ``path`` clustered by ``cols`` (overwrite).
+
+    ``num_files`` fixes the number of ranges.  Otherwise give ``input_bytes``
+    (e.g. ``table_bytes`` of the source): the range shuffle then gets one
+    partition per ~256 MB of input, which AQE merges where they are small -
+    never the fixed default count, whose ranges would grow with the table.
+    """
     if mode == "linear":
         out = clustered(df, cols, num_files)
     elif mode == "zorder":
         out = z_clustered(df, cols, num_files)
     else:
         raise ValueError(f"unknown layout mode {mode!r}")
-    overwrite_table(out, path, fmt=fmt)
+    with shuffle_sizing(df.sparkSession, None if num_files else input_bytes):
+        overwrite_table(out, path, fmt=fmt)

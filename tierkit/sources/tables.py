@@ -1,8 +1,9 @@
-"""Table scans; S6: literal rows."""
+"""Table scans and sizes; S6: literal rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -24,6 +25,13 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     return reader.load(path)
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``, from the listing alone (one job over
+    file paths and lengths; no file is opened)."""
+    total = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("b")).first()["b"]
+    return int(total or 0)
+
+
 def literal_rows(spark: SparkSession, rows, names) -> DataFrame:
     """In-memory rows with column names, types inferred (small inputs only)."""
     return spark.createDataFrame(rows, list(names))

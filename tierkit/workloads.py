@@ -37,7 +37,7 @@ from tierkit.sinks.layout import cluster_layout
 from tierkit.sources.pages import paged_records
 from tierkit.sources.reference import read_reference_csv
 from tierkit.sources.snapshots import read_snapshots
-from tierkit.sources.tables import read_table
+from tierkit.sources.tables import read_table, table_bytes
 
 # Fixed parameters of the workloads (shared with the oracle SQL).
 AS_OF = datetime(2025, 1, 1, 0, 0, 0)
@@ -438,7 +438,8 @@ def q_cluster_layout(spark, sf_dir):
     path = scratch_path(spark, "clustered")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
-    cluster_layout(li, path, ["l_returnflag", "l_linestatus"])
+    cluster_layout(li, path, ["l_returnflag", "l_linestatus"],
+                   input_bytes=table_bytes(spark, f"{sf_dir}/lineitem.parquet"))
     return read_table(spark, path)
 
 
@@ -446,7 +447,8 @@ def q_cluster_zorder(spark, sf_dir):
     path = scratch_path(spark, "zordered")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    cluster_layout(li, path, ["l_partkey", "l_suppkey"], mode="zorder")
+    cluster_layout(li, path, ["l_partkey", "l_suppkey"], mode="zorder",
+                   input_bytes=table_bytes(spark, f"{sf_dir}/lineitem.parquet"))
     return read_table(spark, path)
 
 
