@@ -44,3 +44,30 @@ def test_stream_publishes_newest_and_skips_late(spark, tmpdir_path):
     stream_bronze_to_silver(spark, cfg, ckpt)
     assert ids() == [("b", "three")]
     assert read_watermark(spark, cfg.watermark_path) == S2
+
+
+def test_stream_file_name_layout(spark, tmpdir_path):
+    import json
+
+    root = os.path.join(tmpdir_path, "bronze")
+
+    def write(day, stamp, recs):
+        d = os.path.join(root, "year=2025", "month=07", f"day={day}")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, f"breweries_{stamp}.json"), "w", encoding="utf-8") as f:
+            f.writelines(json.dumps(r) + "\n" for r in recs)
+
+    cfg = SilverConfig(
+        bronze_root=root, silver_path=os.path.join(tmpdir_path, "silver"),
+        watermark_path=os.path.join(tmpdir_path, "wm"), record_schema=RECORD_SCHEMA,
+        rules=SILVER_RULES, tie_break=[F.col("name")], layout="file_name")
+    ckpt = os.path.join(tmpdir_path, "ckpt")
+    write("11", S1, [{"id": "a", "name": "one"}, {"id": "a", "name": "two"}])
+    write("12", S2, [{"id": "b", "name": "three"}])
+    with open(os.path.join(root, "year=2025", "month=07", "day=12", "breweries_latest.json"),
+              "w") as f:
+        f.write(json.dumps({"id": "zzz", "name": "no stamp"}) + "\n")
+    stream_bronze_to_silver(spark, cfg, ckpt)
+    rows = spark.read.parquet(cfg.silver_path).collect()
+    assert sorted((r.id, r.name, r.bronze_file_timestamp) for r in rows) == [("b", "three", S2)]
+    assert read_watermark(spark, cfg.watermark_path) == S2

@@ -73,13 +73,16 @@ class Snapshot(NamedTuple):
     bytes: int | None = None
 
 
-def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex: str) -> DataFrame:
-    """One row per landed file: ``stamp`` ('' when absent), ``folder``, ``length``.
+# the fixed schema of Spark's ``binaryFile`` source (a stream must be given it)
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-    The ``binaryFile`` source lists the files and, when only its ``path``
-    column is used, opens none of them.  ``folder`` is the ``snapshot=``
-    directory (directory layout) or the file's parent (file-name layout).
-    """
+
+def listing_source(root: str, layout: str, glob: str = "*/*/*/*.json",
+                   file_regex: str = FILE_STAMP_REGEX) -> tuple[str, list[Column]]:
+    """Where the landed files are, and the columns a file-listing row gives:
+    ``stamp`` ('' when absent), ``folder`` (the ``snapshot=`` directory, or
+    the file's parent in the file-name layout) and ``length`` - all taken
+    from ``path``/``length`` of a ``binaryFile`` row, so no file is opened."""
     if layout == "directory":
         src, rx = root, DIR_STAMP_REGEX
         folder = F.regexp_extract(F.col("path"), r"^(.*/snapshot=[^/]*)/", 1)
@@ -88,8 +91,16 @@ def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex:
         folder = F.regexp_extract(F.col("path"), r"^(.*)/[^/]*$", 1)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    return spark.read.format("binaryFile").load(src).select(
-        F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"), "length")
+    return src, [F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"),
+                 F.col("length")]
+
+
+def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex: str) -> DataFrame:
+    """One row per landed file: ``stamp``, ``folder``, ``length`` (see
+    ``listing_source``).  The ``binaryFile`` source lists the files and, when
+    only ``path`` and ``length`` are used, opens none of them."""
+    src, cols = listing_source(root, layout, glob, file_regex)
+    return spark.read.format("binaryFile").load(src).select(*cols)
 
 
 def newest_of(stamped: DataFrame, since: str | None = None) -> Snapshot:

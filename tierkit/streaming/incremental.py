@@ -4,15 +4,16 @@ The batch flow finds new snapshots by comparing stamps with a stored
 watermark.  Here the streaming file source does the bookkeeping instead: its
 checkpoint records which files were already seen, so each trigger delivers
 only files that arrived since - exactly once, also after a driver or executor
-failure.  Every micro-batch:
+failure.  The stream reads the ``binaryFile`` source with only ``path`` and
+``length``: a micro-batch is a list of new files, no record is parsed for it.
+Every micro-batch:
 
-1. finds the newest stamp among the rows it delivered (one small aggregate);
-2. skips it unless it is newer than the committed silver watermark - a late,
+1. finds the newest stamp among its files above the committed silver
+   watermark, with that snapshot's folders and bytes (one small job) - a late,
    older snapshot never replaces a newer one (the reference's rule);
-3. republishes that snapshot from its whole folder (the ``year=/month=/day=/
-   snapshot=`` directory named by the batch's partition values), not from the
+2. republishes that snapshot from its whole folder(s), not from the
    micro-batch, so a snapshot whose files were split over several
-   micro-batches is still published whole; only that folder is listed.
+   micro-batches is still published whole; only those folders are listed.
 
 Run it with ``available_now=True`` after each landing (drains what is there,
 then stops) or with a processing-time trigger as a long-running job.
@@ -21,19 +22,22 @@ then stops) or with a processing-time trigger as a long-running job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierkit.plans.flows import SilverConfig, publish_snapshot
 from tierkit.plans.watermark import effective_watermark
-from tierkit.sources.snapshots import PARTITION_COLS, newest_of, read_snapshots
-from tierkit.functions.stamps import STAMP_TEXT_REGEX
+from tierkit.session import shuffle_sizing
+from tierkit.sources.snapshots import BINARY_FILE_SCHEMA, PARTITION_COLS, listing_source, \
+    newest_of, read_snapshots
 
 
-def _stream_schema(record_schema) -> StructType:
-    rec = record_schema if isinstance(record_schema, StructType) else StructType.fromDDL(record_schema)
-    return StructType(list(rec.fields) + [StructField(p, StringType(), True)
-                                          for p in PARTITION_COLS if p not in rec.fieldNames()])
+def _listing_schema(layout: str) -> StructType:
+    schema = StructType.fromDDL(BINARY_FILE_SCHEMA)
+    if layout == "directory":
+        # partition directories are discovered as columns; declare them as text
+        for p in PARTITION_COLS:
+            schema = schema.add(StructField(p, StringType(), True))
+    return schema
 
 
 def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint: str,
@@ -41,31 +45,25 @@ def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint:
                             max_files_per_trigger: int | None = None):
     """Start the incremental silver stream; waits for it when ``available_now``.
 
-    Only the ``directory`` landing layout is supported (stamps are partition
-    values).  Returns the ``StreamingQuery``.
+    Both landing layouts are read (``cfg.layout``).  Returns the
+    ``StreamingQuery``.
     """
-    if cfg.layout != "directory":
-        raise ValueError("the streaming variant reads the directory landing layout")
-    reader = spark.readStream.schema(_stream_schema(cfg.record_schema)).option(
-        "basePath", cfg.bronze_root)
+    src, cols = listing_source(cfg.bronze_root, cfg.layout)
+    reader = spark.readStream.format("binaryFile").schema(_listing_schema(cfg.layout))
+    if cfg.layout == "directory":
+        reader = reader.option("basePath", cfg.bronze_root)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    root = cfg.bronze_root.rstrip("/")
-    folder = F.concat(F.lit(root + "/year="), F.col("year"), F.lit("/month="), F.col("month"),
-                      F.lit("/day="), F.col("day"), F.lit("/snapshot="), F.col("snapshot"))
-    arrivals = reader.json(cfg.bronze_root).select(
-        F.when(F.col("snapshot").rlike(STAMP_TEXT_REGEX), F.col("snapshot"))
-        .otherwise(F.lit("")).alias("stamp"), folder.alias("folder"))
+    arrivals = reader.load(src).select(*cols)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        # newest stamp of the micro-batch above the committed watermark, and
-        # its folder(s) - one job over the batch
-        newest, folders, _ = newest_of(batch, effective_watermark(spark, cfg.watermark_path))
-        if newest is None:
+        snap = newest_of(batch, effective_watermark(spark, cfg.watermark_path))
+        if snap.stamp is None:
             return
-        scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, stamp_col=cfg.stamp_col,
-                              folders=folders)
-        publish_snapshot(spark, cfg, scan, newest)
+        scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
+                              stamp_col=cfg.stamp_col, folders=snap.folders)
+        with shuffle_sizing(spark, snap.bytes):
+            publish_snapshot(spark, cfg, scan, snap.stamp)
 
     w = arrivals.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     if available_now:
