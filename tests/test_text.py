@@ -140,3 +140,14 @@ def test_fold_arrow_kernel_edges():
 def test_plan_arrow_fold_is_batched(spark, edge_df):
     plan = edge_df.select(T.fold_slug("x"))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+
+
+def test_fold_arrow_kernel_slices(monkeypatch):
+    import pyarrow as pa
+
+    xs = ["Côte d'Ivoire " * 30, None, "", "ﬁ½__x", "a" * 500, "É-É"] * 40
+    exp = [T.fold_text_python(x) for x in xs]
+    whole = T.fold_text_arrow(pa.array(xs)).to_pylist()
+    monkeypatch.setattr(T, "FOLD_SLICE_BYTES", 700)  # many slices, some rows longer than one
+    assert T.fold_text_arrow(pa.array(xs)).to_pylist() == exp == whole
+    assert T.fold_text_arrow(pa.array(xs).slice(7)).to_pylist() == exp[7:]

@@ -141,6 +141,11 @@ def _delete_bytes(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray):
     return data[keep], offsets - np.searchsorted(gone, offsets)
 
 
+# text bytes handled at once: the kernel's temporaries are a few times this,
+# however large the Arrow batch Spark hands over
+FOLD_SLICE_BYTES = 16 * 1024 * 1024
+
+
 def fold_text_arrow(arr: pa.Array) -> pa.Array:
     """X13 on a whole Arrow string array, equal to ``fold_text_python`` per row.
 
@@ -148,10 +153,29 @@ def fold_text_arrow(arr: pa.Array) -> pa.Array:
     non-ASCII code point, so "drop non-ASCII, lower, slug, collapse ``_``" are
     byte operations on the value buffer (numpy), with the string offsets
     shifted by the number of bytes deleted before them.  No per-row Python.
+    Rows are taken in slices of about ``FOLD_SLICE_BYTES`` of text.
     """
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
     n = len(arr)
+    if n == 0:
+        return arr
+    lengths = pc.fill_null(pc.binary_length(arr), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    if ends[-1] <= FOLD_SLICE_BYTES:
+        return _fold_slice(arr)
+    parts, start = [], 0
+    while start < n:
+        # rows up to ~FOLD_SLICE_BYTES past the bytes before ``start``; at least one row
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + FOLD_SLICE_BYTES, side="right")))
+        parts.append(_fold_slice(arr.slice(start, stop - start)))
+        start = stop
+    return pa.concat_arrays(parts)
+
+
+def _fold_slice(arr: pa.Array) -> pa.Array:
+    n = len(arr)
     if n == 0:
         return arr
     large = pa.types.is_large_string(arr.type)

@@ -43,6 +43,8 @@ def build_session(master: str | None = None, app_name: str = "tierkit",
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
+    # checkpoint files of a DataFrame go when it is garbage-collected
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
