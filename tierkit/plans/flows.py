@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from tierkit.operators.dedup import first_per_key
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
-from tierkit.session import scratch_root, shuffle_sizing
+from tierkit.session import shuffle_sizing
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
 from tierkit.sources.snapshots import newest_snapshot, read_snapshots
@@ -137,13 +138,16 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
             spark, cfg.watermark_path):
         return {"status": "current", "stamp": newest}
     as_of = as_of or datetime.utcnow().replace(microsecond=0)
-    # The aggregate is computed once and kept in the shared checkpoint folder:
-    # the layout's quantile job, its range sample and the write then read it
-    # instead of each re-scanning the whole silver table.
-    scratch_root(spark)
-    gold = gold_frame(silver, cfg, as_of).checkpoint(eager=True)
-    # K4 + K5 in one write: the table is written clustered by its keys.
-    cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt, mode=cfg.layout_mode)
+    # The aggregate is computed once and kept (memory, spilling to disk): the
+    # layout's quantile job, its range sample and the write then read it
+    # instead of each re-scanning the whole silver table.  A lost executor
+    # only recomputes its lost blocks.
+    gold = gold_frame(silver, cfg, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # K4 + K5 in one write: the table is written clustered by its keys.
+        cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt, mode=cfg.layout_mode)
+    finally:
+        gold.unpersist()
     if cfg.csv_path:
         export_csv(spark.read.format(cfg.fmt).schema(gold.schema).load(cfg.gold_path),
                    cfg.csv_path)
