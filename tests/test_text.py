@@ -151,3 +151,20 @@ def test_fold_arrow_kernel_slices(monkeypatch):
     monkeypatch.setattr(T, "FOLD_SLICE_BYTES", 700)  # many slices, some rows longer than one
     assert T.fold_text_arrow(pa.array(xs)).to_pylist() == exp == whole
     assert T.fold_text_arrow(pa.array(xs).slice(7)).to_pylist() == exp[7:]
+
+
+def test_fold_udf_code_travels_by_value(tmp_path):
+    # a Python worker started anywhere (no tierkit on its path) can run the UDF body
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    blob = tmp_path / "fold.pkl"
+    blob.write_bytes(cloudpickle.dumps(T.fold_text_arrow))
+    code = ("import pickle, sys, pyarrow as pa; f = pickle.load(open(sys.argv[1], 'rb')); "
+            "print(f(pa.array(['Côte d\\'Ivoire', None])).to_pylist())")
+    out = subprocess.run([sys.executable, "-c", code, str(blob)], cwd=tmp_path,
+                         capture_output=True, text=True, env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.strip() == "['cote_d_ivoire', None]"

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -81,6 +82,11 @@ def try_double(col) -> Column:
 
 # --- accent folding -----------------------------------------------------------
 
+# The UDFs below carry their code to the Python workers (pickled by value), so
+# a worker needs numpy and pyarrow but not this package on its path - whatever
+# directory the job was started from, and without shipping the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 def _nfkd_ascii(ch: str) -> str:
     return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
 
