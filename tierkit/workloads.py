@@ -204,6 +204,8 @@ def _pages(spark, sf_dir) -> DataFrame:
     the source returns one empty page and then stale copies of every page."""
     cust = table(spark, sf_dir, "customer")
     rec = F.struct("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    # one group per key range of PAGE_SIZE: at most PAGE_SIZE records each, as
+    # c_custkey is the table's key - one bounded API response per group
     pages = (cust.groupBy((F.floor(F.col("c_custkey") / PAGE_SIZE) + 1).alias("page"))
              .agg(F.to_json(F.collect_list(rec)).alias("body")))
     last = pages.agg(F.max("page").alias("m")).first()["m"] or 0
