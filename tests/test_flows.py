@@ -97,6 +97,10 @@ def test_newest_stamp_from_listing(spark, tmpdir_path):
     assert stamp == S2 and len(folders) == 1 and size > 0 and folders[0].endswith(f"day=12/snapshot={S2}")
     got = read_snapshots(spark, droot, "id string", folders=folders)
     assert sorted((r.id, r.snapshot, r.day) for r in got.collect()) == [("b", S2, "12"), ("c", S2, "12")]
+    # the narrowed scan lists and opens only the newest snapshot's files
+    files = got.inputFiles()
+    assert files and all(f"/snapshot={S2}/" in f for f in files)
+    assert len(read_snapshots(spark, droot, "id string").inputFiles()) > len(files)
     # the listing job reads no record: only the path column is scanned
     plan = spark.read.format("binaryFile").load(droot).select("path")._jdf.queryExecution() \
         .executedPlan().toString()
