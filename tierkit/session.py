@@ -59,8 +59,10 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs, tests) a fresh local folder is created and registered as the
-    checkpoint dir, so ``DataFrame.checkpoint()`` works too.
+    *and* the session runs in local mode (local runs, tests) a fresh local
+    folder is created and registered as the checkpoint dir, so
+    ``DataFrame.checkpoint()`` works too.  On a cluster an unset setting is an
+    error: a machine-local folder is not shared by the executors.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -75,6 +77,9 @@ def scratch_root(spark: SparkSession) -> str:
             # getCheckpointDir appends a per-application uuid folder.
             root = os.path.dirname(root.rstrip("/"))
     if not root:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(intermediate tables and checkpoints are written there)")
         root = tempfile.mkdtemp(prefix="tierkit-scratch-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
