@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tierkit.functions.stamps import EPOCH_STAMP, default_stamp
 from tierkit.plans.flows import GoldConfig, SilverConfig, bronze_to_silver, silver_to_gold
-from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
+from tierkit.plans.watermark import compact_watermark, effective_watermark, read_watermark, \
+    write_watermark
 from tierkit.sinks.files import land_json, overwrite_table
 from tierkit.sources.snapshots import newest_snapshot, newest_stamp, read_snapshots
 from tierkit.workloads import AS_OF, RECORD_SCHEMA, SILVER_RULES
@@ -247,3 +248,21 @@ def test_run_all_failure_stops_the_rest(spark, tmpdir_path):
         run_all(spark, recs, None, cfg, gcfg)
     assert not os.path.exists(gcfg.gold_path)
     assert read_watermark(spark, cfg.watermark_path) is None
+
+
+def test_compact_watermark_keeps_the_max(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "wm")
+    assert compact_watermark(spark, path) is False  # nothing written yet
+    for stamp in (S1, S3, S2, S1):
+        write_watermark(spark, path, stamp)
+
+    def files():
+        return [f for f in os.listdir(path) if f.endswith(".parquet")]
+
+    assert len(files()) == 4
+    assert compact_watermark(spark, path, max_files=8) is False
+    assert compact_watermark(spark, path, max_files=3) is True
+    assert len(files()) == 1 and read_watermark(spark, path) == S3
+    assert compact_watermark(spark, path, max_files=0) is True  # one file: rewritten, same value
+    write_watermark(spark, path, S2)  # older than the max: never moves it back
+    assert read_watermark(spark, path) == S3

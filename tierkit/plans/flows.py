@@ -27,7 +27,8 @@ from tierkit.operators.aggregate import audit_columns, group_count
 from tierkit.operators.dedup import first_per_key
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
-from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
+from tierkit.plans.watermark import compact_watermark, effective_watermark, read_watermark, \
+    write_watermark
 from tierkit.session import shuffle_sizing
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
@@ -157,11 +158,19 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
 
 
 def run_all(spark: SparkSession, records: DataFrame | None, bronze_watermark: str | None,
-            silver_cfg: SilverConfig, gold_cfg: GoldConfig, as_of=None) -> dict:
-    """C4: land (when records are given) -> silver -> gold; a failure stops the rest."""
+            silver_cfg: SilverConfig, gold_cfg: GoldConfig, as_of=None,
+            watermark_max_files: int = 64) -> dict:
+    """C4: land (when records are given) -> silver -> gold; a failure stops the rest.
+
+    Last, the layers' watermark datasets are compacted once they hold more
+    than ``watermark_max_files`` commit files (one small job each).
+    """
     out = {}
     if records is not None:
         out["landed"] = land_snapshot(records, silver_cfg.bronze_root, bronze_watermark)
     out["silver"] = bronze_to_silver(spark, silver_cfg)
     out["gold"] = silver_to_gold(spark, gold_cfg, as_of)
+    for wm in (bronze_watermark, silver_cfg.watermark_path, gold_cfg.watermark_path):
+        if wm:
+            compact_watermark(spark, wm, watermark_max_files)
     return out

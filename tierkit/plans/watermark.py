@@ -51,3 +51,27 @@ def reset_watermark(spark: SparkSession, path: str, stamp: str) -> None:
     row = [(str(stamp).strip(), datetime.now(timezone.utc).replace(tzinfo=None))]
     (spark.createDataFrame(row, WATERMARK_SCHEMA).coalesce(1)
      .write.mode("overwrite").parquet(path))
+
+
+def compact_watermark(spark: SparkSession, path: str, max_files: int = 64) -> bool:
+    """Rewrite the control dataset as one row once it holds over ``max_files``
+    commit files (each commit appends one), so reading it stays a small job.
+
+    One job finds the largest stamp and the number of files.  The rewrite
+    replaces the folder: a crash in the middle can only lose the watermark,
+    after which the next run republishes the newest snapshot - the same
+    idempotent overwrite - and commits again.  Returns whether it rewrote.
+    """
+    try:
+        row = (spark.read.schema(WATERMARK_SCHEMA).parquet(path)
+               .agg(F.max(F.trim("stamp")).alias("m"),
+                    F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+               .first())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
+    if row["m"] is None or row["files"] <= max_files:
+        return False
+    reset_watermark(spark, path, row["m"])
+    return True
