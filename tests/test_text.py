@@ -5,7 +5,6 @@ import string
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tierkit.functions import text as T
 
