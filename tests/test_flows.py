@@ -266,3 +266,23 @@ def test_compact_watermark_keeps_the_max(spark, tmpdir_path):
     assert compact_watermark(spark, path, max_files=0) is True  # one file: rewritten, same value
     write_watermark(spark, path, S2)  # older than the max: never moves it back
     assert read_watermark(spark, path) == S3
+
+
+def test_shuffle_sizing_reaches_the_dedup_exchange(spark, tmpdir_path):
+    import re
+
+    from tierkit.plans.flows import silver_frame
+    from tierkit.session import shuffle_sizing
+
+    root = os.path.join(tmpdir_path, "bronze")
+    _bronze(root)
+    cfg = _cfg(tmpdir_path)
+    scan = read_snapshots(spark, root, RECORD_SCHEMA, layout="file_name")
+
+    def exchange_partitions():
+        plan = silver_frame(scan, cfg, S2)._jdf.queryExecution().executedPlan().toString()
+        return int(re.search(r"Exchange hashpartitioning\(__k0#\d+, (\d+)\)", plan).group(1))
+
+    with shuffle_sizing(spark, 24 * (256 << 20)):  # 24 partitions' worth of input
+        assert exchange_partitions() == 24
+    assert exchange_partitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
