@@ -112,10 +112,12 @@ def shuffle_sizing(spark: SparkSession, input_bytes: int | None,
                    target_bytes: int = TARGET_SHUFFLE_INPUT_BYTES):
     """Size the shuffles of a job from the bytes it reads, then restore.
 
-    AQE only *merges* shuffle partitions (and splits skewed ones); it never
-    cuts a too-large partition into more.  So the initial partition count must
-    grow with the input - the fixed default (200) would give 500 GB partitions
-    on 100 TB - and AQE then merges the small ones.  ``None``: leave as is.
+    AQE merges small shuffle partitions and splits skewed join / large
+    rebalance partitions, but never a partition of an aggregation or window
+    shuffle (the dedup), nor a join whose partitions are all large.  So the
+    initial partition count must grow with the input - the fixed default (200)
+    would give 500 GB partitions on 100 TB - and AQE then merges the small
+    ones.  ``None``: leave as is.
     """
     if not input_bytes:
         yield None
