@@ -17,7 +17,7 @@ Design points (compared with a straight "SQL per step" job):
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -138,7 +138,7 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
     if cfg.skip_if_current and newest is not None and newest == read_watermark(
             spark, cfg.watermark_path):
         return {"status": "current", "stamp": newest}
-    as_of = as_of or datetime.utcnow().replace(microsecond=0)
+    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     # The aggregate is computed once and kept (memory, spilling to disk): the
     # layout's quantile job, its range sample and the write then read it
     # instead of each re-scanning the whole silver table.  A lost executor
