@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import chat_format
+from tierkit.llm import chat_format, secret_scan
 from tierkit.llm.common import ship_package, table, whole_text
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -50,5 +50,17 @@ SELECT conv_id, count(*) AS n_turns,
 FROM b GROUP BY conv_id
 """
 
-QUERIES = {"op7_chat_format": op7_chat_format}
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs).select("doc_id", "secret_spans")
+    kinds = [p.kind for p in (*secret_scan.PATTERNS, *secret_scan.CLASSES)]
+    base = F.filter("secret_spans", lambda s: s["k"] < len(secret_scan.PATTERNS))
+    count = lambda k: F.size(F.filter("secret_spans", lambda s: s["k"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{p.kind}") for k, p in enumerate(secret_scan.PATTERNS)],
+        F.sha2(secret_scan.listed(base, kinds), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("secret_spans"), kinds).alias("spans"))
+
+
+QUERIES = {"op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op7_chat_format": OP7_SQL}
