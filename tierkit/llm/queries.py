@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import chat_format, secret_scan
+from tierkit.llm import chat_format, packing, secret_scan, token_index
 from tierkit.llm.common import ship_package, table, whole_text
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -62,5 +62,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("secret_spans"), kinds).alias("spans"))
 
 
-QUERIES = {"op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_index.new_folder(spark)
+    token_index.write_ids(table(spark, sf_dir, "documents"), folder)
+    return token_index.read_ids(spark, folder, digest=True).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.col("ids").alias("ids_crc32"))
+
+
+QUERIES = {"op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op7_chat_format": OP7_SQL}
