@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import chat_format, packing, secret_scan, token_index
+from tierkit.llm import chat_format, chunk_bpe, packing, secret_scan, token_index
 from tierkit.llm.common import ship_package, table, whole_text
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -73,5 +73,10 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", "n_tokens", F.col("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.encode(table(spark, sf_dir, "documents"), digests=True).select(
+        "doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
+QUERIES = {"op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op7_chat_format": OP7_SQL}
