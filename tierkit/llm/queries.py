@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierkit.llm import chat_format, chunk_bpe, packing, secret_scan, token_index
-from tierkit.llm.common import ship_package, table, whole_text
+from tierkit.llm import (
+    chat_format, chunk_bpe, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index)
+from tierkit.llm.common import saved, ship_package, table
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
 
@@ -78,5 +79,29 @@ def op9_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
-QUERIES = {"op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+def _documents_with_stats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    ship_package(spark)
+    docs, stats = text_stats.with_stats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return saved(docs.drop("text"), "document-stats"), stats
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, stats = _documents_with_stats(spark, sf_dir)
+    model = quality_rules.fit(*quality_rules.vote_counts(docs, stats))
+    judged, good = quality_rules.judge(docs, stats, model)
+    failed = quality_rules.base_failed(stats)
+    return judged.select(
+        "doc_id", *[F.col(stats)[c].alias(c) for c in text_stats.STATS[:5]], failed.alias("base_failed"),
+        (~failed & (F.col(good) >= 0.5)).alias("kept"), F.col(good).alias("posterior"))
+
+
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, stats = _documents_with_stats(spark, sf_dir)
+    model = rule_ensemble.fit(docs, stats, table(spark, sf_dir, "labels"))
+    judged, score = rule_ensemble.scored(docs, stats, model)
+    return judged.select("doc_id", rule_ensemble.held_out(F.col("doc_id")).alias("held_out"),
+                         F.col(score).alias("score"), (F.col(score) >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {"op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op7_chat_format": OP7_SQL}
