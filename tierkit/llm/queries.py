@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.llm import (
-    chat_format, chunk_bpe, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index)
+    chat_format, chunk_bpe, near_dedup, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index)
 from tierkit.llm.common import saved, ship_package, table
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -103,5 +103,9 @@ def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col(score).alias("score"), (F.col(score) >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", F.col("stays").alias("kept"))
+
+
+QUERIES = {"op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op7_chat_format": OP7_SQL}
