@@ -17,12 +17,14 @@ are looked up by a hash of both in a table, so a sample costs one lookup per
 shingle. Documents that agree on all samples of a band share a bucket: at a
 similarity of 0.8, 99.96 % of pairs share one.
 
-Equal texts are collapsed first. In each bucket all members are compared with one
-of them, on their whole texts by weighted Jaccard similarity, so a bucket of
-n costs n - 1 comparisons, not all pairs. Rounds with another leader per bucket
-follow for members that are not yet in the leader's class, until a round brings
-no new link: a large bucket's leaders change, no bucket is capped. Classes are the
-connected components of the verified links.
+Equal texts are collapsed first. In each bucket all members are compared with the
+first one, on their whole texts by weighted Jaccard similarity. Rounds follow in
+which buckets that still hold several classes are dealt into shares of about
+``SHARE`` members, and members of different classes in a share are compared:
+a bucket no larger than that is compared whole, a larger one is dealt anew each
+round until a round brings no new link. So a bucket of n costs at most some n
+times ``SHARE`` / 2 comparisons a round, and copies of one text or class none.
+Classes are the connected components of the verified links.
 
 Defined cases: null and empty texts (no words) are never duplicates and form a
 class each; texts that are equal are one class whatever their doc_id; repeated
@@ -45,6 +47,7 @@ from tierkit.llm.components import components
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
+SHARE = 16  # members of a bucket that are compared with each other
 SKETCH = 1 << 17
 IDF_SHARE = 0.1
 STEP = 0.1  # of ln(weight) in sampling
@@ -210,11 +213,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def _leaders(buckets: DataFrame, turn: int) -> DataFrame:
-    """One member of each bucket: the smallest id at first, then by changing orders."""
-    order = F.col("id") if turn == 0 else -F.col("id") if turn == 1 else F.xxhash64("id", F.lit(turn))
-    return buckets.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("root"))).alias("m")).select(
-        "key", F.col("m.id").alias("a"), F.col("m.root").alias("root_a"))
+def _candidates(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b; a < b) of members (key, id, root, n) of one bucket and of two classes so far.
+
+    First every member with its bucket's smallest id; then, with another deal each turn, all pairs within
+    shares of about ``SHARE`` members of a bucket, which are whole buckets where these are no larger.
+    """
+    if turn == 0:
+        led = placed.groupBy("key").agg(F.min("id").alias("a"))
+        return placed.join(led, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    share = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("n") / SHARE))
+    dealt = placed.where("mixed").select("key", share.alias("share"), "id", "root")
+    other = dealt.select("key", "share", F.col("id").alias("b"), F.col("root").alias("root_b"))
+    pairs = dealt.join(other, ["key", "share"]).where("id < b and root <> root_b")
+    return pairs.select(F.col("id").alias("a"), "b").distinct()
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -231,7 +243,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = saved(signed.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")).select(
         F.monotonically_increasing_id().alias("id"), "*"), "texts")
     buckets = nodes.select("id", F.explode("keys").alias("key"))
-    shared = saved(buckets.join(buckets.groupBy("key").count().where("count > 1").select("key"), "key").select("key", "id"), "buckets")
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = saved(buckets.join(sizes, "key").select("key", "id", "n"), "buckets")
     wanted = nodes.join(shared.select("id").distinct(), "id").select("id", "content")
     first = rows.groupBy("content").agg(F.first("text").alias("text"))
     texts = saved(wanted.join(first, "content").select("id", "text"), "candidate-texts")
@@ -239,14 +252,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     labels = nodes.select("id", F.col("id").alias("root"))
     links = tested = None
     for turn in count():
-        placed = shared.join(labels, "id").select("key", "id", "root")
-        led = placed.join(_leaders(placed, turn), "key").where("root <> root_a")
-        pairs = led.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        placed = shared.join(labels, "id").select("key", "id", "n", "root")
+        if turn:
+            mixed = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("mixed"))
+            placed = placed.join(mixed, "key")
+        pairs = _candidates(placed, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
         found = saved(_verified(pairs, texts, idf, threshold), "links")
-        if not found.take(1):
+        if not found.take(1) and turn:
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
