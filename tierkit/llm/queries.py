@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.llm import (
-    chat_format, chunk_bpe, near_dedup, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index)
+    chat_format, chunk_bpe, near_dedup, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index, vp_tree)
 from tierkit.llm.common import saved, ship_package, table
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -107,5 +107,23 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", F.col("stays").alias("kept"))
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
-SQL = {"op7_chat_format": OP7_SQL}
+def op6_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vp_tree.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.embedding) = len(q.embedding)
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+QUERIES = {"op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+SQL = {"op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL}
