@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.llm import (
-    chat_format, chunk_bpe, near_dedup, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index, vp_tree)
+    chat_format, chunk_bpe, near_dedup, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index, url_rules,
+    vp_tree)
 from tierkit.llm.common import saved, ship_package, table
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -125,5 +126,10 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-QUERIES = {"op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).select(
+        "page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
+QUERIES = {"op3_url_rules": op3_url_rules, "op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL}
