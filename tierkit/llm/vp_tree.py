@@ -38,7 +38,7 @@ from tierkit.llm.common import saved, ship_package
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 8_192
 LEAF = 256
-FACTOR = 4.0
+FACTOR = 2.0
 _SLACK = 1e-9  # of scores that rounding may part, in either order of summation
 
 
