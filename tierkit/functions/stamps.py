@@ -31,14 +31,30 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def utc_text(ts) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` of an instant in UTC, whatever the session zone.
+
+    A timestamp without zone is taken as UTC as it stands.  No wall time of the
+    session's zone is involved, so its clock changes don't matter.
+    """
+    t = _c(ts)
+    seconds = (F.unix_micros(t.cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    since = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.when(F.typeof(t) == "timestamp_ntz", t.cast("string")).otherwise(since.cast("string"))
+
+
 def stamp_format(ts) -> Column:
-    """Timestamp -> stamp text."""
-    return F.date_format(_c(ts), STAMP_PATTERN)
+    """Timestamp -> stamp text, in UTC."""
+    text = utc_text(ts)
+    digits = F.regexp_replace(text, "[^0-9]", "")
+    fraction = F.rpad(F.coalesce(F.nullif(F.substring_index(text, ".", -1), text), F.lit("")), 6, "0")
+    return F.concat(F.substring(digits, 1, 8), F.lit("_"), F.substring(digits, 9, 6), F.lit("_"), fraction)
 
 
-def parse_stamp(stamp) -> Column:
-    """Stamp text -> timestamp (NULL when malformed)."""
-    return F.try_to_timestamp(_c(stamp), F.lit(STAMP_PATTERN))
+def stamp_date_parts(stamp) -> dict[str, Column]:
+    """``year``, ``month`` and ``day`` cut out of a stamp's text."""
+    t = _c(stamp)
+    return {"year": F.substring(t, 1, 4), "month": F.substring(t, 5, 2), "day": F.substring(t, 7, 2)}
 
 
 def date_parts(ts) -> dict[str, Column]:

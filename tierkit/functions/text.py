@@ -2,20 +2,16 @@
 
 All functions take and return ``Column`` objects built from built-in Spark SQL
 functions, so they stay inside whole-stage code generation.  The one exception
-is the exact accent fold, which needs Unicode NFKD: by default an Arrow UDF
-whose body is columnar (Arrow's NFKD kernel, then numpy over the value buffer),
-measured faster than the all-JVM form; a native mode and a hybrid mode remain.
+is the exact accent fold, which needs Unicode NFKD: an Arrow UDF whose body is
+columnar (Arrow's NFKD kernel, then numpy over the value buffer).
 """
 
 from __future__ import annotations
 
-import re
 import sys
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -87,50 +83,6 @@ def try_double(col) -> Column:
 # directory the job was started from, and without shipping the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _nfkd_ascii(ch: str) -> str:
-    return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-
-
-@lru_cache(maxsize=1)
-def fold_tables() -> tuple[str, str, str]:
-    """Tables derived from the Unicode database by one rule.
-
-    For every non-ASCII code point, its NFKD form with non-ASCII dropped is
-    either empty (dropped later), one ASCII character (goes into the
-    ``translate`` map) or several characters (``multi``: only the exact path can
-    expand those, e.g. ligatures and vulgar fractions).
-    Returns ``(from_chars, to_chars, multi_chars)``.
-    """
-    src, dst, multi = [], [], []
-    for cp in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        if unicodedata.decomposition(ch) == "":
-            continue  # no decomposition: NFKD leaves it, and it is non-ASCII
-        out = _nfkd_ascii(ch)
-        if len(out) == 1:
-            src.append(ch)
-            dst.append(out)
-        elif len(out) > 1:
-            multi.append(ch)
-    return "".join(src), "".join(dst), "".join(multi)
-
-
-def fold_text_python(text, null_as_text: bool = False):
-    """X13 as plain Python: NFKD, drop non-ASCII, lower, slug, trim ``_``."""
-    if text is None:
-        if not null_as_text:
-            return None
-        text = "None"
-    if not isinstance(text, str):
-        text = str(text)
-    s = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii").lower()
-    s = re.sub(FOLD_PATTERN, "_", s)
-    s = re.sub(FOLD_REPEAT_PATTERN, "_", s)
-    return s.strip("_")
-
-
 # byte map applied after NFKD, once only ASCII is left: A-Z -> a-z, a-z and
 # 0-9 kept, every other byte -> '_' (the fold's lower + FOLD_PATTERN steps)
 _FOLD_BYTES = np.full(256, ord("_"), dtype=np.uint8)
@@ -139,6 +91,14 @@ _FOLD_BYTES[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _FOLD_BYTES[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
+def fold_text(text: str | None) -> str | None:
+    """X13 for one text, through the same byte map: the definition the columnar kernel is checked against."""
+    if text is None:
+        return None
+    data = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").translate(_FOLD_BYTES.tobytes())
+    return "_".join(w for w in data.decode("ascii").split("_") if w)
+
+
 def _delete_bytes(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray):
     """Keep the bytes where ``keep`` is set; shift the string offsets to match."""
     gone = np.flatnonzero(~keep)
@@ -153,7 +113,7 @@ FOLD_SLICE_BYTES = 16 * 1024 * 1024
 
 
 def fold_text_arrow(arr: pa.Array) -> pa.Array:
-    """X13 on a whole Arrow string array, equal to ``fold_text_python`` per row.
+    """X13 on a whole Arrow string array, equal to ``fold_text`` per row.
 
     Arrow's NFKD kernel runs first; after it every byte >= 0x80 belongs to a
     non-ASCII code point, so "drop non-ASCII, lower, slug, collapse ``_``" are
@@ -212,75 +172,14 @@ fold_slug_udf = F.arrow_udf(fold_text_arrow, StringType())
 fold_slug_udf.__doc__ = "U1: exact accent fold as an Arrow UDF (columnar body, NULL -> NULL)."
 
 
-def _fold_series(s: pd.Series) -> pd.Series:
-    return s.map(fold_text_python, na_action="ignore")
-
-
-# the per-row definition behind one pandas UDF; kept to check the Arrow kernel
-fold_slug_rowwise_udf = F.pandas_udf(_fold_series, StringType())
-
-
-@lru_cache(maxsize=1)
-def rare_class() -> str:
-    """Regex class covering every multi-expansion character: those inside
-    Latin-1 one by one, then one range from the first one above Latin-1 to the
-    last code point (Java regex matches code points, not UTF-16 units).  A
-    short class tests fast; a superset only sends a few more rows down the
-    exact path."""
-    _, _, multi = fold_tables()
-    low = sorted(c for c in multi if ord(c) <= 0xFF)
-    high = min(ord(c) for c in multi if ord(c) > 0xFF)
-    return "[" + "".join(low) + f"\\x{{{high:04X}}}-\\x{{10FFFF}}" + "]"
-
-
-def _fold_native(col: Column) -> Column:
-    src, dst, _ = fold_tables()
-    s = F.translate(col, src, dst)
-    s = F.regexp_replace(s, "[^\\x00-\\x7F]", "")
-    s = F.lower(s)
-    # '[^a-z0-9_]' -> '_' followed by '__+' -> '_' equals one pass turning
-    # every run of characters outside a-z0-9 (underscores included) into '_'
-    s = F.regexp_replace(s, SLUG_PATTERN, "_")
-    return F.btrim(s, F.lit("_"))
-
-
-def fold_slug(col, mode: str = "arrow", null_as_text: bool = False) -> Column:
-    """ASCII-fold slug.
-
-    ``mode``:
-      * ``arrow`` (default, exact) - the Arrow UDF ``fold_text_arrow``: Arrow's
-        NFKD kernel plus numpy byte operations, no per-row Python.  Whole
-        ``documents.text`` at sf0.1 (local[8], warm): 1.4 s, against 2.7 s for
-        ``python``, 3.3-4.4 s for ``native`` and 4.4 s for ``hybrid``: Spark's
-        ``translate`` allocates per character and each regex pass rescans the
-        text.
-      * ``python`` (exact) - the per-row definition ``fold_text_python`` behind
-        a pandas UDF; kept as the reference the kernel is checked against.
-      * ``native`` - built-in functions only (translate map + regex), no Python
-        worker.  Exact for every character except those whose NFKD expands to
-        several ASCII characters (``fold_tables()[2]``), which it drops.
-      * ``hybrid`` (exact) - native for all rows; rows that may contain a
-        multi-expansion character also go through the UDF, every other row
-        crosses the Python boundary as a NULL only (small Arrow batches).
+def fold_slug(col, null_as_text: bool = False) -> Column:
+    """ASCII-fold slug, by the Arrow UDF ``fold_text_arrow`` (exact, no per-row Python).
+
     ``null_as_text=True`` reproduces the reference quirk ``NULL -> 'none'``.
     """
     c = as_text(col)
-    if mode == "native":
-        out = _fold_native(c)
-    elif mode == "arrow":
-        out = fold_slug_udf(c)
-    elif mode == "python":
-        out = fold_slug_rowwise_udf(c)
-    elif mode == "hybrid":
-        # rows that may hold a multi-expansion character (see rare_class; a
-        # class listing all ~450 characters one by one is ~40x slower)
-        rare = F.when(c.rlike(rare_class()), c)
-        out = F.coalesce(fold_slug_udf(rare), _fold_native(c))
-    else:
-        raise ValueError(f"unknown fold mode {mode!r}")
-    if null_as_text:
-        out = F.when(c.isNull(), F.lit("none")).otherwise(out)
-    return out
+    out = fold_slug_udf(c)
+    return F.when(c.isNull(), F.lit("none")).otherwise(out) if null_as_text else out
 
 
 def register_fold_udf(spark, name: str = "fold_slug") -> None:

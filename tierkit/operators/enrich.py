@@ -5,10 +5,11 @@ attribute tuple wins), so a fact row can never be multiplied.  Its size is then
 *measured* - rows and the exact bytes of the rows a broadcast would hold - and
 only within ``max_broadcast_rows`` *and* ``max_broadcast_bytes`` (default: the
 session's ``spark.sql.autoBroadcastJoinThreshold``) it is broadcast (no
-shuffle of the facts at all); beyond either the join is a shuffle join, where
+shuffle of the facts at all); beyond either the join is a shuffle join, in one
+pass over the facts, where
 
-* fact rows with a NULL key - which can never match - are split off and
-  passed through, so they cannot pile up in the one partition NULL hashes to;
+* fact rows with a NULL key - which can never match - get a salt beside their
+  key, so they spread over the partitions instead of meeting in one;
 * a hot non-NULL key is split by AQE's skew-join handling (the left side of a
   left outer join may be split, the unique right side is replicated).
 """
@@ -25,6 +26,7 @@ from pyspark.sql.types import BinaryType, StringType
 from tierkit.session import scratch_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+NULL_SALTS = 4096  # partitions over which rows with a NULL key may spread
 
 
 def broadcast_row_bytes(df: DataFrame) -> Column:
@@ -78,37 +80,33 @@ def enrich_left(df: DataFrame, ref: DataFrame, keys, attrs,
                 strategy: str = "auto", max_broadcast_bytes: int | None = None) -> DataFrame:
     """Left join ``attrs`` of ``ref`` onto ``df`` by ``keys``; unmatched -> NULL.
 
-    ``strategy``: ``auto`` (size check), ``broadcast`` or ``shuffle``.
+    ``strategy``: ``auto`` (size check), ``broadcast`` (raises where the check fails) or ``shuffle``.
     ``max_broadcast_bytes``: ``None`` -> the session's broadcast threshold.
     """
     clash = set(attrs) & set(df.columns)
     if clash:
         raise ValueError(f"attribute columns already on the facts: {sorted(clash)}")
-    uref = unique_reference(ref, keys, attrs)
-    if strategy in ("auto", "shuffle"):
-        # Materialise the deduplicated reference once (reliable checkpoint in
-        # the shared spark.checkpoint.dir): the size check then counts stored
-        # rows instead of re-running the dedup, and in the shuffle join both
-        # inputs are plain shuffle stages - the shape AQE needs to split a
-        # skewed fact partition.
-        scratch_root(df.sparkSession)
-        uref = uref.checkpoint(eager=True)
-    if strategy == "auto":
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    # Materialise the deduplicated reference once (reliable checkpoint in the
+    # shared spark.checkpoint.dir): the size check then counts stored rows
+    # instead of re-running the dedup, and in the shuffle join both inputs are
+    # plain shuffle stages - the shape AQE needs to split a skewed partition.
+    scratch_root(df.sparkSession)
+    uref = unique_reference(ref, keys, attrs).checkpoint(eager=True)
+    if strategy != "shuffle":
         if max_broadcast_bytes is None:
             max_broadcast_bytes = session_broadcast_limit(df.sparkSession)
         # one aggregate over the stored reference: its rows and their bytes
         size = uref.agg(F.count(F.lit(1)).alias("rows"),
                         F.coalesce(F.sum(broadcast_row_bytes(uref)), F.lit(0)).alias("bytes")).first()
-        fits = size["rows"] <= max_broadcast_rows and size["bytes"] <= max_broadcast_bytes
-        strategy = "broadcast" if fits else "shuffle"
-    if strategy == "broadcast":
-        return df.join(F.broadcast(uref), on=list(keys), how="left")
-    if strategy != "shuffle":
-        raise ValueError(f"unknown strategy {strategy!r}")
+        if size["rows"] <= max_broadcast_rows and size["bytes"] <= max_broadcast_bytes:
+            return df.join(F.broadcast(uref), on=list(keys), how="left")
+        if strategy == "broadcast":
+            raise ValueError(f"the reference is too large to broadcast: {size['rows']} rows, {size['bytes']} bytes")
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    matchable = df.where(~any_null)
-    unmatchable = df.where(any_null)
-    ref_types = {f.name: f.dataType for f in uref.schema.fields}
-    passed = unmatchable.select("*", *[F.lit(None).cast(ref_types[a]).alias(a) for a in attrs])
-    joined = matchable.join(uref, on=list(keys), how="left")
-    return joined.unionByName(passed.select(*joined.columns))
+    salt = "__salt"
+    salted = df.withColumn(salt, F.when(any_null, F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)) + 1)
+                           .otherwise(F.lit(0)).cast("long"))
+    joined = salted.join(uref.withColumn(salt, F.lit(0).cast("long")), on=[*keys, salt], how="left")
+    return joined.drop(salt).select(*keys, *[c for c in df.columns if c not in keys], *attrs)

@@ -7,7 +7,7 @@ the source has the same name).  Rules:
 ``text``             ``lower(trim(cast))``
 ``text_or_unknown``  as ``text``; blank or NULL -> ``'unknown'``
 ``slug``             ``text_or_unknown`` then non-``[a-z0-9]`` runs -> ``_``
-``fold``             ASCII-fold slug (exact hybrid mode)
+``fold``             ASCII-fold slug (exact, an Arrow UDF)
 ``double``           tolerant text -> double
 ``keep``             unchanged
 """

@@ -35,62 +35,67 @@ DAY_STAMP = "strftime(ts, '%Y%m%d') || '_000000_000000'"
 EV = f"(SELECT *, {DAY_STAMP} AS stamp FROM events)"
 
 RECS = f"""recs AS (
-  SELECT CAST(e.user_id AS VARCHAR) AS id,
-         c.c_name AS name,
-         c.c_mktsegment AS brewery_type,
-         'event ' || CAST(e.event_id AS VARCHAR) AS street,
-         CASE WHEN e.event_type = 'view' THEN NULL ELSE ' Floor ' || e.event_type || ' ' END AS address_2,
-         CAST(NULL AS VARCHAR) AS address_3,
-         e.event_type AS city,
-         CASE WHEN e.event_type = 'error' THEN '  ' ELSE n.n_name END AS state,
-         lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS postal_code,
-         n.n_name AS country,
-         e.value AS lon_d,
-         CASE WHEN e.event_type = 'click' THEN NULL ELSE -e.value END AS lat_d,
-         e.props AS phone,
-         CAST(NULL AS VARCHAR) AS website_url,
-         CASE WHEN e.event_type = 'purchase' THEN NULL ELSE upper(n.n_name) END AS state_province,
+  SELECT CAST(e.user_id AS VARCHAR) AS venue_key,
+         'event ' || CAST(e.event_id AS VARCHAR) AS line,
+         c.c_name AS label,
+         c.c_mktsegment AS kind,
+         e.event_type AS channel,
+         CASE WHEN e.event_type = 'view' THEN NULL ELSE ' Floor ' || e.event_type || ' ' END AS floor,
+         CAST(NULL AS VARCHAR) AS spare,
+         n.n_name AS nation,
+         CASE WHEN e.event_type = 'error' THEN '  ' ELSE n.n_name END AS area,
+         CASE WHEN e.event_type = 'purchase' THEN NULL ELSE upper(n.n_name) END AS province,
+         lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS area_code,
+         e.value AS amount,
+         CASE WHEN e.event_type = 'click' THEN NULL ELSE -e.value END AS opposite,
+         e.props AS payload,
          strftime(e.ts, '%Y%m%d') || '_000000_000000' AS stamp
   FROM events e
   LEFT JOIN customer c ON e.user_id = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
 SILVER_COLS = f"""
-  trim(id, ' ') AS id, {_text('name')} AS name, {_text('brewery_type')} AS brewery_type,
-  {_text('street')} AS street, {_text('address_2')} AS address_2, {_text('address_3')} AS address_3,
-  {_text('city')} AS city, {_unknown('state')} AS state, {_text('postal_code')} AS postal_code,
-  {_slug('country')} AS country, lon_d AS longitude, lat_d AS latitude, {_text('phone')} AS phone,
-  {_text('website_url')} AS website_url, {_unknown('state_province')} AS state_province,
-  stamp AS bronze_file_timestamp"""
+  trim(venue_key, ' ') AS venue_key, {_slug('nation')} AS nation, {_unknown('area')} AS area,
+  {_unknown('province')} AS province, amount, opposite, {_text('line')} AS line, {_text('label')} AS label,
+  {_text('kind')} AS kind, {_text('channel')} AS channel, {_text('floor')} AS floor, {_text('spare')} AS spare,
+  {_text('area_code')} AS area_code, {_text('payload')} AS payload, stamp AS snapshot_stamp"""
 
 SILVER_ALL = f"WITH {RECS} SELECT {SILVER_COLS} FROM recs"
 
-SILVER_LATEST = f"""WITH {RECS},
-latest AS (SELECT max(stamp) AS m FROM recs WHERE stamp > '{EPOCH}'),
-snap AS (SELECT r.*, row_number() OVER (PARTITION BY r.id ORDER BY r.stamp DESC, r.street DESC) AS rn
-         FROM recs r JOIN latest l ON r.stamp = l.m)
+
+def _silver_latest(recs: str = "recs", since: str = EPOCH) -> str:
+    return f"""WITH {RECS},
+latest AS (SELECT max(stamp) AS m FROM {recs} WHERE stamp > '{since}'),
+snap AS (SELECT r.*, row_number() OVER (PARTITION BY r.venue_key ORDER BY r.line DESC) AS rn
+         FROM {recs} r JOIN latest l ON r.stamp = l.m)
+SELECT {SILVER_COLS} FROM snap WHERE rn = 1"""
+
+
+SILVER_LATEST = _silver_latest()
+# all records as one snapshot
+SILVER_ONE = f"""WITH {RECS},
+snap AS (SELECT *, row_number() OVER (PARTITION BY venue_key ORDER BY line DESC) AS rn FROM recs)
 SELECT {SILVER_COLS} FROM snap WHERE rn = 1"""
+REFERENCE = """(SELECT DISTINCT {slug} AS nation, lpad(CAST(n.{code} AS VARCHAR), 5, '0') AS area_code,
+         upper(substr(r.r_name, 1, 2)) AS region_code, r.r_name AS region_name
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_regionkey < 4)"""
 
 
 def _gold_over(silver_sql: str) -> str:
-    return f"""SELECT country, brewery_type, count(id) AS quantity_of_breweries,
-       {AS_OF} AS created_at, {AS_OF} AS updated_at
-FROM ({silver_sql}) s GROUP BY country, brewery_type"""
+    return f"""SELECT nation, kind, count(venue_key) AS n_venues, {AS_OF} AS created_at, {AS_OF} AS updated_at
+FROM ({silver_sql}) s GROUP BY nation, kind"""
 
 
-GROUP_COUNT = f"""SELECT {_slug('n.n_name')} AS country, {_text('c.c_mktsegment')} AS brewery_type,
-       count(c.c_custkey) AS quantity_of_breweries
+GROUP_COUNT = f"""SELECT {_slug('n.n_name')} AS nation, {_text('c.c_mktsegment')} AS kind,
+       count(c.c_custkey) AS n_venues
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY 1, 2"""
 
 AUDIT = f"""SELECT *, {AS_OF} AS created_at, {AS_OF} AS updated_at FROM ({GROUP_COUNT}) g"""
 
 ORACLES = {
-    "scan_json_snapshots": f"""WITH {RECS}
-SELECT id, name, brewery_type, street, address_2, address_3, city, state, postal_code, country,
-       phone, website_url, state_province, lon_d AS longitude, lat_d AS latitude,
-       stamp AS bronze_file_timestamp FROM recs""",
-    "land_json_partitioned": """SELECT 'event ' || CAST(event_id AS VARCHAR) AS street,
+    "scan_json_snapshots": f"WITH {RECS} SELECT * EXCLUDE (stamp), stamp AS snapshot_stamp FROM recs",
+    "land_json_partitioned": """SELECT 'event ' || CAST(event_id AS VARCHAR) AS line,
        strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
        strftime(ts, '%Y%m%d') || '_000000_000000' AS snapshot FROM events""",
     "scan_csv_reference": """SELECT CAST(c_custkey AS VARCHAR) AS customer_key, c_name AS customer_name,
@@ -148,27 +153,32 @@ ORDER BY c_acctbal DESC, c_custkey LIMIT 5""",
        (SELECT count(*) = 0 FROM events) AS events_empty""",
     "group_count": GROUP_COUNT,
     "audit_columns": AUDIT,
-    "enrich_left": f"""WITH ref AS (
-  SELECT DISTINCT {_slug('n.n_name')} AS country, lpad(CAST(n.n_regionkey AS VARCHAR), 5, '0') AS postal_code,
-         upper(substr(r.r_name, 1, 2)) AS country_iso2_code, r.r_name AS administrative_area_name
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_regionkey < 4),
+    "enrich_left": f"""WITH ref AS {REFERENCE.format(slug=_slug('n.n_name'), code='n_regionkey')},
 facts AS (
-  SELECT c.c_custkey, {_slug('n.n_name')} AS country,
+  SELECT c.c_custkey, {_slug('n.n_name')} AS nation,
          CASE WHEN c.c_mktsegment = 'MACHINERY' THEN NULL
               WHEN c.c_mktsegment = 'BUILDING' THEN '99999'
-              ELSE lpad(CAST(n.n_regionkey AS VARCHAR), 5, '0') END AS postal_code
+              ELSE lpad(CAST(n.n_regionkey AS VARCHAR), 5, '0') END AS area_code
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT f.c_custkey, f.country, f.postal_code, r.country_iso2_code, r.administrative_area_name
-FROM facts f LEFT JOIN ref r ON f.country = r.country AND f.postal_code = r.postal_code""",
+SELECT f.c_custkey, f.nation, f.area_code, r.region_code, r.region_name
+FROM facts f LEFT JOIN ref r ON f.nation = r.nation AND f.area_code = r.area_code""",
     "table_overwrite_roundtrip": SILVER_ALL,
     "gold_table_roundtrip": AUDIT,
     "csv_export_partitioned": SILVER_ALL,
     "csv_export_plain": AUDIT,
-    "cluster_layout": """SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity
-FROM lineitem""",
-    "cluster_zorder": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
-FROM lineitem""",
+    "cluster_layout": "SELECT * FROM lineitem",
+    "cluster_file_ranges": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS overlapping_files FROM lineitem",
     "bronze_to_silver": SILVER_LATEST,
     "silver_to_gold": _gold_over(SILVER_LATEST),
     "stream_bronze_to_silver": SILVER_LATEST,
+    "bronze_to_silver_enriched": f"""SELECT s.*, r.region_code, r.region_name FROM ({SILVER_LATEST}) s
+LEFT JOIN {REFERENCE.format(slug=_slug('n.n_name'), code='n_nationkey')} r
+  ON s.nation = r.nation AND s.area_code = r.area_code""",
+    "bronze_to_silver_file_names": SILVER_LATEST,
+    "scan_file_names": f"""WITH {RECS} SELECT line, label,
+       CASE WHEN stamp = (SELECT min(stamp) FROM recs) THEN '' ELSE stamp END AS snapshot_stamp FROM recs""",
+    "silver_sql": _silver_latest(since=MID),
+    "land_snapshot": f"""WITH {RECS} SELECT line, '20250101_120000_000000' AS snapshot_stamp,
+       (SELECT count(*) FROM recs) AS committed_rows, '20250101_120000_000000' AS watermark FROM recs""",
+    "run_all": _gold_over(SILVER_ONE),
 }

@@ -2,16 +2,18 @@
 
 Design points (compared with a straight "SQL per step" job):
 
-* The newest snapshot is found from one listing of bronze (a job over file
-  paths; no record is read for it); the scan then lists and opens only that
-  snapshot's folder, and a stamp filter (partition / file-metadata filter)
-  keeps its files alone, whatever the size of the bronze history.
-* Each result is written once and *read back* for the CSV mirror, the empty
-  check and the ``MAX`` stamp: no step recomputes the deduplication, the
+* The newest snapshot is the newest *committed* one (a landing commits after its
+  write), read from its folder alone: bronze is not listed, and a snapshot
+  whose files are still arriving is not seen.
+* Each result is written once as a new version and *read back* for the CSV
+  mirror and the ``MAX`` stamp: no step recomputes the deduplication, the
   mirror always equals the table, and the lineage is cut at the table.
-* Nothing is written when there is nothing new; the watermark is committed
-  last, so a failure anywhere leaves the previous state and a re-run redoes
-  the same idempotent overwrite.
+* Nothing is written when there is nothing new.  Table and mirror are replaced
+  by moving a pointer after their write, and the watermark is committed last: a
+  failure leaves the previous table, mirror and watermark (or the new table
+  beside the old watermark, which the next run writes again, equal).
+* A flow runs in a session of its own for its shuffle sizes; the caller's
+  settings are not touched.
 """
 
 from __future__ import annotations
@@ -19,21 +21,32 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.operators.aggregate import audit_columns, group_count
 from tierkit.operators.dedup import first_per_key
+from tierkit.operators.enrich import enrich_left
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
 from tierkit.plans.watermark import compact_watermark, effective_watermark, read_watermark, \
     write_watermark
-from tierkit.session import shuffle_sizing
+from tierkit.session import job_session
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout
-from tierkit.sources.snapshots import newest_snapshot, read_snapshots
-from tierkit.sources.tables import read_table
+from tierkit.sources.snapshots import Snapshot, newest_snapshot, read_snapshots
+from tierkit.sources.tables import read_table, table_bytes
+
+CORRUPT_COL = "__corrupt"
+
+
+@dataclass
+class Enrichment:
+    """J2 inside the silver step: ``attrs`` of ``reference`` by the silver columns ``keys``."""
+
+    reference: DataFrame
+    keys: list
+    attrs: list
 
 
 @dataclass
@@ -43,13 +56,15 @@ class SilverConfig:
     watermark_path: str
     record_schema: object              # StructType or DDL of one raw record
     rules: dict                        # output column -> rule spec (see project.py)
-    key: str = "id"
-    tie_break: list = field(default_factory=list)   # Columns; required
-    partition_by: list = field(default_factory=lambda: ["country"])
+    key: str
+    tie_break: list                    # Columns that settle ties inside a snapshot
+    partition_by: list = field(default_factory=list)
     csv_path: str | None = None
     layout: str = "directory"
-    stamp_col: str = "bronze_file_timestamp"
+    stamp_col: str = "snapshot_stamp"
     fmt: str = "parquet"
+    enrich: Enrichment | None = None
+    corrupt_path: str | None = None    # lines that are no records go here; else they fail the run
 
 
 @dataclass
@@ -57,22 +72,19 @@ class GoldConfig:
     silver_path: str
     gold_path: str
     watermark_path: str
-    keys: list = field(default_factory=lambda: ["country", "brewery_type"])
-    count_col: str = "id"
-    count_alias: str = "quantity_of_breweries"
+    keys: list
+    count_col: str
+    count_alias: str
     csv_path: str | None = None
-    stamp_col: str = "bronze_file_timestamp"
+    stamp_col: str = "snapshot_stamp"
     fmt: str = "parquet"
     skip_if_current: bool = False
-    text_partitions: tuple = ("country",)
-    layout_mode: str = "zorder"        # K5: "zorder" like the reference, or "linear"
+    text_partitions: tuple = ()        # silver's partition columns that hold text
 
 
 def land_snapshot(df: DataFrame, bronze_root: str, watermark_path: str | None = None,
                   stamp: str | None = None) -> str:
-    """Land one snapshot as NDJSON and commit the bronze watermark."""
-    if is_empty(df):
-        raise ValueError("no records to land")
+    """Land one snapshot as NDJSON (no records: an error) and commit the bronze watermark."""
     stamp = land_json(df, bronze_root, stamp)
     if watermark_path:
         write_watermark(df.sparkSession, watermark_path, stamp)
@@ -80,13 +92,14 @@ def land_snapshot(df: DataFrame, bronze_root: str, watermark_path: str | None =
 
 
 def silver_frame(scan: DataFrame, cfg: SilverConfig, newest: str) -> DataFrame:
-    """The silver rows of snapshot ``newest``: W1/F2 then P1."""
+    """The silver rows of snapshot ``newest``: W1/F2, P1, and J2 where configured."""
     snap = scan.where(F.col(cfg.stamp_col) == F.lit(newest))
     dedup = first_per_key(snap, [cfg.key], order=[F.col(cfg.stamp_col).desc()],
                           tie_break=cfg.tie_break)
     spec = dict(cfg.rules)
     spec.setdefault(cfg.stamp_col, "keep")
-    return apply_rules(dedup, spec)
+    out = apply_rules(dedup, spec)
+    return enrich_left(out, cfg.enrich.reference, cfg.enrich.keys, cfg.enrich.attrs) if cfg.enrich else out
 
 
 def bronze_to_silver(spark: SparkSession, cfg: SilverConfig) -> dict:
@@ -95,30 +108,38 @@ def bronze_to_silver(spark: SparkSession, cfg: SilverConfig) -> dict:
     snap = newest_snapshot(spark, cfg.bronze_root, since, cfg.layout)
     if snap.stamp is None:
         return {"status": "nothing_new", "since": since}
-    scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
-                          stamp_col=cfg.stamp_col, folders=snap.folders)
-    # the dedup and rebalance shuffles get partitions sized from the snapshot
-    with shuffle_sizing(spark, snap.bytes):
-        out = publish_snapshot(spark, cfg, scan, snap.stamp)
-    return dict(out, since=since)
-
-
-def publish_snapshot(spark: SparkSession, cfg: SilverConfig, scan: DataFrame,
-                     newest: str) -> dict:
-    """Write silver for snapshot ``newest`` of ``scan``, its CSV mirror, then
-    commit the watermark.  Idempotent: a re-run rewrites the same table."""
-    # dedup keeps >= 1 row per key and the projection drops none, so the
-    # silver rows are empty exactly when the pruned snapshot scan is - a
-    # LIMIT 1 scan instead of a second run of the dedup shuffle.
-    if is_empty(scan.where(F.col(cfg.stamp_col) == F.lit(newest))):
-        return {"status": "empty", "stamp": newest}
-    silver = silver_frame(scan, cfg, newest)
+    return dict(publish_snapshot(spark, cfg, snap), since=since)
+
+
+def publish_snapshot(spark: SparkSession, cfg: SilverConfig, snap: Snapshot) -> dict:
+    """Write silver for ``snap``, its CSV mirror, then commit the watermark.
+
+    Idempotent: a re-run writes the same table.  Lines that are no records fail
+    the run before anything is replaced, or go to ``cfg.corrupt_path``.
+    """
+    job = job_session(spark, snap.bytes)
+    divert = CORRUPT_COL if cfg.corrupt_path else None
+    scan = read_snapshots(job, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
+                          stamp_col=cfg.stamp_col, folders=snap.folders, corrupt_col=divert)
+    out = {"status": "written", "stamp": snap.stamp}
+    if divert:
+        own = scan.where(F.col(cfg.stamp_col) == F.lit(snap.stamp))
+        bad = own.where(F.col(divert).isNotNull())
+        bad.select(F.col(cfg.stamp_col), F.col(divert).alias("line")).write.mode("overwrite").parquet(
+            f"{cfg.corrupt_path}/{snap.stamp}")
+        out["corrupt"] = job.read.parquet(f"{cfg.corrupt_path}/{snap.stamp}").count()
+        scan = scan.where(F.col(divert).isNull()).drop(divert)
+    # dedup keeps >= 1 row per key and the projection drops none, so the silver rows are empty
+    # exactly when the snapshot is - a LIMIT 1 scan instead of a second run of the dedup shuffle.
+    if is_empty(scan.where(F.col(cfg.stamp_col) == F.lit(snap.stamp))):
+        return dict(out, status="empty")
+    silver = silver_frame(scan, cfg, snap.stamp)
     overwrite_table(silver, cfg.silver_path, cfg.partition_by, cfg.fmt)
-    written = spark.read.format(cfg.fmt).schema(silver.schema).load(cfg.silver_path)
     if cfg.csv_path:
-        export_csv(written, cfg.csv_path, cfg.partition_by, rebalance=False)
-    write_watermark(spark, cfg.watermark_path, newest)
-    return {"status": "written", "stamp": newest}
+        export_csv(read_table(job, cfg.silver_path, cfg.fmt, schema=silver.schema), cfg.csv_path,
+                   cfg.partition_by, rebalance=False)
+    write_watermark(spark, cfg.watermark_path, snap.stamp)
+    return out
 
 
 def gold_frame(silver: DataFrame, cfg: GoldConfig, as_of) -> DataFrame:
@@ -127,8 +148,9 @@ def gold_frame(silver: DataFrame, cfg: GoldConfig, as_of) -> DataFrame:
 
 
 def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None = None) -> dict:
-    """Silver table -> gold aggregate, clustered, with CSV mirror."""
-    silver = read_table(spark, cfg.silver_path, cfg.fmt, text_partitions=cfg.text_partitions)
+    """Silver table -> gold aggregate, clustered by its keys, with CSV mirror."""
+    job = job_session(spark, table_bytes(spark, cfg.silver_path))
+    silver = read_table(job, cfg.silver_path, cfg.fmt, text_partitions=cfg.text_partitions)
     # F4 + A2 in one job: the MAX scans the stamp column anyway, the count of
     # the same rows comes with it
     stats = silver.agg(F.max(cfg.stamp_col).alias("m"), F.count(F.lit(1)).alias("n")).first()
@@ -139,19 +161,11 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
             spark, cfg.watermark_path):
         return {"status": "current", "stamp": newest}
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-    # The aggregate is computed once and kept (memory, spilling to disk): the
-    # layout's quantile job, its range sample and the write then read it
-    # instead of each re-scanning the whole silver table.  A lost executor
-    # only recomputes its lost blocks.
-    gold = gold_frame(silver, cfg, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # K4 + K5 in one write: the table is written clustered by its keys.
-        cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt, mode=cfg.layout_mode)
-    finally:
-        gold.unpersist()
+    gold = gold_frame(silver, cfg, as_of)
+    # K4 + K5 in one write: the range sample and the write share the aggregate's shuffle
+    cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt)
     if cfg.csv_path:
-        export_csv(spark.read.format(cfg.fmt).schema(gold.schema).load(cfg.gold_path),
-                   cfg.csv_path)
+        export_csv(read_table(job, cfg.gold_path, cfg.fmt, schema=gold.schema), cfg.csv_path)
     if newest:
         write_watermark(spark, cfg.watermark_path, newest)
     return {"status": "written", "stamp": newest, "as_of": as_of}
@@ -159,7 +173,7 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
 
 def run_all(spark: SparkSession, records: DataFrame | None, bronze_watermark: str | None,
             silver_cfg: SilverConfig, gold_cfg: GoldConfig, as_of=None,
-            watermark_max_files: int = 64) -> dict:
+            watermark_max_files: int = 64, stamp: str | None = None) -> dict:
     """C4: land (when records are given) -> silver -> gold; a failure stops the rest.
 
     Last, the layers' watermark datasets are compacted once they hold more
@@ -167,7 +181,7 @@ def run_all(spark: SparkSession, records: DataFrame | None, bronze_watermark: st
     """
     out = {}
     if records is not None:
-        out["landed"] = land_snapshot(records, silver_cfg.bronze_root, bronze_watermark)
+        out["landed"] = land_snapshot(records, silver_cfg.bronze_root, bronze_watermark, stamp)
     out["silver"] = bronze_to_silver(spark, silver_cfg)
     out["gold"] = silver_to_gold(spark, gold_cfg, as_of)
     for wm in (bronze_watermark, silver_cfg.watermark_path, gold_cfg.watermark_path):

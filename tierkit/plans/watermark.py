@@ -1,35 +1,32 @@
 """The per-layer watermark as a small control dataset.
 
 Each commit *appends* one row ``(stamp, written_at)``; the watermark is the
-largest stamp.  An append is one new file committed atomically by Spark's
-output committer, so a crash can never leave a half-written or empty
-watermark (the reference rewrites a text file in place).  Failures raise -
-the reference returns ``False`` and carries on.
+largest stamp.  Failures raise - the reference returns ``False`` and carries on.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.functions.stamps import default_stamp
+from tierkit.control import append_rows, file_count, replace_rows, rows_of
 
 WATERMARK_SCHEMA = "stamp string, written_at timestamp"
 
 
+def _row(stamp: str) -> tuple:
+    if not stamp or not str(stamp).strip():
+        raise ValueError("refusing to commit a blank watermark")
+    return str(stamp).strip(), datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def read_watermark(spark: SparkSession, path: str) -> str | None:
     """Largest committed stamp, or ``None`` when nothing was ever written."""
-    try:
-        df = spark.read.schema(WATERMARK_SCHEMA).parquet(path)
-        value = df.agg(F.max(F.trim("stamp")).alias("m")).first()["m"]
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
-        raise
-    return value
+    df = rows_of(spark, path, WATERMARK_SCHEMA)
+    return None if df is None else df.agg(F.max(F.trim("stamp")).alias("m")).first()["m"]
 
 
 def effective_watermark(spark: SparkSession, path: str) -> str:
@@ -39,39 +36,25 @@ def effective_watermark(spark: SparkSession, path: str) -> str:
 
 def write_watermark(spark: SparkSession, path: str, stamp: str) -> None:
     """K7: commit ``stamp`` (one row, one file)."""
-    if not stamp or not str(stamp).strip():
-        raise ValueError("refusing to commit a blank watermark")
-    row = [(str(stamp).strip(), datetime.now(timezone.utc).replace(tzinfo=None))]
-    (spark.createDataFrame(row, WATERMARK_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(path))
+    append_rows(spark, path, WATERMARK_SCHEMA, [_row(stamp)])
 
 
 def reset_watermark(spark: SparkSession, path: str, stamp: str) -> None:
-    """Move the watermark anywhere, also backwards (forces a re-run)."""
-    row = [(str(stamp).strip(), datetime.now(timezone.utc).replace(tzinfo=None))]
-    (spark.createDataFrame(row, WATERMARK_SCHEMA).coalesce(1)
-     .write.mode("overwrite").parquet(path))
+    """Move the watermark anywhere, also backwards (forces a re-run).
+
+    A crash on the way leaves the larger of the old and the new stamp.
+    """
+    replace_rows(spark, path, WATERMARK_SCHEMA, [_row(stamp)])
 
 
 def compact_watermark(spark: SparkSession, path: str, max_files: int = 64) -> bool:
-    """Rewrite the control dataset as one row once it holds over ``max_files``
-    commit files (each commit appends one), so reading it stays a small job.
+    """Bring the dataset to one row once it holds over ``max_files`` commit files.
 
-    One job finds the largest stamp and the number of files.  The rewrite
-    replaces the folder: a crash in the middle can only lose the watermark,
-    after which the next run republishes the newest snapshot - the same
-    idempotent overwrite - and commits again.  Returns whether it rewrote.
+    The row of the largest stamp is appended before the older files go, so the
+    watermark is the same at any moment.  Returns whether it compacted.
     """
-    try:
-        row = (spark.read.schema(WATERMARK_SCHEMA).parquet(path)
-               .agg(F.max(F.trim("stamp")).alias("m"),
-                    F.count_distinct(F.col("_metadata.file_path")).alias("files"))
-               .first())
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return False
-        raise
-    if row["m"] is None or row["files"] <= max_files:
+    df = rows_of(spark, path, WATERMARK_SCHEMA)
+    if df is None or file_count(df) <= max_files:
         return False
-    reset_watermark(spark, path, row["m"])
+    replace_rows(spark, path, WATERMARK_SCHEMA, [_row(read_watermark(spark, path))])
     return True

@@ -12,7 +12,6 @@ import math
 import os
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -93,44 +92,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tierkit/{name}-{uuid.uuid4().hex}"
 
 
-# Bytes of input per shuffle partition before AQE merges small ones: sort
-# buffers of a partition this size spill at worst, never exhaust an executor.
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all folders that ``scratch_path`` named under the session's scratch root (when no result
+    is read any more)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tierkit")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# Bytes of input per shuffle partition before AQE merges small ones.  The
+# exchanges sized here carry what a partial limit or aggregate leaves of the
+# input, at most the input: sort buffers of such a partition spill at worst.
 TARGET_SHUFFLE_INPUT_BYTES = 256 * 1024 * 1024
+# Map tasks times reduce partitions is what the driver keeps track of: beyond
+# this count partitions grow instead, and spill.
+MAX_SHUFFLE_PARTITIONS = 20_000
 _SHUFFLE_KEYS = ("spark.sql.shuffle.partitions",
                  "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
 def shuffle_partitions_for(spark: SparkSession, input_bytes: int,
                            target_bytes: int = TARGET_SHUFFLE_INPUT_BYTES) -> int:
-    """Shuffle partitions for ``input_bytes`` of input: one per
-    ``target_bytes``, and never fewer than the cluster's task slots."""
-    return max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / target_bytes))
-
-
-@contextmanager
-def shuffle_sizing(spark: SparkSession, input_bytes: int | None,
-                   target_bytes: int = TARGET_SHUFFLE_INPUT_BYTES):
-    """Size the shuffles of a job from the bytes it reads, then restore.
-
-    AQE merges small shuffle partitions and splits skewed join / large
-    rebalance partitions, but never a partition of an aggregation or window
-    shuffle (the dedup), nor a join whose partitions are all large.  So the
-    initial partition count must grow with the input - the fixed default (200)
-    would give 500 GB partitions on 100 TB - and AQE then merges the small
-    ones.  ``None``: leave as is.
+    """Shuffle partitions for ``input_bytes`` of input: one per ``target_bytes``, never fewer than the
+    cluster's task slots nor more than ``MAX_SHUFFLE_PARTITIONS``."""
+    n = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / target_bytes))
+    return min(MAX_SHUFFLE_PARTITIONS, n)
+
+
+def job_session(spark: SparkSession, input_bytes: int | None,
+                target_bytes: int = TARGET_SHUFFLE_INPUT_BYTES) -> SparkSession:
+    """A session of the same application for one job, with shuffles sized from the bytes it reads.
+
+    AQE merges small shuffle partitions and splits skewed join / large rebalance partitions, but never
+    a partition of an aggregation or window shuffle (the dedup), nor a join whose partitions are all
+    large, so the initial count must grow with the input.  The settings of ``spark`` are copied and
+    it is left alone: flows side by side don't meet.  ``None``: the copied settings as they are.
     """
-    if not input_bytes:
-        yield None
-        return
-    n = shuffle_partitions_for(spark, input_bytes, target_bytes)
-    old = {k: spark.conf.get(k, None) for k in _SHUFFLE_KEYS}
-    for k in _SHUFFLE_KEYS:
-        spark.conf.set(k, str(n))
-    try:
-        yield n
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    job = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and job.conf.get(key, None) != value:
+            job.conf.set(key, value)
+    if input_bytes:
+        for key in _SHUFFLE_KEYS:
+            job.conf.set(key, str(shuffle_partitions_for(spark, input_bytes, target_bytes)))
+    return job

@@ -5,94 +5,137 @@ each output directory is then written by few tasks (few files) while AQE
 splits a partition value that holds a large share of the rows into
 advisory-sized pieces and merges tiny ones.  Without it every task writes one
 file into every directory it meets (tasks x partitions small files).
+``require_adaptive`` refuses to write where AQE is off, since the hint is then
+ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.functions.jsonx import JSON_KEEP_NULLS
-from tierkit.functions.stamps import date_parts, parse_stamp, py_stamp
+from tierkit.functions.stamps import STAMP_TEXT_REGEX, py_stamp, stamp_date_parts
+from tierkit.control import path_exists, rows_of
+from tierkit.session import scratch_path
+from tierkit.sinks.versions import replace_dataset
+
+COMMIT_SCHEMA = "stamp string, folder string, rows long"
+
+
+def require_adaptive(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+        raise RuntimeError("set spark.sql.adaptive.enabled: partitioned writes rely on REBALANCE")
 
 
 def _rebalanced(df: DataFrame, partition_by) -> DataFrame:
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    if not partition_by:
+        return df
+    require_adaptive(df.sparkSession)
+    return df.hint("rebalance", *partition_by)
 
 
-def _path_exists(spark, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def commits_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_commits"
 
 
-def _check_not_reading(df: DataFrame, path: str) -> None:
-    # Parquet/CSV overwrite deletes the target first; never overwrite a source.
-    # A target that does not exist yet cannot be read, so the input listing is
-    # only consulted when re-writing an existing table.
-    if not _path_exists(df.sparkSession, path):
-        return
-    target = path.rstrip("/") + "/"
-    for f in df.inputFiles():
-        if f.replace("file://", "").startswith(target.replace("file://", "")):
-            raise ValueError(f"refusing to overwrite {path}: it is read by this DataFrame")
+def _folder(stamp):
+    """A stamp's folder below the root, as a column."""
+    return F.concat(*[p for n, c in stamp_date_parts(stamp).items() for p in (F.lit(f"{n}="), c, F.lit("/"))],
+                    F.lit("snapshot="), stamp)
 
 
 def land_json(df: DataFrame, root: str, stamp: str | None = None,
               stamp_col: str | None = None,
               max_records_per_file: int | None = None) -> str | None:
-    """K1: append NDJSON under ``year=/month=/day=/snapshot=<stamp>``.
+    """K1: land NDJSON under ``year=/month=/day=/snapshot=<stamp>``, then commit it.
 
     ``stamp``: one stamp for the whole landing (default: now, UTC); or
     ``stamp_col``: a column of ``df`` giving each row's stamp (not written into
-    the records).  Date parts come from the stamp's own instant.
-    NULL fields are written as ``null`` (kept, like ``json.dumps``), non-ASCII
-    text unescaped.  Returns the literal stamp when one was used.
+    the records; the rows are kept once in the scratch folder, so the source is
+    evaluated once).  Date parts are cut out of the stamp's text.  NULL fields
+    are written as ``null`` (kept, like ``json.dumps``), non-ASCII text
+    unescaped.
+
+    After the write one row per stamp is appended to ``<root>/_commits``: a
+    reader of committed stamps never sees half a snapshot.  Landing at a stamp
+    that is committed, or whose folder is there, raises; so do no records.
+    Returns the literal stamp when one was used.
     """
-    lit_stamp = None
+    spark, root = df.sparkSession, root.rstrip("/")
+    committed = rows_of(spark, commits_path(root), COMMIT_SCHEMA)
     if stamp_col is not None:
+        kept = scratch_path(spark, "landing")
+        df.write.parquet(kept)
+        df = spark.read.schema(df.schema).parquet(kept)
         stamp_c = F.col(stamp_col)
+        if df.where(~F.coalesce(stamp_c.rlike(STAMP_TEXT_REGEX), F.lit(False))).take(1):
+            raise ValueError(f"{stamp_col} holds values that are no stamps")
+        counts = df.groupBy(stamp_c.alias("stamp")).agg(F.count(F.lit(1)).alias("rows"))
+        if committed is not None and counts.join(committed.select("stamp"), "stamp", "left_semi").take(1):
+            raise ValueError("a stamp of this landing is committed already")
         records = [c for c in df.columns if c != stamp_col]
+        lit_stamp = None
     else:
         lit_stamp = stamp or py_stamp()
         stamp_c = F.lit(lit_stamp)
+        folder = spark.range(1).select(_folder(stamp_c)).first()[0]
+        if committed is not None and committed.where(F.col("stamp") == lit_stamp).take(1):
+            raise ValueError(f"snapshot {lit_stamp} is committed already")
+        if path_exists(spark, f"{root}/{folder}"):
+            raise ValueError(f"{root}/{folder} holds a landing that was never committed")
         records = df.columns
-    parts = date_parts(parse_stamp(stamp_c))
-    out = df.select(*records, *[c.alias(n) for n, c in parts.items()], stamp_c.alias("snapshot"))
+    out = df.select(*records, *[c.alias(n) for n, c in stamp_date_parts(stamp_c).items()], stamp_c.alias("snapshot"))
     pcols = ["year", "month", "day", "snapshot"]
     w = _rebalanced(out, pcols).write.mode("append").partitionBy(*pcols).options(**JSON_KEEP_NULLS)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.json(root)
+    if lit_stamp is not None:
+        # counted from what was written: the source is evaluated once
+        n = spark.read.text(f"{root}/{folder}").count() if path_exists(spark, f"{root}/{folder}") else 0
+        counts = spark.range(1).select(stamp_c.alias("stamp"), F.lit(n).cast("long").alias("rows"))
+        if not n:
+            raise ValueError("no records to land")
+    elif not counts.take(1):
+        raise ValueError("no records to land")
+    counts.select("stamp", _folder(F.col("stamp")).alias("folder"), "rows").coalesce(1).write.mode(
+        "append").parquet(commits_path(root))
     return lit_stamp
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by=None, fmt: str = "parquet",
                     max_records_per_file: int | None = None) -> None:
-    """K2/K4: replace the whole table (static overwrite: every old partition
-    goes, also those absent from ``df``)."""
-    _check_not_reading(df, path)
+    """K2/K4: replace the whole table by a new version (``versions.py``): every
+    old partition goes, also those absent from ``df``, and a failed write
+    leaves the table as it was."""
     pcols = list(partition_by or [])
-    w = (_rebalanced(df, pcols).write.format(fmt).mode("overwrite")
-         .option("partitionOverwriteMode", "static"))
-    if pcols:
-        w = w.partitionBy(*pcols)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.save(path)
+
+    def write(folder: str) -> None:
+        w = _rebalanced(df, pcols).write.format(fmt)
+        if pcols:
+            w = w.partitionBy(*pcols)
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", max_records_per_file)
+        w.save(folder)
+
+    replace_dataset(df.sparkSession, path, write)
 
 
 def export_csv(df: DataFrame, path: str, partition_by=None, rebalance: bool = True) -> None:
-    """K3/K6: header CSV mirror (lossy: '' and NULL both read back as NULL).
+    """K3/K6: header CSV mirror (lossy: '' and NULL both read back as NULL),
+    replaced like a table.
 
     ``rebalance=False`` when ``df`` is a table already written partitioned by
     the same columns: each of its files holds one partition value, so the
     mirror is written without another shuffle.
     """
-    _check_not_reading(df, path)
     pcols = list(partition_by or [])
-    src = _rebalanced(df, pcols) if rebalance else df
-    w = src.write.mode("overwrite").option("header", "true")
-    if pcols:
-        w = w.partitionBy(*pcols)
-    w.csv(path)
+
+    def write(folder: str) -> None:
+        w = (_rebalanced(df, pcols) if rebalance else df).write.option("header", "true")
+        if pcols:
+            w = w.partitionBy(*pcols)
+        w.csv(folder)
+
+    replace_dataset(df.sparkSession, path, write)

@@ -1,31 +1,21 @@
-"""K5 + L4: rewrite a table clustered by columns (the reference's Z-order step).
+"""K5 + L4: rewrite a table clustered by columns.
 
-``linear``: files are range-partitioned on the cluster columns and sorted
-inside, so each file covers a narrow key range and readers skip files by their
-min/max statistics on the *leading* column.
-
-``zorder``: each column is mapped to a bucket of its own value distribution
-(approximate quantiles, one distributed sketch job), the bucket numbers are
-bit-interleaved into one Z-value, and files are range-partitioned and sorted
-on it - every cluster column then gets narrow per-file ranges, not only the
-first one.  No Python runs per row.
-
-In both modes a hash of the row is the last range key: a single hot key value
+Files are range-partitioned on the cluster columns and sorted inside, so each
+file covers a narrow key range and readers skip files by their min/max
+statistics.  A hash of the row is the last range key: a single hot key value
 can then span several files instead of landing in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, DateType, NumericType, StringType, \
-    TimestampNTZType, TimestampType
 
-from tierkit.session import shuffle_sizing
+from tierkit.session import TARGET_SHUFFLE_INPUT_BYTES
 from tierkit.sinks.files import overwrite_table
 
-Z_BUCKET_BITS = 8  # up to 256 buckets per column (fewer bits when many columns)
-
 
 def _spread(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns]).alias("__spread")
@@ -40,90 +30,34 @@ def clustered(df: DataFrame, cols, num_files: int | None = None) -> DataFrame:
     return ranged.sortWithinPartitions(*parts).drop("__spread")
 
 
-def order_image(df: DataFrame, col: str) -> Column:
-    """An order-preserving double image of a column (NULL stays NULL).
+def cluster_layout(df: DataFrame, path: str, cols, num_files: int | None = None,
+                   fmt: str = "parquet", input_bytes: int | None = None) -> None:
+    """Replace the table at ``path`` by ``df`` clustered by ``cols``.
 
-    Text: its first 7 UTF-8 bytes read as one unsigned number - byte order is
-    Spark's string order.  Numbers, dates and times: their numeric value.
-    """
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, (StringType, BinaryType)):
-        b = F.substring(F.encode(c, "UTF-8") if isinstance(dt, StringType) else c, 1, 7)
-        return F.conv(F.rpad(F.hex(b), 14, "0"), 16, 10).cast("double")
-    if isinstance(dt, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, (NumericType, BooleanType)):
-        return c.cast("double")
-    raise TypeError(f"cannot z-order by {col} of type {dt.simpleString()}")
-
-
-def z_ordered(df: DataFrame, cols, rel_error: float = 0.001) -> DataFrame:
-    """``df`` plus ``__z``: bit-interleaved quantile buckets of ``cols``.
-
-    One distributed approximate-quantile job gives each column's bucket bounds
-    (a bounded list: at most ``2**bits - 1`` numbers per column); ``Bucketizer``
-    then maps values to buckets by binary search on the JVM, and the
-    interleave is plain bit arithmetic on the bucket numbers.  A column with a
-    single value (or only NULLs) contributes bucket 0.
+    ``num_files`` fixes the number of ranges; ``input_bytes`` (e.g.
+    ``table_bytes`` of the source) gives one range per ~256 MB of it.  With
+    neither, the session's count applies and AQE merges small ranges.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    n = len(cols)
-    bits = max(1, min(Z_BUCKET_BITS, 62 // n))
-    imgs = [f"__img{i}" for i in range(n)]
-    with_img = df.select("*", *[F.coalesce(order_image(df, c), F.lit(float("-inf"))).alias(m)
-                                for c, m in zip(cols, imgs)])
-    probs = [i / (1 << bits) for i in range(1, 1 << bits)]
-    qs = with_img.approxQuantile(imgs, probs, rel_error)
-    inf = float("inf")
-    splits, ins, outs, bucket_cols = [], [], [], []
-    for i, q in enumerate(qs):
-        inner = sorted({v for v in q if v not in (inf, -inf) and v == v})
-        if inner:
-            splits.append([-inf] + inner + [inf])
-            ins.append(imgs[i])
-            outs.append(f"__bkt{i}")
-            bucket_cols.append(F.col(f"__bkt{i}").cast("long"))
-        else:
-            bucket_cols.append(F.lit(0).cast("long"))
-    out = with_img
-    if ins:
-        out = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs,
-                         handleInvalid="keep").transform(with_img)
-    z = F.lit(0).cast("long")
-    for bit in range(bits):
-        for i, b in enumerate(bucket_cols):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(b, bit).bitwiseAND(1), bit * n + i))
-    return out.select(*df.columns, z.alias("__z"))
-
-
-def z_clustered(df: DataFrame, cols, num_files: int | None = None) -> DataFrame:
-    """Range-partition and sort on the Z-value of ``cols`` (+ row hash)."""
-    keyed = z_ordered(df, cols).select("*", _spread(df))
-    parts = [F.col("__z"), F.col("__spread")]
-    ranged = (keyed.repartitionByRange(num_files, *parts) if num_files
-              else keyed.repartitionByRange(*parts))
-    return ranged.sortWithinPartitions(*parts).drop("__z", "__spread")
+    if num_files is None and input_bytes:
+        num_files = max(1, math.ceil(input_bytes / TARGET_SHUFFLE_INPUT_BYTES))
+    overwrite_table(clustered(df, cols, num_files), path, fmt=fmt)
 
 
-def cluster_layout(df: DataFrame, path: str, cols, num_files: int | None = None,
-                   fmt: str = "parquet", mode: str = "linear",
-                   input_bytes: int | None = None) -> None:
-    """Write ``df`` to ``path`` clustered by ``cols`` (overwrite).
-
-    ``num_files`` fixes the number of ranges.  Otherwise give ``input_bytes``
-    (e.g. ``table_bytes`` of the source): the range shuffle then gets one
-    partition per ~256 MB of input, which AQE merges where they are small -
-    never the fixed default count, whose ranges would grow with the table.
+def file_ranges(df: DataFrame, cols) -> DataFrame:
+    """One row per file of a table read back: rows, and the smallest and largest ``cols`` tuple."""
+    key = F.struct(*[F.col(c) for c in cols])
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"), F.max(key).alias("high"))
+
+
+def overlapping_files(df: DataFrame, cols) -> DataFrame:
+    """One row: rows of the table, and files that reach below the end of the file before them.
+
+    Files in key order may share the value at their border (a hot value spans
+    several files), nothing more: a clustered table has no such file.  The
+    window runs over one row per file.
     """
-    if mode == "linear":
-        out = clustered(df, cols, num_files)
-    elif mode == "zorder":
-        out = z_clustered(df, cols, num_files)
-    else:
-        raise ValueError(f"unknown layout mode {mode!r}")
-    with shuffle_sizing(df.sparkSession, None if num_files else input_bytes):
-        overwrite_table(out, path, fmt=fmt)
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = file_ranges(df, cols).withColumn("before", before)
+    return ranges.agg(F.sum("rows").alias("rows"),
+                      F.count(F.when(F.col("low") < F.col("before"), 1)).alias("overlapping_files"))

@@ -1,10 +1,11 @@
 """A paged record source, re-aimed as rows ``(page, body)``.
 
 ``body`` is the JSON array text one page request returned.  The fetcher stops
-at the first empty page, so pages numbered after the first empty one are
-ignored.  The cut-off is one scalar (``min`` page whose array is empty or not
-an array), found by a light job that only counts array elements
-(``json_array_length``, no struct building); it is then a literal filter on
+at the first empty page, so pages numbered after it are ignored.  The cut-off
+is one scalar, found by a light job that only counts array elements
+(``json_array_length``, no struct building), together with the first page whose
+body is no JSON array (NULL, truncated, something else): such a page before
+the cut-off is an error, not an end.  The cut-off is then a literal filter on
 the page number, applied before the full parse and ``explode``.
 """
 
@@ -19,10 +20,18 @@ class NoRecordsError(ValueError):
     """Raised when a paged source produced no record at all."""
 
 
+class BadPageError(ValueError):
+    """Raised when a page before the end holds no JSON array."""
+
+
 def first_empty_page(pages: DataFrame, page_col: str = "page", body_col: str = "body"):
-    """Number of the first page whose body is an empty (or no) JSON array."""
-    n = F.coalesce(F.json_array_length(F.col(body_col)), F.lit(0))
-    return pages.where(n == 0).agg(F.min(page_col).alias("cut")).first()["cut"]
+    """Number of the first page whose body is an empty JSON array; a bad page before it raises."""
+    n = F.json_array_length(F.col(body_col))
+    page = F.col(page_col)
+    row = pages.agg(F.min(F.when(n == 0, page)).alias("cut"), F.min(F.when(n.isNull(), page)).alias("bad")).first()
+    if row["bad"] is not None and (row["cut"] is None or row["bad"] < row["cut"]):
+        raise BadPageError(f"page {row['bad']} holds no JSON array")
+    return row["cut"]
 
 
 def paged_records(pages: DataFrame, record_schema, page_col: str = "page",
@@ -37,7 +46,7 @@ def paged_records(pages: DataFrame, record_schema, page_col: str = "page",
     cut = first_empty_page(pages, page_col, body_col)
     kept = pages if cut is None else pages.where(F.col(page_col) < F.lit(cut))
     out = (kept.select(F.col(page_col),
-                       F.explode(F.from_json(F.col(body_col), ArrayType(elem))).alias("__r"))
+                       F.explode(F.from_json(F.col(body_col), ArrayType(elem), {"mode": "FAILFAST"})).alias("__r"))
            .select(page_col, "__r.*"))
     if check_nonempty and out.isEmpty():
         raise NoRecordsError("the paged source returned no records")

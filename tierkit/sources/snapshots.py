@@ -12,18 +12,26 @@ Two layouts are understood:
 
 A file without a recognisable stamp gets ``''`` and is therefore never newer
 than any watermark.
+
+The newest snapshot of the ``directory`` layout is taken from the landing's
+commit rows: no listing, whatever the size of the history, and never a snapshot
+whose files are still arriving.  The ``file_name`` layout has no such mark: a
+snapshot is one file there, complete as soon as it appears; only the day folders
+from the watermark's day on are listed.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierkit.functions.stamps import DIR_STAMP_REGEX, EPOCH_STAMP, FILE_STAMP_REGEX, \
-    STAMP_TEXT_REGEX
+from tierkit.functions.stamps import EPOCH_STAMP, FILE_STAMP_REGEX, STAMP_TEXT_REGEX
+from tierkit.control import folder_bytes, hadoop_path, rows_of
+from tierkit.sinks.files import COMMIT_SCHEMA, commits_path
 
 PARTITION_COLS = ("year", "month", "day", "snapshot")
 
@@ -35,16 +43,23 @@ def _as_struct(spark: SparkSession, schema) -> StructType:
 
 
 def read_snapshots(spark: SparkSession, root: str, schema, layout: str = "directory",
-                   glob: str = "*/*/*/*.json", stamp_col: str = "bronze_file_timestamp",
-                   file_regex: str = FILE_STAMP_REGEX, folders=None) -> DataFrame:
+                   glob: str = "*/*/*/*.json", stamp_col: str = "snapshot_stamp",
+                   file_regex: str = FILE_STAMP_REGEX, folders=None,
+                   corrupt_col: str | None = None) -> DataFrame:
     """Scan the landed snapshots under ``root``; adds ``stamp_col``.
 
     ``schema``: the record schema (``StructType`` or DDL).  No inference pass.
     ``folders``: read only these folders of ``root`` (as returned by
     ``newest_snapshot``), so only they are listed; default: everything.
+    ``corrupt_col``: keep a line that is no record in this column, its fields
+    NULL; without it such a line fails the job.
     """
     rec = _as_struct(spark, schema)
-    reader = spark.read.option("mode", "PERMISSIVE")
+    if corrupt_col:
+        rec = StructType([*rec.fields, StructField(corrupt_col, StringType(), True)])
+        reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+    else:
+        reader = spark.read.option("mode", "FAILFAST")
     if folders is not None and not folders:
         raise ValueError("no folders to read")
     if layout == "directory":
@@ -77,72 +92,69 @@ class Snapshot(NamedTuple):
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def listing_source(root: str, layout: str, glob: str = "*/*/*/*.json",
-                   file_regex: str = FILE_STAMP_REGEX) -> tuple[str, list[Column]]:
-    """Where the landed files are, and the columns a file-listing row gives:
-    ``stamp`` ('' when absent), ``folder`` (the ``snapshot=`` directory, or
-    the file's parent in the file-name layout) and ``length`` - all taken
+def listing_columns(file_regex: str = FILE_STAMP_REGEX) -> list[Column]:
+    """``stamp`` ('' when absent), ``folder`` and ``length`` of a file-name layout's files, all taken
     from ``path``/``length`` of a ``binaryFile`` row, so no file is opened."""
-    if layout == "directory":
-        src, rx = root, DIR_STAMP_REGEX
-        folder = F.regexp_extract(F.col("path"), r"^(.*/snapshot=[^/]*)/", 1)
-    elif layout == "file_name":
-        src, rx = root.rstrip("/") + ("/" + glob if glob else ""), file_regex
-        folder = F.regexp_extract(F.col("path"), r"^(.*)/[^/]*$", 1)
-    else:
-        raise ValueError(f"unknown layout {layout!r}")
-    return src, [F.regexp_extract(F.col("path"), rx, 1).alias("stamp"), folder.alias("folder"),
-                 F.col("length")]
-
-
-def _listing(spark: SparkSession, root: str, layout: str, glob: str, file_regex: str) -> DataFrame:
-    """One row per landed file: ``stamp``, ``folder``, ``length`` (see
-    ``listing_source``).  The ``binaryFile`` source lists the files and, when
-    only ``path`` and ``length`` are used, opens none of them."""
-    src, cols = listing_source(root, layout, glob, file_regex)
-    return spark.read.format("binaryFile").load(src).select(*cols)
+    return [F.regexp_extract(F.col("path"), file_regex, 1).alias("stamp"),
+            F.regexp_extract(F.col("path"), r"^(.*)/[^/]*$", 1).alias("folder"), F.col("length")]
 
 
 def newest_of(stamped: DataFrame, since: str | None = None) -> Snapshot:
-    """The newest stamp above ``since`` in a frame of ``stamp`` / ``folder``
-    (/ ``length``) rows, in one job: folders and bytes are gathered per stamp
-    (a partial aggregate: a snapshot has few folders) and only the top stamp
-    comes back to the driver."""
-    aggs = [F.collect_set("folder").alias("folders")]
-    if "length" in stamped.columns:
-        aggs.append(F.sum("length").alias("bytes"))
+    """The newest stamp above ``since`` in a frame of ``stamp`` / ``folder`` / ``length`` rows, in one
+    job: folders and bytes are gathered per stamp (a partial aggregate: a snapshot has few folders) and
+    only the top stamp comes back to the driver."""
     top = (stamped.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
-           .groupBy("stamp").agg(*aggs)
+           .groupBy("stamp").agg(F.collect_set("folder").alias("folders"), F.sum("length").alias("bytes"))
            .orderBy(F.col("stamp").desc()).limit(1).collect())
     if not top:
         return Snapshot(None, [], None)
-    row = top[0].asDict()
-    return Snapshot(row["stamp"], sorted(row["folders"]), row.get("bytes"))
+    return Snapshot(top[0]["stamp"], sorted(top[0]["folders"]), top[0]["bytes"])
+
+
+def newest_committed(spark: SparkSession, root: str, commits: DataFrame | None, since: str | None = None) -> Snapshot:
+    """The newest committed stamp above ``since``, its folder and the bytes there."""
+    if commits is None:
+        return Snapshot(None, [], None)
+    top = commits.where(F.col("stamp") > F.lit(since or EPOCH_STAMP)).agg(
+        F.max(F.struct("stamp", "folder")).alias("m")).first()["m"]
+    if top is None:
+        return Snapshot(None, [], None)
+    folder = f"{root.rstrip('/')}/{top['folder']}"
+    return Snapshot(top["stamp"], [folder], folder_bytes(spark, folder))
+
+
+def day_folders(spark: SparkSession, root: str, day_glob: str, since: str | None = None) -> list[str]:
+    """The folders that ``day_glob`` names below ``root``, from the day of ``since`` on: one per day, from
+    directory listings alone.  A folder whose path shows no date is kept."""
+    p, fs = hadoop_path(spark, f"{root.rstrip('/')}/{day_glob}" if day_glob else root)
+    found = fs.globStatus(p) or []
+    first, out = (since or EPOCH_STAMP)[:8], []
+    for st in found:
+        path = st.getPath().toString()
+        day = re.search(r"(\d{4})[^/\d]*/[^/\d]*(\d{2})[^/\d]*/[^/\d]*(\d{2})[^/\d]*$", path)
+        if st.isDirectory() and (not day or "".join(day.groups()) >= first):
+            out.append(path)
+    return sorted(out)
 
 
 def newest_snapshot(spark: SparkSession, root: str, since: str | None = None,
                     layout: str = "directory", glob: str = "*/*/*/*.json",
                     file_regex: str = FILE_STAMP_REGEX) -> Snapshot:
-    """Newest stamp strictly newer than ``since``, the folders holding it and
-    their bytes.
-
-    Found from the file *listing* alone, by one small distributed job over
-    one listing of ``root``: the stamp and folder of each file path, its
-    folders and file sizes per stamp, the top stamp (one ``snapshot=``
-    directory, or the day folder of its files).  No record is parsed and the driver never holds the
-    list of paths; ``read_snapshots(..., folders=...)`` then lists only those
-    folders instead of the whole history.
-    """
-    return newest_of(_listing(spark, root, layout, glob, file_regex), since)
-
+    """Newest stamp strictly newer than ``since``, the folders holding it and their bytes.
 
-def newest_stamp(spark: SparkSession, root: str, since: str | None = None,
-                 layout: str = "directory", glob: str = "*/*/*/*.json",
-                 file_regex: str = FILE_STAMP_REGEX) -> str | None:
-    """Only the stamp of ``newest_snapshot`` (one job over the listing)."""
-    files = _listing(spark, root, layout, glob, file_regex)
-    return (files.where(F.col("stamp") > F.lit(since or EPOCH_STAMP))
-            .agg(F.max("stamp").alias("m")).first()["m"])
+    ``directory``: from the commit rows (one per landing).  ``file_name``: from a listing of the day
+    folders from the day of ``since`` on; no record is parsed, and no list of files reaches the driver.
+    """
+    if layout == "directory":
+        return newest_committed(spark, root, rows_of(spark, commits_path(root), COMMIT_SCHEMA), since)
+    if layout != "file_name":
+        raise ValueError(f"unknown layout {layout!r}")
+    day_glob, _, last = glob.rpartition("/")
+    folders = day_folders(spark, root, day_glob, since)
+    if not folders:
+        return Snapshot(None, [], None)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", last or "*").load(folders)
+    return newest_of(files.select(*listing_columns(file_regex)), since)
 
 
 def stamp_column(file_regex: str = FILE_STAMP_REGEX) -> Column:

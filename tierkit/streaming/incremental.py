@@ -3,17 +3,19 @@
 The batch flow finds new snapshots by comparing stamps with a stored
 watermark.  Here the streaming file source does the bookkeeping instead: its
 checkpoint records which files were already seen, so each trigger delivers
-only files that arrived since - exactly once, also after a driver or executor
-failure.  The stream reads the ``binaryFile`` source with only ``path`` and
-``length``: a micro-batch is a list of new files, no record is parsed for it.
-Every micro-batch:
+only what arrived since - exactly once, also after a driver or executor
+failure.
 
-1. finds the newest stamp among its files above the committed silver
-   watermark, with that snapshot's folders and bytes (one small job) - a late,
-   older snapshot never replaces a newer one (the reference's rule);
-2. republishes that snapshot from its whole folder(s), not from the
-   micro-batch, so a snapshot whose files were split over several
-   micro-batches is still published whole; only those folders are listed.
+* ``directory`` layout: the stream reads the landing's commit rows, one per
+  landed snapshot.  A snapshot whose files are still arriving has no such row
+  yet, so whatever the trigger only whole snapshots are published.
+* ``file_name`` layout: the stream reads the listing of new files (the
+  ``binaryFile`` source with only ``path`` and ``length``; nothing is opened).
+  A snapshot is one file there, complete as soon as it appears.
+
+Every micro-batch finds its newest stamp above the committed silver watermark (a
+late, older snapshot never replaces a newer one) and publishes that snapshot
+from its folder.
 
 Run it with ``available_now=True`` after each landing (drains what is there,
 then stops) or with a processing-time trigger as a long-running job.
@@ -22,48 +24,37 @@ then stops) or with a processing-time trigger as a long-running job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tierkit.plans.flows import SilverConfig, publish_snapshot
 from tierkit.plans.watermark import effective_watermark
-from tierkit.session import shuffle_sizing
-from tierkit.sources.snapshots import BINARY_FILE_SCHEMA, PARTITION_COLS, listing_source, \
-    newest_of, read_snapshots
-
-
-def _listing_schema(layout: str) -> StructType:
-    schema = StructType.fromDDL(BINARY_FILE_SCHEMA)
-    if layout == "directory":
-        # partition directories are discovered as columns; declare them as text
-        for p in PARTITION_COLS:
-            schema = schema.add(StructField(p, StringType(), True))
-    return schema
+from tierkit.sinks.files import COMMIT_SCHEMA, commits_path
+from tierkit.sources.snapshots import BINARY_FILE_SCHEMA, listing_columns, newest_committed, \
+    newest_of
 
 
 def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint: str,
                             available_now: bool = True, processing_time: str | None = None,
-                            max_files_per_trigger: int | None = None):
+                            max_files_per_trigger: int | None = None, glob: str = "*/*/*/*.json"):
     """Start the incremental silver stream; waits for it when ``available_now``.
 
     Both landing layouts are read (``cfg.layout``).  Returns the
     ``StreamingQuery``.
     """
-    src, cols = listing_source(cfg.bronze_root, cfg.layout)
-    reader = spark.readStream.format("binaryFile").schema(_listing_schema(cfg.layout))
-    if cfg.layout == "directory":
-        reader = reader.option("basePath", cfg.bronze_root)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    arrivals = reader.load(src).select(*cols)
+    if cfg.layout == "directory":
+        arrivals = reader.schema(COMMIT_SCHEMA).parquet(commits_path(cfg.bronze_root))
+    else:
+        arrivals = reader.format("binaryFile").schema(BINARY_FILE_SCHEMA).load(
+            f"{cfg.bronze_root.rstrip('/')}/{glob}").select(*listing_columns())
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        snap = newest_of(batch, effective_watermark(spark, cfg.watermark_path))
-        if snap.stamp is None:
-            return
-        scan = read_snapshots(spark, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
-                              stamp_col=cfg.stamp_col, folders=snap.folders)
-        with shuffle_sizing(spark, snap.bytes):
-            publish_snapshot(spark, cfg, scan, snap.stamp)
+        since = effective_watermark(spark, cfg.watermark_path)
+        snap = (newest_committed(spark, cfg.bronze_root, batch, since) if cfg.layout == "directory"
+                else newest_of(batch, since))
+        if snap.stamp is not None:
+            publish_snapshot(spark, cfg, snap)
 
     w = arrivals.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     if available_now:

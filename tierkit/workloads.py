@@ -13,6 +13,8 @@ aggregation semantics are exercised on data that grows with the scale factor.
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,22 +23,24 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tierkit.functions import stamps as S
 from tierkit.functions import text as T
-from tierkit.functions.jsonx import from_json_record, to_json_line
-from tierkit.operators.aggregate import audit_columns, group_count
+from tierkit.control import hadoop_path, rows_of
+from tierkit.functions.jsonx import JSON_KEEP_NULLS, from_json_record, to_json_line
+from tierkit.operators.aggregate import audit_columns, group_count, row_count
 from tierkit.operators.dedup import first_per_key
 from tierkit.operators.enrich import enrich_left
 from tierkit.operators.guards import filter_eq, is_empty, preview
 from tierkit.operators.project import apply_rules
 from tierkit.operators.snapshot import latest_snapshot, max_stamp, newer_than
-from tierkit.plans.flows import GoldConfig, SilverConfig, bronze_to_silver as run_silver
-from tierkit.plans.flows import silver_to_gold as run_gold
+from tierkit.plans.flows import Enrichment, GoldConfig, SilverConfig, bronze_to_silver as run_silver, \
+    land_snapshot, run_all, silver_to_gold as run_gold
+from tierkit.plans.statements import gold_statement, silver_statement
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
 from tierkit.session import scratch_path
-from tierkit.sinks.files import export_csv, land_json, overwrite_table
-from tierkit.sinks.layout import cluster_layout
+from tierkit.sinks.files import COMMIT_SCHEMA, commits_path, export_csv, land_json, overwrite_table
+from tierkit.sinks.layout import cluster_layout, overlapping_files
 from tierkit.sources.pages import paged_records
 from tierkit.sources.reference import read_reference_csv
-from tierkit.sources.snapshots import read_snapshots
+from tierkit.sources.snapshots import newest_snapshot, read_snapshots
 from tierkit.sources.tables import read_table, table_bytes
 
 # Fixed parameters of the workloads (shared with the oracle SQL).
@@ -44,40 +48,23 @@ AS_OF = datetime(2025, 1, 1, 0, 0, 0)
 MID_WATERMARK = "20240115_000000_000000"
 PAGE_SIZE = 200
 
-RECORD_FIELDS = ["id", "name", "brewery_type", "street", "address_2", "address_3", "city",
-                 "state", "postal_code", "country", "longitude", "latitude", "phone",
-                 "website_url", "state_province"]
+RECORD_FIELDS = ["venue_key", "line", "label", "kind", "channel", "floor", "spare", "nation", "area",
+                 "province", "area_code", "amount", "opposite", "payload"]
 RECORD_SCHEMA = StructType([StructField(f, StringType(), True) for f in RECORD_FIELDS])
 
 # The silver projection as data.
 SILVER_RULES = {
-    "id": "id",
-    "name": "text",
-    "brewery_type": "text",
-    "street": "text",
-    "address_2": "text",
-    "address_3": "text",
-    "city": "text",
-    "state": "text_or_unknown",
-    "postal_code": "text",
-    "country": "slug",
-    "longitude": "double",
-    "latitude": "double",
-    "phone": "text",
-    "website_url": "text",
-    "state_province": "text_or_unknown",
+    "venue_key": "id",
+    "nation": "slug",
+    "area": "text_or_unknown",
+    "province": "text_or_unknown",
+    "amount": "double",
+    "opposite": "double",
+    **{f: "text" for f in ("line", "label", "kind", "channel", "floor", "spare", "area_code", "payload")},
 }
-STAMP_COL = "bronze_file_timestamp"
-GOLD_KEYS = ["country", "brewery_type"]
-
-GOLD_SQL = """
-SELECT country, brewery_type,
-       COUNT(id) AS quantity_of_breweries,
-       CAST(:as_of AS TIMESTAMP) AS created_at,
-       CAST(:as_of AS TIMESTAMP) AS updated_at
-FROM silver_rows
-GROUP BY country, brewery_type
-"""
+STAMP_COL = "snapshot_stamp"
+GOLD_KEYS = ["nation", "kind"]
+GOLD_COUNT = "n_venues"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,24 +87,23 @@ def venue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = ev.join(cn, ev.user_id == cn.c_custkey, "left")
     et = F.col("event_type")
     return j.select(
-        F.col("user_id").cast("string").alias("id"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("brewery_type"),
-        F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("street"),
+        F.col("user_id").cast("string").alias("venue_key"),
+        F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("line"),
+        F.col("c_name").alias("label"),
+        F.col("c_mktsegment").alias("kind"),
+        et.alias("channel"),
         F.when(et == "view", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" Floor "), et, F.lit(" "))).alias("address_2"),
-        F.lit(None).cast("string").alias("address_3"),
-        et.alias("city"),
-        F.when(et == "error", F.lit("  ")).otherwise(F.col("n_name")).alias("state"),
-        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("postal_code"),
-        F.col("n_name").alias("country"),
-        F.col("value").cast("string").alias("longitude"),
-        F.when(et == "click", F.lit("n/a"))
-         .otherwise((-F.col("value")).cast("string")).alias("latitude"),
-        F.col("props").alias("phone"),
-        F.lit(None).cast("string").alias("website_url"),
+         .otherwise(F.concat(F.lit(" Floor "), et, F.lit(" "))).alias("floor"),
+        F.lit(None).cast("string").alias("spare"),
+        F.col("n_name").alias("nation"),
+        F.when(et == "error", F.lit("  ")).otherwise(F.col("n_name")).alias("area"),
         F.when(et == "purchase", F.lit(None).cast("string"))
-         .otherwise(F.upper(F.col("n_name"))).alias("state_province"),
+         .otherwise(F.upper(F.col("n_name"))).alias("province"),
+        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("area_code"),
+        F.col("value").cast("string").alias("amount"),
+        F.when(et == "click", F.lit("n/a"))
+         .otherwise((-F.col("value")).cast("string")).alias("opposite"),
+        F.col("props").alias("payload"),
         day_stamp("ts").alias("stamp"),
     )
 
@@ -132,18 +118,19 @@ def _land_venues(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def _silver_cfg(spark: SparkSession, bronze_root: str) -> SilverConfig:
+def _silver_cfg(spark: SparkSession, bronze_root: str, **more) -> SilverConfig:
     return SilverConfig(
         bronze_root=bronze_root,
         silver_path=scratch_path(spark, "silver"),
         watermark_path=scratch_path(spark, "silver-wm"),
         record_schema=RECORD_SCHEMA,
         rules=SILVER_RULES,
-        key="id",
-        tie_break=[F.col("street").desc()],
-        partition_by=["country"],
+        key="venue_key",
+        tie_break=[F.col("line").desc()],
+        partition_by=["nation"],
         csv_path=scratch_path(spark, "silver-csv"),
         stamp_col=STAMP_COL,
+        **more,
     )
 
 
@@ -153,8 +140,11 @@ def _gold_cfg(spark: SparkSession, silver_path: str) -> GoldConfig:
         gold_path=scratch_path(spark, "gold"),
         watermark_path=scratch_path(spark, "gold-wm"),
         keys=GOLD_KEYS,
+        count_col="venue_key",
+        count_alias=GOLD_COUNT,
         csv_path=scratch_path(spark, "gold-csv"),
         stamp_col=STAMP_COL,
+        text_partitions=("nation",),
     )
 
 
@@ -176,15 +166,15 @@ def _nation_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scan_json_snapshots(spark, sf_dir):
     root = _land_venues(spark, sf_dir)
     scan = read_snapshots(spark, root, RECORD_SCHEMA, stamp_col=STAMP_COL)
-    return scan.select(*[c for c in RECORD_FIELDS if c not in ("longitude", "latitude")],
-                       T.try_double("longitude").alias("longitude"),
-                       T.try_double("latitude").alias("latitude"), STAMP_COL)
+    return scan.select(*[c for c in RECORD_FIELDS if c not in ("amount", "opposite")],
+                       T.try_double("amount").alias("amount"),
+                       T.try_double("opposite").alias("opposite"), STAMP_COL)
 
 
 def q_land_json_partitioned(spark, sf_dir):
     root = _land_venues(spark, sf_dir)
     scan = read_snapshots(spark, root, RECORD_SCHEMA, stamp_col=STAMP_COL)
-    return scan.select("street", "year", "month", "day", "snapshot")
+    return scan.select("line", "year", "month", "day", "snapshot")
 
 
 def q_scan_csv_reference(spark, sf_dir):
@@ -234,18 +224,43 @@ def q_watermark_roundtrip(spark, sf_dir):
 
 # --- projections / filters / aggregates ----------------------------------------
 
+def _viewed(spark, df: DataFrame, statement, args: dict) -> DataFrame:
+    """``statement(view)`` over ``df`` as a view of its own name, which goes again once it is resolved."""
+    view = f"rows_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        return df.sparkSession.sql(statement(view), args=args)
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+
+
 def q_gold_sql_view(spark, sf_dir):
-    _silver_all(spark, sf_dir).createOrReplaceTempView("silver_rows")
-    return spark.sql(GOLD_SQL, args={"as_of": AS_OF.strftime("%Y-%m-%d %H:%M:%S")})
+    return _viewed(spark, _silver_all(spark, sf_dir),
+                   lambda v: gold_statement(v, GOLD_KEYS, "venue_key", GOLD_COUNT),
+                   {"as_of": AS_OF.strftime("%Y-%m-%d %H:%M:%S")})
 
 
-def q_watermark_filter(spark, sf_dir):
-    return newer_than(events_stamped(spark, sf_dir), "stamp", MID_WATERMARK).select(
+def q_silver_sql(spark, sf_dir):
+    """The silver step as SQL text with a bound stamp, over all landed snapshots."""
+    scan = read_snapshots(spark, _land_venues(spark, sf_dir), RECORD_SCHEMA, stamp_col=STAMP_COL)
+    return _viewed(spark, scan, lambda v: silver_statement(v, SILVER_RULES, "venue_key", STAMP_COL, "line DESC"),
+                   {"stamp": MID_WATERMARK})
+
+
+def _land_events(spark, sf_dir) -> DataFrame:
+    """Events as landed snapshots: a stamp filter on the scan is a partition filter."""
+    root = scratch_path(spark, "events")
+    land_json(events_stamped(spark, sf_dir).select("event_id", "user_id", "stamp"), root, stamp_col="stamp")
+    return read_snapshots(spark, root, "event_id bigint, user_id bigint", stamp_col="stamp").select(
         "event_id", "user_id", "stamp")
 
 
+def q_watermark_filter(spark, sf_dir):
+    return newer_than(_land_events(spark, sf_dir), "stamp", MID_WATERMARK)
+
+
 def q_max_stamp_since(spark, sf_dir):
-    return max_stamp(events_stamped(spark, sf_dir), "stamp", since=MID_WATERMARK)
+    return max_stamp(_land_events(spark, sf_dir), "stamp", since=MID_WATERMARK)
 
 
 def q_max_stamp_all(spark, sf_dir):
@@ -253,8 +268,7 @@ def q_max_stamp_all(spark, sf_dir):
 
 
 def q_latest_snapshot(spark, sf_dir):
-    return latest_snapshot(events_stamped(spark, sf_dir), "stamp").select(
-        "event_id", "user_id", "stamp")
+    return latest_snapshot(_land_events(spark, sf_dir), "stamp")
 
 
 def q_first_per_key(spark, sf_dir):
@@ -293,8 +307,8 @@ def q_fold_slug(spark, sf_dir):
 
 def q_fold_slug_sql(spark, sf_dir):
     T.register_fold_udf(spark, "fold_slug")
-    table(spark, sf_dir, "documents").createOrReplaceTempView("documents_src")
-    return spark.sql("SELECT doc_id, fold_slug(text) AS text_fold FROM documents_src")
+    return _viewed(spark, table(spark, sf_dir, "documents"),
+                   lambda v: f"SELECT doc_id, fold_slug(text) AS text_fold FROM {v}", {})
 
 
 def q_try_double(spark, sf_dir):
@@ -353,8 +367,7 @@ def q_preview_head(spark, sf_dir):
 
 
 def q_row_count(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.agg(F.count(F.lit(1)).alias("row_count"))
+    return row_count(table(spark, sf_dir, "lineitem"))
 
 
 def q_empty_guard(spark, sf_dir):
@@ -367,28 +380,27 @@ def q_empty_guard(spark, sf_dir):
 
 def q_group_count(spark, sf_dir):
     cn = _nation_country(spark, sf_dir)
-    src = cn.select(T.slug("n_name").alias("country"),
-                    T.norm_text("c_mktsegment").alias("brewery_type"),
-                    F.col("c_custkey").alias("id"))
-    return group_count(src, GOLD_KEYS, "id", "quantity_of_breweries")
+    src = cn.select(T.slug("n_name").alias("nation"),
+                    T.norm_text("c_mktsegment").alias("kind"),
+                    F.col("c_custkey").alias("venue_key"))
+    return group_count(src, GOLD_KEYS, "venue_key", GOLD_COUNT)
 
 
 def q_audit_columns(spark, sf_dir):
     return audit_columns(q_group_count(spark, sf_dir), AS_OF)
 
 
-def _reference_table(spark, sf_dir) -> DataFrame:
-    """Postal reference derived from nation x region: (country, postal_code) ->
-    ISO-like code and area; regions 0-3 only (region 4 stays unmatched) and
+def _reference_table(spark, sf_dir, code: str = "n_regionkey") -> DataFrame:
+    """Reference derived from nation x region: (nation, area_code) -> region code and name; regions 0-3 only (region 4 stays unmatched) and
     every row twice (duplicates must not multiply facts)."""
     nat = table(spark, sf_dir, "nation")
     reg = table(spark, sf_dir, "region")
     ref = (nat.join(reg, nat.n_regionkey == reg.r_regionkey, "inner")
            .where(F.col("r_regionkey") < 4)
-           .select(T.slug("n_name").alias("country"),
-                   F.lpad(F.col("n_regionkey").cast("string"), 5, "0").alias("postal_code"),
-                   F.upper(F.substring(F.col("r_name"), 1, 2)).alias("country_iso2_code"),
-                   F.col("r_name").alias("administrative_area_name")))
+           .select(T.slug("n_name").alias("nation"),
+                   F.lpad(F.col(code).cast("string"), 5, "0").alias("area_code"),
+                   F.upper(F.substring(F.col("r_name"), 1, 2)).alias("region_code"),
+                   F.col("r_name").alias("region_name")))
     return ref.unionByName(ref)
 
 
@@ -398,9 +410,8 @@ def q_enrich_left(spark, sf_dir):
     code = (F.when(seg == "MACHINERY", F.lit(None).cast("string"))
             .when(seg == "BUILDING", F.lit("99999"))
             .otherwise(F.lpad(F.col("n_regionkey").cast("string"), 5, "0")))
-    facts = cn.select("c_custkey", T.slug("n_name").alias("country"), code.alias("postal_code"))
-    return enrich_left(facts, _reference_table(spark, sf_dir), ["country", "postal_code"],
-                       ["country_iso2_code", "administrative_area_name"])
+    facts = cn.select("c_custkey", T.slug("n_name").alias("nation"), code.alias("area_code"))
+    return enrich_left(facts, _reference_table(spark, sf_dir), ["nation", "area_code"], ["region_code", "region_name"])
 
 
 # --- sinks ----------------------------------------------------------------------
@@ -410,10 +421,10 @@ def q_table_overwrite_roundtrip(spark, sf_dir):
     silver = _silver_all(spark, sf_dir)
     # a first version under other partition values, then the real overwrite:
     # the static overwrite must drop every partition of the first version
-    stale = silver.withColumn("country", F.concat(F.lit("stale_"), F.col("country")))
-    overwrite_table(stale, path, ["country"])
-    overwrite_table(silver, path, ["country"])
-    return read_table(spark, path, text_partitions=("country",))
+    stale = silver.withColumn("nation", F.concat(F.lit("stale_"), F.col("nation")))
+    overwrite_table(stale, path, ["nation"])
+    overwrite_table(silver, path, ["nation"])
+    return read_table(spark, path, text_partitions=("nation",))
 
 
 def q_gold_table_roundtrip(spark, sf_dir):
@@ -425,7 +436,7 @@ def q_gold_table_roundtrip(spark, sf_dir):
 def q_csv_export_partitioned(spark, sf_dir):
     path = scratch_path(spark, "csv-part")
     silver = _silver_all(spark, sf_dir)
-    export_csv(silver, path, ["country"])
+    export_csv(silver, path, ["nation"])
     return read_reference_csv(spark, path, schema=silver.schema)
 
 
@@ -436,22 +447,23 @@ def q_csv_export_plain(spark, sf_dir):
     return read_reference_csv(spark, path, schema=gold.schema)
 
 
-def q_cluster_layout(spark, sf_dir):
+CLUSTER_KEYS = ["l_returnflag", "l_linestatus"]
+
+
+def _clustered_lineitem(spark, sf_dir, num_files: int | None = None) -> DataFrame:
     path = scratch_path(spark, "clustered")
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
-    cluster_layout(li, path, ["l_returnflag", "l_linestatus"],
+    cluster_layout(table(spark, sf_dir, "lineitem"), path, CLUSTER_KEYS, num_files=num_files,
                    input_bytes=table_bytes(spark, f"{sf_dir}/lineitem.parquet"))
     return read_table(spark, path)
 
 
-def q_cluster_zorder(spark, sf_dir):
-    path = scratch_path(spark, "zordered")
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    cluster_layout(li, path, ["l_partkey", "l_suppkey"], mode="zorder",
-                   input_bytes=table_bytes(spark, f"{sf_dir}/lineitem.parquet"))
-    return read_table(spark, path)
+def q_cluster_layout(spark, sf_dir):
+    return _clustered_lineitem(spark, sf_dir)
+
+
+def q_cluster_file_ranges(spark, sf_dir):
+    """The layout itself, from the files read back: eight files, none reaching into another's range."""
+    return overlapping_files(_clustered_lineitem(spark, sf_dir, 8), CLUSTER_KEYS)
 
 
 # --- composite flows --------------------------------------------------------------
@@ -459,7 +471,7 @@ def q_cluster_zorder(spark, sf_dir):
 def q_bronze_to_silver(spark, sf_dir):
     cfg = _silver_cfg(spark, _land_venues(spark, sf_dir))
     run_silver(spark, cfg)
-    return read_table(spark, cfg.silver_path, text_partitions=("country",))
+    return read_table(spark, cfg.silver_path, text_partitions=("nation",))
 
 
 def q_silver_to_gold(spark, sf_dir):
@@ -475,7 +487,66 @@ def q_stream_bronze_to_silver(spark, sf_dir):
 
     cfg = _silver_cfg(spark, _land_venues(spark, sf_dir))
     stream_bronze_to_silver(spark, cfg, checkpoint=scratch_path(spark, "silver-stream-ckpt"))
-    return read_table(spark, cfg.silver_path, text_partitions=("country",))
+    return read_table(spark, cfg.silver_path, text_partitions=("nation",))
+
+
+def q_bronze_to_silver_enriched(spark, sf_dir):
+    reference = Enrichment(_reference_table(spark, sf_dir, "n_nationkey"), ["nation", "area_code"],
+                           ["region_code", "region_name"])
+    cfg = _silver_cfg(spark, _land_venues(spark, sf_dir), enrich=reference)
+    run_silver(spark, cfg)
+    return read_table(spark, cfg.silver_path, text_partitions=("nation",))
+
+
+LANDED_AT = "20250101_120000_000000"
+
+
+def q_land_snapshot(spark, sf_dir):
+    """All records as one snapshot; its rows read back with what the landing committed."""
+    root, wm = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-wm")
+    land_snapshot(venue_records(spark, sf_dir).drop("stamp"), root, wm, LANDED_AT)
+    snap = newest_snapshot(spark, root)
+    commit = rows_of(spark, commits_path(root), COMMIT_SCHEMA).first()
+    scan = read_snapshots(spark, root, RECORD_SCHEMA, stamp_col=STAMP_COL, folders=snap.folders)
+    return scan.select("line", STAMP_COL, F.lit(commit["rows"]).cast("long").alias("committed_rows"),
+                       F.lit(read_watermark(spark, wm)).alias("watermark"))
+
+
+def q_run_all(spark, sf_dir):
+    """C4: records -> landed snapshot -> silver -> gold, in one call."""
+    scfg = _silver_cfg(spark, scratch_path(spark, "bronze"))
+    gcfg = _gold_cfg(spark, scfg.silver_path)
+    run_all(spark, venue_records(spark, sf_dir).drop("stamp"), scratch_path(spark, "bronze-wm"), scfg, gcfg,
+            as_of=AS_OF, stamp=LANDED_AT)
+    return read_table(spark, gcfg.gold_path)
+
+
+def _land_file_names(spark, sf_dir) -> str:
+    """Venue records as one file per day, ``<day folder>/venues_<STAMP>.json``; the first day's file has
+    no stamp in its name.  Spark names its own files, so the day's one file is renamed."""
+    root = scratch_path(spark, "files")
+    recs = venue_records(spark, sf_dir).withColumn("day", F.col("stamp"))
+    recs.repartition("day").write.partitionBy("day").options(**JSON_KEEP_NULLS).json(root)
+    path, fs = hadoop_path(spark, f"{root}/day=*/part-*.json")
+    files = sorted(st.getPath().toString() for st in fs.globStatus(path))
+    for i, f in enumerate(files):  # one file per day
+        stamp = re.search(r"day=([0-9_]+)/", f)[1]
+        day = f"{root}/y/{stamp[:4]}/{stamp[4:6]}/{stamp[6:8]}"
+        target, _ = hadoop_path(spark, f"{day}/venues_{stamp if i else 'latest'}.json")
+        fs.mkdirs(target.getParent())
+        fs.rename(hadoop_path(spark, f)[0], target)
+    return f"{root}/y"
+
+
+def q_scan_file_names(spark, sf_dir):
+    scan = read_snapshots(spark, _land_file_names(spark, sf_dir), RECORD_SCHEMA, layout="file_name", stamp_col=STAMP_COL)
+    return scan.select("line", "label", STAMP_COL)
+
+
+def q_bronze_to_silver_file_names(spark, sf_dir):
+    cfg = _silver_cfg(spark, _land_file_names(spark, sf_dir), layout="file_name")
+    run_silver(spark, cfg)
+    return read_table(spark, cfg.silver_path, text_partitions=("nation",))
 
 
 WORKLOADS = {
@@ -513,8 +584,14 @@ WORKLOADS = {
     "csv_export_partitioned": q_csv_export_partitioned,
     "csv_export_plain": q_csv_export_plain,
     "cluster_layout": q_cluster_layout,
-    "cluster_zorder": q_cluster_zorder,
+    "cluster_file_ranges": q_cluster_file_ranges,
     "bronze_to_silver": q_bronze_to_silver,
     "silver_to_gold": q_silver_to_gold,
     "stream_bronze_to_silver": q_stream_bronze_to_silver,
+    "bronze_to_silver_enriched": q_bronze_to_silver_enriched,
+    "bronze_to_silver_file_names": q_bronze_to_silver_file_names,
+    "scan_file_names": q_scan_file_names,
+    "silver_sql": q_silver_sql,
+    "land_snapshot": q_land_snapshot,
+    "run_all": q_run_all,
 }
