@@ -2,12 +2,14 @@
 
 import contextlib
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from tierkit.operators.dedup import first_per_key
 from tierkit.operators.enrich import enrich_left
 from tierkit.sinks.files import overwrite_table
+from tierkit.sinks.versions import current_path
 
 SMALL = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m",
@@ -52,6 +54,7 @@ def test_enrich_shuffle_splits_hot_key(spark):
         plan = qe.executedPlan().toString()
         rows = out.groupBy((F.col("attr") == 999).alias("hot")).count().collect()
     assert "skew=true" in plan
+    assert len(re.findall(r"Range \(0, 600000", plan.split("Initial Plan")[0])) == 1  # one pass over the facts
     counts = {r.hot: r["count"] for r in rows}
     assert sum(counts.values()) == 600_000 and counts[True] == 160_000
 
@@ -60,10 +63,11 @@ def test_partitioned_write_splits_hot_partition(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "t")
     with conf(spark, SMALL):
         overwrite_table(_skewed(spark), p, ["country"])
-    files = lambda c: [f for f in os.listdir(os.path.join(p, f"country={c}"))
+    top = current_path(spark, p)
+    files = lambda c: [f for f in os.listdir(os.path.join(top, f"country={c}"))
                        if f.endswith(".parquet")]
     assert len(files("hot")) > len(files("7"))
-    assert spark.read.parquet(p).count() == 600_000
+    assert spark.read.parquet(top).count() == 600_000
 
 
 def test_first_per_key_hot_key(spark):

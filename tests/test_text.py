@@ -38,26 +38,14 @@ def test_slug_edges(edge_df):
     assert got == [e[1] for e in EDGE]
 
 
-@pytest.mark.parametrize("mode", ["arrow", "python", "hybrid"])
-def test_fold_exact_modes(edge_df, mode):
-    got = [r.s for r in edge_df.select(T.fold_slug("x", mode).alias("s")).collect()]
-    assert got == [e[2] for e in EDGE]
+def test_fold_exact(edge_df):
+    got = [r.s for r in edge_df.select(T.fold_slug("x").alias("s")).collect()]
+    assert got == [e[2] for e in EDGE] == [T.fold_text(e[0]) for e in EDGE]
 
 
 def test_fold_null_parity(edge_df):
     got = [r.s for r in edge_df.select(T.fold_slug("x", null_as_text=True).alias("s")).collect()]
     assert got[EDGE.index((None, "unknown", None))] == "none"
-    assert T.fold_text_python(None, null_as_text=True) == "none"
-
-
-def test_fold_native_differs_only_on_multi(edge_df):
-    got = [r.s for r in edge_df.select(T.fold_slug("x", "native").alias("s")).collect()]
-    _, _, multi = T.fold_tables()
-    for (x, _, exp), g in zip(EDGE, got):
-        if x is not None and any(c in multi for c in x):
-            assert g != exp
-        else:
-            assert g == exp
 
 
 def test_text_rules(spark):
@@ -83,9 +71,8 @@ def test_fold_sql_registration(spark):
     assert spark.sql("SELECT fold_slug_t('Côte d''Ivoire') AS s").first().s == "cote_d_ivoire"
 
 
-def test_plan_native_has_no_python(spark, edge_df):
-    plan = edge_df.select(T.fold_slug("x", "native"), T.slug("x"))._jdf.queryExecution() \
-        .executedPlan().toString()
+def test_plan_slug_has_no_python(spark, edge_df):
+    plan = edge_df.select(T.slug("x"))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -96,18 +83,13 @@ TEXT = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=40
 @given(st.lists(TEXT, min_size=1, max_size=20))
 def test_fold_properties(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "x string")
-    rows = df.select(T.fold_slug("x", "hybrid").alias("h"), T.fold_slug("x", "native").alias("n"),
-                     T.fold_slug("x").alias("a"), T.slug("x").alias("s")).collect()
-    _, _, multi = T.fold_tables()
+    rows = df.select(T.fold_slug("x").alias("a"), T.slug("x").alias("s")).collect()
     allowed = set(string.ascii_lowercase + string.digits + "_")
     for x, r in zip(xs, rows):
-        exp = T.fold_text_python(x)
-        assert r.h == exp and r.a == exp
-        if not any(c in multi for c in x):
-            assert r.n == exp
-        assert set(r.s) <= allowed and set(r.h) <= allowed
-        assert not r.h.startswith("_") and "__" not in r.h
-        assert T.fold_text_python(exp) == exp  # idempotent
+        assert r.a == T.fold_text(x)
+        assert set(r.s) <= allowed and set(r.a) <= allowed
+        assert not r.a.startswith("_") and "__" not in r.a
+        assert T.fold_text(r.a) == r.a  # idempotent
 
 
 # The Arrow kernel alone (no Spark): equal to the per-row definition on any
@@ -119,7 +101,7 @@ def test_fold_properties(spark, xs):
 def test_fold_arrow_kernel_equals_definition(xs, cut):
     import pyarrow as pa
 
-    exp = [T.fold_text_python(x) for x in xs]
+    exp = [T.fold_text(x) for x in xs]
     arr = pa.array(xs, type=pa.string())
     assert T.fold_text_arrow(arr).to_pylist() == exp
     assert T.fold_text_arrow(arr.cast(pa.large_string())).to_pylist() == exp
@@ -145,7 +127,7 @@ def test_fold_arrow_kernel_slices(monkeypatch):
     import pyarrow as pa
 
     xs = ["Côte d'Ivoire " * 30, None, "", "ﬁ½__x", "a" * 500, "É-É"] * 40
-    exp = [T.fold_text_python(x) for x in xs]
+    exp = [T.fold_text(x) for x in xs]
     whole = T.fold_text_arrow(pa.array(xs)).to_pylist()
     monkeypatch.setattr(T, "FOLD_SLICE_BYTES", 700)  # many slices, some rows longer than one
     assert T.fold_text_arrow(pa.array(xs)).to_pylist() == exp == whole

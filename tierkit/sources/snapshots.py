@@ -55,31 +55,39 @@ def read_snapshots(spark: SparkSession, root: str, schema, layout: str = "direct
     NULL; without it such a line fails the job.
     """
     rec = _as_struct(spark, schema)
-    if corrupt_col:
-        rec = StructType([*rec.fields, StructField(corrupt_col, StringType(), True)])
-        reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
-    else:
-        reader = spark.read.option("mode", "FAILFAST")
+    # lines are kept as text where broken ones are wanted, and parsed beside it
+    data = StructType([StructField("value", StringType(), True)]) if corrupt_col else rec
+    reader = spark.read.format("text") if corrupt_col else spark.read.format("json").option("mode", "FAILFAST")
     if folders is not None and not folders:
         raise ValueError("no folders to read")
     if layout == "directory":
-        full = StructType(list(rec.fields) + [
+        full = StructType(list(data.fields) + [
             StructField(p, StringType(), True) for p in PARTITION_COLS if p not in rec.fieldNames()
         ])
-        df = reader.schema(full).option("basePath", root).json(*(folders or [root]))
+        df = reader.schema(full).option("basePath", root).load(folders or [root])
         stamp = F.when(F.col("snapshot").rlike(STAMP_TEXT_REGEX), F.col("snapshot")).otherwise(F.lit(""))
-        return df.withColumn(stamp_col, stamp)
+        return _parsed(df.withColumn(stamp_col, stamp), rec, corrupt_col)
     if layout == "file_name":
         if folders:
             # the glob's last part keeps selecting the files inside the folders
             last = glob.rsplit("/", 1)[-1] if glob else "*"
-            df = reader.schema(rec).option("pathGlobFilter", last).json(*folders)
+            df = reader.schema(data).option("pathGlobFilter", last).load(folders)
         else:
-            df = reader.schema(rec).json(root.rstrip("/") + ("/" + glob if glob else ""))
-        return df.withColumn(stamp_col, stamp_column(file_regex))
+            df = reader.schema(data).load(root.rstrip("/") + ("/" + glob if glob else ""))
+        return _parsed(df.withColumn(stamp_col, stamp_column(file_regex)), rec, corrupt_col)
     raise ValueError(f"unknown layout {layout!r}")
 
 
+def _parsed(df: DataFrame, rec: StructType, corrupt_col: str | None) -> DataFrame:
+    """Lines of text as records, with the lines that are none in ``corrupt_col``; without it unchanged."""
+    if not corrupt_col:
+        return df
+    kept = StructType([*rec.fields, StructField(corrupt_col, StringType(), True)])
+    record = F.from_json("value", kept, {"columnNameOfCorruptRecord": corrupt_col})
+    rest = [c for c in df.columns if c != "value"]
+    return df.where(F.trim("value") != "").select(record.alias("__r"), *rest).select("__r.*", *rest)
+
+
 class Snapshot(NamedTuple):
     """The newest snapshot: its stamp (``None``: nothing new), the folders
     holding its files, and their size in bytes (``None`` when unknown)."""
