@@ -1,11 +1,13 @@
 """Replacing a dataset in one step: write a new version folder, then point to it.
 
-A dataset at ``path`` holds ``_versions/<version>/`` folders and a control
-dataset ``_pointer`` whose newest row names the current one.  A write that fails
-leaves the pointer, and so every reader, at the previous version.  After the
-pointer moved, versions older than the previous one are removed; the previous
-one stays for readers that started before.  A new version may be computed from
-the current one: nothing is overwritten.
+A dataset at ``path`` holds ``_versions/<version>/`` folders and, in
+``_pointer/``, one empty file per commit whose name is its number and its
+version; the largest number is the current one.  Creating that file is the
+commit: a write that fails leaves every reader at the previous version.  After it,
+versions older than the previous one are removed; the previous one stays for
+readers that started before.  A new version may be computed from the current
+one: nothing is overwritten.  Finding the current version lists a folder of two
+or three names; no job runs.
 """
 
 from __future__ import annotations
@@ -14,38 +16,43 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from tierkit.control import append_rows, delete_path, file_count, replace_rows, rows_of
+from tierkit.control import delete_path, hadoop_path
 
-POINTER_SCHEMA = "seq long, version string"
-_POINTER_FILES = 16
 
+def _commits(spark: SparkSession, path: str) -> list[str]:
+    """Names of the pointer files, the current one first."""
+    p, fs = hadoop_path(spark, f"{path}/_pointer")
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted((n for n in names if n[:12].isdigit()), reverse=True)
 
-def _newest(spark: SparkSession, path: str, n: int) -> list:
-    df = rows_of(spark, f"{path}/_pointer", POINTER_SCHEMA)
-    return [] if df is None else df.distinct().orderBy(F.col("seq").desc()).limit(n).collect()
+
+def _folder(path: str, commit: str) -> str:
+    return f"{path}/_versions/{commit.split('-', 1)[1]}"
 
 
 def current_path(spark: SparkSession, path: str) -> str:
     """The folder to read: the current version, or ``path`` itself when it has no versions."""
     path = path.rstrip("/")
-    top = _newest(spark, path, 1)
-    return f"{path}/_versions/{top[0]['version']}" if top else path
+    commits = _commits(spark, path)
+    return _folder(path, commits[0]) if commits else path
 
 
 def replace_dataset(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
-    """Let ``write`` fill a new folder, then make it the current version; returns the folder."""
+    """Let ``write`` fill a new folder, then make it the current version; returns the folder.
+
+    Of two replacements at once the second to commit raises and leaves the first's version.
+    """
     path = path.rstrip("/")
-    before = _newest(spark, path, 2)
-    version = uuid.uuid4().hex
-    folder = f"{path}/_versions/{version}"
-    write(folder)
-    row = ((before[0]["seq"] if before else 0) + 1, version)
-    append_rows(spark, f"{path}/_pointer", POINTER_SCHEMA, [row])
+    before = _commits(spark, path)
+    commit = f"{int(before[0][:12]) + 1 if before else 1:012d}-{uuid.uuid4().hex}"
+    write(_folder(path, commit))
+    now = _commits(spark, path)
+    if now != before:
+        raise RuntimeError(f"{path} was replaced meanwhile")
+    p, fs = hadoop_path(spark, f"{path}/_pointer/{commit}")
+    fs.create(p, False).close()
     for old in before[1:]:
-        delete_path(spark, f"{path}/_versions/{old['version']}")
-    pointers = rows_of(spark, f"{path}/_pointer", POINTER_SCHEMA)
-    if file_count(pointers) > _POINTER_FILES:
-        replace_rows(spark, f"{path}/_pointer", POINTER_SCHEMA, [(r["seq"], r["version"]) for r in _newest(spark, path, 2)])
-    return folder
+        delete_path(spark, _folder(path, old))
+        delete_path(spark, f"{path}/_pointer/{old}")
+    return _folder(path, commit)
