@@ -32,6 +32,42 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars")
 
 
+def _op2_sql() -> str:
+    """Spans from the texts between and at the matches; windows of a run one by one, merged as islands."""
+    patterns, classes, parts = secret_scan.PATTERNS, secret_scan.CLASSES, []
+    quote = lambda x: x.replace("'", "''")
+    find = lambda name, regex: f"""{name}_m AS (SELECT id, i, hit,
+  (sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS s
+  FROM (SELECT id, unnest(string_split_regex(t, '{quote(regex)}')) AS gap, unnest(regexp_extract_all(t, '{quote(regex)}')) AS hit,
+    generate_subscripts(string_split_regex(t, '{quote(regex)}'), 1) AS i FROM d) WINDOW w AS (PARTITION BY id ORDER BY i))"""
+    known = "SELECT * FROM base"
+    for k, p in enumerate(patterns):
+        part = f"regexp_extract(hit, '{quote(p.regex)}', {p.group})"
+        parts += [find(p.kind, p.regex), f"""{p.kind} AS (SELECT id, s, {k} AS k, s + length(hit) AS e FROM {p.kind}_m
+  WHERE hit IS NOT NULL AND length({part}) >= {p.least})"""]
+    parts.append("base AS (" + " UNION ALL ".join(f"SELECT * FROM {p.kind}" for p in patterns) + ")")
+    for k, c in enumerate(classes, len(patterns)):
+        clean = " AND ".join(f"NOT regexp_matches(hit, '{quote(a)}')" for a in secret_scan.ALLOW)
+        parts += [find(c.kind, f"[{c.alphabet}]{{{c.window},}}"), f"""{c.kind}_w AS (
+  SELECT id, i, s + o AS a FROM (SELECT *, unnest(range(length(hit) - {c.window} + 1)) AS o FROM {c.kind}_m
+    WHERE hit IS NOT NULL AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND {clean})
+  WHERE list_aggregate(string_split(substring(hit, o + 1, {c.window}), ''), 'entropy') >= {c.bits}),
+{c.kind} AS (SELECT id, min(a) AS s, {k} AS k, max(a) + {c.window} AS e FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY id, i ORDER BY a) AS island FROM (
+    SELECT *, CASE WHEN a <= lag(a) OVER (PARTITION BY id, i ORDER BY a) + {c.window} THEN 0 ELSE 1 END AS fresh FROM {c.kind}_w))
+  GROUP BY id, i, island),
+{c.kind}_x AS ({known} UNION ALL SELECT * FROM {c.kind} n WHERE NOT EXISTS (
+  SELECT 1 FROM ({known}) o WHERE o.id = n.id AND o.s < n.e AND n.s < o.e))"""]
+        known = f"SELECT * FROM {c.kind}_x"
+    names = "[" + ", ".join(f"'{p.kind}'" for p in (*patterns, *classes)) + "]"
+    listed = f"coalesce(string_agg({names}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (%s), '')"
+    counts = ", ".join(f"count(k) FILTER (k = {k}) AS n_{p.kind}" for k, p in enumerate(patterns))
+    return f"""WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents),
+{", ".join(parts)}
+SELECT doc_id, {counts}, sha256({listed % f'k < {len(patterns)}'}) AS base_sha256, {listed % 'k IS NOT NULL'} AS spans
+FROM d LEFT JOIN ({known}) x USING (id) GROUP BY id, doc_id"""
+
+
 OP7_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -132,4 +168,4 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_url_rules": op3_url_rules, "op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
-SQL = {"op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL}
+SQL = {"op2_secret_scan": _op2_sql(), "op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL}
