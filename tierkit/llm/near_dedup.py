@@ -1,7 +1,7 @@
 """Near duplicates: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
-Shingles are five words in a row (lower case, split at white space; a shorter
-text with words is one shingle). A shingle weighs ``(1 + ln tf) * (1 + IDF_SHARE
+Shingles are five words in a row (lower case, split at ASCII white space; a
+shorter text with words is one shingle). A shingle weighs ``(1 + ln tf) * (1 + IDF_SHARE
 * idf)``, where idf runs from 1 (one document has it) to 0 (all have it), so
 boilerplate counts less while near copies of a large group, which make their own
 shingles frequent, stay close to each other. Document frequencies come from a
@@ -56,33 +56,51 @@ _CELLS = 1 << 16  # of the table of random numbers
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
 class Shingles:
-    """Weighted shingles of texts; a worker keeps word hashes."""
+    """Shingle hashes of texts, by array operations on their bytes."""
 
     def __init__(self, width: int = WIDTH):
-        self.width, self.words = width, {}
+        self.width, self.powers = width, np.ones(1, np.uint64)
+
+    def word_hashes(self, text: str) -> np.ndarray:
+        """A 64-bit hash of each word: a polynomial in its bytes, mixed."""
+        raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
+        space = _SPACE[raw]
+        first = ~space
+        first[1:] &= space[:-1]
+        starts = np.flatnonzero(first)
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw)))) if not starts[0] else (
+            np.concatenate([np.zeros(starts[0], np.int64), np.arange(starts[0], len(raw)) - np.repeat(
+                starts, np.diff(np.append(starts, len(raw))))]))
+        with np.errstate(over="ignore"):
+            if place.max() >= len(self.powers):
+                self.powers = np.cumprod(np.full(2 * int(place.max()) + 2, _P), dtype=np.uint64)
+            value = (raw.astype(np.uint64) + np.uint64(1)) * self.powers[place]
+            value[space] = 0
+            return _mixed(np.add.reduceat(value, starts))
 
     def hashes(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingle hashes in ascending order and how often each occurs."""
-        import xxhash
-
-        words, known = text.lower().split(), self.words
-        if not words:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if len(known) > 500_000:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        h = np.fromiter((known[w] for w in words), np.uint64, len(words))
+        h = self.word_hashes(text)
+        if not len(h):
+            return h, np.zeros(0, np.int64)
         k = min(self.width, len(h))
         with np.errstate(over="ignore"):
             s = h[: len(h) - k + 1].copy()
             for j in range(1, k):
                 s = s * _P + h[j : len(h) - k + 1 + j]
-            s = (s ^ (s >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            s ^= s >> np.uint64(29)
-        return np.unique(s, return_counts=True)
+            return np.unique(_mixed(s), return_counts=True)
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -126,7 +144,7 @@ class Sampler:
         self.ln_a = (np.log(c) - r * (t - beta) - r).astype(np.float32).ravel()
         self.t = t.astype(np.int64).ravel()
         self.bands, self.rows = bands, rows
-        self.odd = (rng.integers(1, 1 << 62, bands * rows, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+        self.odd = rng.integers(1, 1 << 32, bands * rows, dtype=np.uint32) | np.uint32(1)
         self.band_odd = (rng.integers(1, 1 << 62, (bands, rows + 1), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def band_keys(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -135,9 +153,10 @@ class Sampler:
         best = np.full(len(self.odd), np.inf, np.float32)
         which = np.zeros(len(self.odd), np.int64)
         rows = np.arange(len(self.odd))
+        short = (hashes >> np.uint64(32)).astype(np.uint32)
         with np.errstate(over="ignore"):
             for i in range(0, len(hashes), 2048):
-                at = ((hashes[None, i : i + 2048] * self.odd[:, None]) >> np.uint64(48)).astype(np.int64)
+                at = ((short[None, i : i + 2048] * self.odd[:, None]) >> np.uint32(16)).astype(np.int64)
                 at += level[None, i : i + 2048]
                 a = self.ln_a[at]
                 k = a.argmin(axis=1)
@@ -223,7 +242,7 @@ def _candidates(placed: DataFrame, turn: int) -> DataFrame:
         led = placed.groupBy("key").agg(F.min("id").alias("a"))
         return placed.join(led, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     share = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("n") / SHARE))
-    dealt = placed.where("mixed").select("key", share.alias("share"), "id", "root")
+    dealt = placed.select("key", share.alias("share"), "id", "root")
     other = dealt.select("key", "share", F.col("id").alias("b"), F.col("root").alias("root_b"))
     pairs = dealt.join(other, ["key", "share"]).where("id < b and root <> root_b")
     return pairs.select(F.col("id").alias("a"), "b").distinct()
@@ -249,25 +268,26 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = rows.groupBy("content").agg(F.first("text").alias("text"))
     texts = saved(wanted.join(first, "content").select("id", "text"), "candidate-texts")
 
-    labels = nodes.select("id", F.col("id").alias("root"))
-    links = tested = None
+    links = tested = labels = None
     for turn in count():
-        placed = shared.join(labels, "id").select("key", "id", "n", "root")
+        if turn == 2:  # smaller buckets have been compared whole
+            shared = shared.where(F.col("n") > SHARE)
+        placed = shared
         if turn:
-            mixed = placed.groupBy("key").agg((F.min("root") < F.max("root")).alias("mixed"))
-            placed = placed.join(mixed, "key")
+            placed = shared.join(labels, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
+            mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+            placed = placed.join(mixed.select("key"), "key")
         pairs = _candidates(placed, turn)
-        if tested is not None:
+        if turn:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
         found = saved(_verified(pairs, texts, idf, threshold), "links")
-        if not found.take(1) and turn:
+        if turn and not found.take(1):
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        linked = components(links)
-        labels = saved(nodes.select("id").join(linked, "id", "left").select(
-            "id", F.coalesce("root", "id").alias("root")), "classes")
+        labels = components(links)  # of the ids that have a link
+    labels = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     wordless = F.size("keys") == 0
     members = nodes.join(labels, "id").select("content", "id", "doc_id", "root", wordless.alias("wordless"))
     tops = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("id"))).alias("top")).select(
