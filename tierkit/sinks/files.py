@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tierkit.functions.jsonx import JSON_KEEP_NULLS
 from tierkit.functions.stamps import STAMP_TEXT_REGEX, py_stamp, stamp_date_parts
-from tierkit.control import path_exists, rows_of
+from tierkit.control import delete_path, path_exists, rows_of
 from tierkit.session import scratch_path
 from tierkit.sinks.versions import replace_dataset
 
@@ -101,6 +101,8 @@ def land_json(df: DataFrame, root: str, stamp: str | None = None,
         raise ValueError("no records to land")
     counts.select("stamp", _folder(F.col("stamp")).alias("folder"), "rows").coalesce(1).write.mode(
         "append").parquet(commits_path(root))
+    if stamp_col is not None:
+        delete_path(spark, kept)
     return lit_stamp
 
 
