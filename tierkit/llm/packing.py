@@ -38,7 +38,7 @@ def cut_pieces(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
     def cut(batches):
         enc = word_encoder(path)
         for b in batches:
-            ids, rows = enc.encode(b.column(1).to_pylist()), []
+            ids, rows = enc.encode(b.column(1)), []
             keys = b.column(0).to_pylist()
             for key, raw in zip(keys, ids, strict=True):
                 a = np.append(np.frombuffer(raw, dtype=enc.dtype).astype("<u4"), np.uint32(end_id))

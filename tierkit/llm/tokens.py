@@ -2,21 +2,25 @@
 
 The word-BPE tokenizer splits at white space before it merges, and neither its
 normalizer nor its patterns reach over white space, so the ids of a text are
-those of its words one after another.  A worker keeps the ids of the words that
-it has met (up to ``CACHE_WORDS``, then it starts anew) and asks the tokenizer
-only for new ones.  Texts with characters for which Python and the tokenizer
-disagree on white space go to the tokenizer whole.
+those of its words one after another.  Arrow splits a batch of texts and finds
+its distinct words; a worker keeps the ids of the words that it has met (up to
+``CACHE_WORDS``, then it starts anew) and asks the tokenizer only for new ones,
+and words of letters go straight to its merges, without the normalizer.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_WORDS = 500_000
-# Python splits words at these, the tokenizer doesn't.
-_PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
+CACHE_WORDS = 600_000
+# ASCII punctuation but the apostrophe: a run of it behind letters is a piece of its own
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_LATIN = "\xff"  # the last Latin-1 letter
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -40,55 +44,94 @@ class WordEncoder:
     """Ids of texts as little-endian 16-bit bytes (32-bit for larger vocabularies), by a word cache."""
 
     def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import ByteLevel
+
         self.tokenizer = load_tokenizer(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.known: dict[str, bytes] = {"": b""}
+        # the characters that stand for a letter's bytes in the vocabulary
+        show = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = {i: show(chr(i))[0][0] for i in range(0x80, 0x100)}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _halves(word: str) -> tuple[str, str]:
-        """A word whose ids are those of its lower-case stem and its last mark, where that is sure.
+    def _ask_stems(self, stems: list[str]) -> list[bytes]:
+        """Lower-case words of Latin-1 letters alone: one piece each, which the normalizer leaves as it is."""
+        merge, shown, code = self.model.tokenize, self.shown, self.code
+        return [array(code, [t.id for t in merge(w if w.isascii() else w.translate(shown))]).tobytes() for w in stems]
+
+    def _learn(self, words: set[str], sure: bool) -> None:
+        """Ask for the ids of new words.
 
-        Only Latin letters whose lower case is one letter everywhere, then a full stop or comma.
+        The ids of a lower-case word of letters with marks behind are those of the word and of the marks.
+        ``sure``: words are in lower case, and their letters Latin-1, so that it doesn't depend on their place.
         """
-        mark = word[-1] if word[-1] in ".," else ""
-        stem = word[:-1] if mark else word
-        if stem and stem.isalpha() and max(stem) < "İ":
-            return stem.lower(), mark
-        return word, ""
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        split = {w: self._halves(w) for w in words}
-        need = [w for w in {h for pair in split.values() for h in pair if h} if w not in self.known]
-        self.known.update(zip(need, self._ask(need), strict=True))
-        for w, (stem, mark) in split.items():
-            if w != stem:
-                self.known[w] = self.known[stem] + (self.known[mark] if mark else b"")
-
-    def encode(self, texts: list[str], at_once: int = 256) -> list[bytes]:
+        known = self.known
+        alone = [w for w in words if w.isalpha()]
+        other = list(words.difference(alone))
+        bare = [w.rstrip(_MARKS) for w in other]
+        marked = [(w, b, w[len(b):]) for w, b in zip(other, bare, strict=True) if b.isalpha()]
+        whole = [w for w, b in zip(other, bare, strict=True) if not b.isalpha()]
+        if not sure:
+            odd = {w for w in (*alone, *[b for _, b, _ in marked]) if w != w.lower() or max(w) > _LATIN}
+            whole += [w for w in alone if w in odd] + [w for w, b, _ in marked if b in odd]
+            alone = [w for w in alone if w not in odd]
+            marked = [m for m in marked if m[1] not in odd]
+        need = list({*alone, *[b for _, b, _ in marked]}.difference(known))
+        known.update(zip(need, self._ask_stems(need), strict=True))
+        whole += {m for _, _, m in marked}.difference(known)
+        known.update(zip(whole, self._ask(whole), strict=True))
+        known.update([(w, known[b] + known[m]) for w, b, m in marked])
+
+    def few(self, text: str) -> bytes:
+        """The ids of a word or two, kept like a word's."""
+        if text not in self.known:
+            self.known[text] = self._ask([text])[0]
+        return self.known[text]
+
+    @staticmethod
+    def _plain(texts: pa.Array) -> tuple[pa.Array, bool]:
+        """Texts in lower case where that is sure: all letters Latin-1, and no special token whose case counts."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        odd = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        if (raw >= 0xC4).any():
+            seen = np.concatenate([[0], np.cumsum(raw >= 0xC4)])[offsets - offsets[0]]
+            odd = odd | (seen[1:] > seen[:-1])
+        if not odd.any():
+            return pc.utf8_lower(texts), True
+        return pc.if_else(pa.array(odd), texts, pc.utf8_lower(texts)), False
+
+    def encode(self, texts: list[str] | pa.Array, at_once: int = 2048) -> list[bytes]:
         """The ids of each text; words of ``at_once`` texts are looked up together."""
+        every = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         out: list[bytes] = []
-        for i in range(0, len(texts), at_once):
-            part = texts[i : i + at_once]
-            whole = [k for k, t in enumerate(part) if any(c in t for c in _PYTHON_ONLY_SPACE)]
-            words = [t.split() for t in part]
-            for k in whole:
-                words[k] = []
-            known = self.known
-            new = {w for ws in words for w in ws if w not in known}
+        for i in range(0, len(every), at_once):
+            if len(self.known) > CACHE_WORDS:
+                self.known = {"": b""}
+            plain, sure = self._plain(every.slice(i, at_once))
+            split = pc.ascii_split_whitespace(plain)
+            ends = split.offsets.to_numpy()
+            words = split.flatten().dictionary_encode()
+            met, which = words.dictionary.to_pylist(), words.indices.to_numpy()
+            new = {w for w in met if w not in self.known}
             if new:
-                if len(known) + len(new) > CACHE_WORDS:  # it starts anew: all words of this part are asked for
-                    new = {w for ws in words for w in ws}
-                self._learn(new)
-            got = [b"".join([known[w] for w in ws]) for ws in words]
-            for k, ids in zip(whole, self._ask([part[k] for k in whole]), strict=True):
-                got[k] = ids
-            out += got
+                self._learn(new, sure)
+            ids = list(map(self.known.__getitem__, met))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+            flat = np.frombuffer(b"".join(ids), self.dtype)
+            own = sizes[which]
+            stops = np.cumsum(own)
+            # a word's ids in the texts, from its ids in the list of distinct words
+            shift = (np.cumsum(sizes) - sizes)[which] - (stops - own)
+            raw = flat[np.repeat(shift, own) + np.arange(stops[-1] if len(stops) else 0)].tobytes()
+            at = (np.concatenate([[0], stops])[ends - ends[0]] * self.dtype.itemsize).tolist()
+            out += [raw[a:b] for a, b in zip(at, at[1:])]
         return out
 
 
