@@ -15,8 +15,8 @@ tables, so a lost executor only repeats a task, and reading all documents back
 moves no ids.
 
 Defined cases: a null text is empty and holds the end id alone; a null key is the
-smallest key; rows of equal key stand together ordered by text (through several
-shards if need be) and all come back; an empty table gives empty files; extra
+smallest key; rows of equal key stand together, ordered by their texts' hashes (through
+several shards if need be), and all come back; an empty table gives empty files; extra
 columns are ignored. A fingerprint of a key that a shard doesn't hold matches
 with a probability of 2^-32.
 """
@@ -145,7 +145,7 @@ def write_ids(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "te
                 names=["keys", "ends", "seeds", "slots", "wide", "ids"])
 
         for b in batches:
-            for k, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
+            for k, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1)), strict=True):
                 keys.append(k)
                 sizes.append(len(ids) // wide + 1)
                 parts += [ids, end]
@@ -156,7 +156,9 @@ def write_ids(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "te
         if keys:
             yield shard()
 
-    shards = rows.repartitionByRange(tasks, "key", "text").sortWithinPartitions("key", "text").mapInArrow(encode, _SHARD)
+    # a key that many rows share is cut by the texts' hashes; the ranges' samples hold no texts
+    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(tasks, "key", "tie")
+    shards = dealt.sortWithinPartitions("key", "tie", "text").select("key", "text").mapInArrow(encode, _SHARD)
     # numbers grow along the keys: a task writes one range of them, shard after shard
     shards.select(F.monotonically_increasing_id().alias("shard"), "*").write.option(
         "compression", "zstd").parquet(f"{folder}/shards")
