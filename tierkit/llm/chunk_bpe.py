@@ -29,10 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.llm.common import ship_package, whole_text
-from tierkit.llm.tokens import _PYTHON_ONLY_SPACE, vocabulary_path, word_encoder
+from tierkit.llm.tokens import vocabulary_path, word_encoder
 
-CHUNK_BYTES = 1024
+CHUNK_BYTES = 2048
 CACHE_BYTES = 64 << 20
+# Python splits words at these, the tokenizer doesn't.
+_PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
 _WINDOW = 16  # bytes that decide on a cut
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 _CHUNKERS: dict[tuple[str, int], "ChunkEncoder"] = {}
@@ -96,7 +98,7 @@ class ChunkEncoder:
             for reach in range(1, 5):
                 window = " ".join(x for x in (before, broken, after) if x)
                 ids = self.words._ask([window])[0]
-                a, b = self.words.encode([before, after])
+                a, b = self.words.few(before), self.words.few(after)
                 if ids.startswith(a) and ids.endswith(b) and len(ids) >= len(a) + len(b):
                     break
                 before, after = f"{before} {before}".strip(), f"{after} {after}".strip()
@@ -107,7 +109,7 @@ class ChunkEncoder:
             self.joins[broken] = ids[len(a) : len(ids) - len(b)]
         return self.joins[broken]
 
-    def encode(self, texts: list[str], at_once: int = 256) -> list[bytes]:
+    def encode(self, texts: list[str], at_once: int = 1024) -> list[bytes]:
         out = []
         for i in range(0, len(texts), at_once):
             out += self._part(texts[i : i + at_once])
@@ -167,8 +169,8 @@ def encode(docs: DataFrame, path: str | None = None, mean: int = CHUNK_BYTES, di
     def run(batches):
         enc = chunk_encoder(path, mean)
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
+            for i in range(0, b.num_rows, 1024):
+                part = b.slice(i, 1024)
                 sizes, ids, decoded = [], [], []
                 for raw in enc.encode(part.column(1).to_pylist()):
                     a = np.frombuffer(raw, enc.words.dtype).astype("<u4")
