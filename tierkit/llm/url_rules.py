@@ -132,7 +132,7 @@ def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col:
     doc = F.regexp_extract("path", r"/([0-9]{1,18})(?:\.[A-Za-z]+)?/?$", 1)
     bad = (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
     known = labels.select(F.col("doc_id").cast("long").alias("doc"), bad.alias("bad"))
-    baskets = base.select("tokens", F.when(doc != "", doc.cast("long")).alias("doc")).where("doc IS NOT NULL").join(known, "doc")
+    baskets = base.select("tokens", F.when(doc != "", doc.cast("long")).alias("doc")).where("doc IS NOT NULL").join(known.hint("merge"), "doc")
     mined = saved(mine(baskets.select("tokens", "bad"), min_support, min_confidence), "url-rules")
     # only pages that the list leaves open need the mined rules
     sets = base.where(F.col("rule").isNull() & (F.size("tokens") > 0)).select("tokens").distinct()
