@@ -182,6 +182,11 @@ def near_texts():
             texts.append(" ".join(t))
     passage = " ".join(rng.choice(vocabulary, 120))
     texts += [passage + " " + " ".join(rng.choice(vocabulary, 150)) for _ in range(30)]
+    walk = rng.choice(vocabulary, 400).tolist()  # each text a few words from the one before, far from the first
+    for step in range(70):
+        texts.append(" ".join(walk))
+        for p in rng.integers(0, 400, 3):
+            walk[p] = f"step{step}x{p}"
     texts += [texts[0]] * 5 + ["four words of text", "four words of text", ""]
     return texts
 
@@ -210,7 +215,7 @@ def test_near_duplicates_equal_brute_force(spark):
 
     for i in range(len(texts)):
         for j in range(i):
-            if near_dedup.weighted_jaccard(weighted[i], weighted[j]) >= 0.8:
+            if near_dedup.similarity(weighted[i], weighted[j]) >= 0.8:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     want = defaultdict(set)

@@ -17,14 +17,16 @@ are looked up by a hash of both in a table, so a sample costs one lookup per
 shingle. Documents that agree on all samples of a band share a bucket: at a
 similarity of 0.8, 99.96 % of pairs share one.
 
-Equal texts are collapsed first. In each bucket all members are compared with the
-first one, on their whole texts by weighted Jaccard similarity. Rounds follow in
-which buckets that still hold several classes are dealt into shares of about
-``SHARE`` members, and members of different classes in a share are compared:
-a bucket no larger than that is compared whole, a larger one is dealt anew each
-round until a round brings no new link. So a bucket of n costs at most some n
-times ``SHARE`` / 2 comparisons a round, and copies of one text or class none.
-Classes are the connected components of the verified links.
+Equal texts are collapsed first. In each bucket all members are compared with its
+most central one (whose buckets hold most texts), on their whole texts, by
+weighted Jaccard similarity, or by the plain similarity of the shingle sets where
+that is larger. Then buckets that still hold several classes: those of up to
+``SHARE`` members are compared whole; larger ones are split by each other band in
+turn, ``SPLITS`` bands a round until a round brings no new link, and a few
+central members of each class meet those of others there, in shares of about
+``SHARE`` where there are more. So a bucket of n costs at most some n times
+``SHARE`` comparisons a band, no bucket is left out, and copies of one text or
+class cost none. Classes are the connected components of the verified links.
 
 Defined cases: null and empty texts (no words) are never duplicates and form a
 class each; texts that are equal are one class whatever their doc_id; repeated
@@ -34,8 +36,6 @@ an empty table gives an empty result; extra columns pass through ``keep_one``.
 
 from __future__ import annotations
 
-from itertools import count
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +47,8 @@ from tierkit.llm.components import components
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
+STAND = 4  # members that stand for a class in a part of a large bucket
+SPLITS = 5  # bands by which large buckets are split in a round
 SHARE = 16  # members of a bucket that are compared with each other
 SKETCH = 1 << 17
 IDF_SHARE = 0.1
@@ -103,6 +105,13 @@ class Shingles:
             return np.unique(_mixed(s), return_counts=True)
 
 
+def _slices(batches, rows: int = 512):
+    """Batches of at most ``rows`` rows: their texts are Python objects a few at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
 
@@ -111,7 +120,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """For each cell of the sketch how many (document, shingle) pairs fall there; and the documents with words."""
     def tally(batches):
         shingles, total, docs = Shingles(), np.zeros(SKETCH, np.int64), 0
-        for b in batches:
+        for b in _slices(batches):
             found = [shingles.hashes(t)[0] for t in b.column(0).to_pylist()]
             docs += sum(1 for f in found if len(f))
             if found:
@@ -186,6 +195,14 @@ def weighted_jaccard(a, b) -> float:
     return float(both / (wa.sum() + wb.sum() - both))
 
 
+def similarity(a, b) -> float:
+    """The weighted Jaccard similarity, or the plain one of the shingle sets where that is larger: weights
+    must not part documents that share four fifths of their shingles, common as these may be."""
+    both = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    plain = both / (len(a[0]) + len(b[0]) - both) if both else 0.0
+    return max(plain, weighted_jaccard(a, b))
+
+
 def _content(text) -> F.Column:
     return F.unhex(F.md5(text.cast("binary")))
 
@@ -194,7 +211,7 @@ def _signatures(rows: DataFrame, idf) -> DataFrame:
     """``rows`` (doc_id, text, content) with the text replaced by its band keys (none without words)."""
     def sign(batches):
         shingles, sampler = Shingles(), Sampler()
-        for b in batches:
+        for b in _slices(batches):
             keys = []
             for t in b.column(1).to_pylist():
                 h, w = weighted(shingles, idf.value, t)
@@ -209,7 +226,7 @@ def _signatures(rows: DataFrame, idf) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity is ``threshold`` or more."""
+    """The pairs (a, b) whose similarity is ``threshold`` or more."""
     def compare(batches):
         shingles, last = Shingles(), {}
 
@@ -220,9 +237,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
                 last[i] = weighted(shingles, idf.value, text)
             return last[i]
 
-        for b in batches:
+        for b in _slices(batches):
             ia, ib, ta, tb = (b.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b"))
-            keep = [weighted_jaccard(of(x, t), weighted(shingles, idf.value, u)) >= threshold
+            keep = [similarity(of(x, t), weighted(shingles, idf.value, u)) >= threshold
                     for x, t, u in zip(ia, ta, tb, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))],
                                              names=["a", "b"])
@@ -232,19 +249,41 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
+def _central():
+    """The member of a group that shares most buckets' members, of equals the smallest id."""
+    return F.max_by("id", F.struct("score", -F.col("id")))
+
+
+def _first_candidates(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b; a < b) of every member (key, id, score) with its bucket's most central one: of near
+    copies of one text, that text or the copy closest to it."""
+    led = shared.groupBy("key").agg(_central().alias("lead"))
+    pairs = shared.join(led, "key").where("id <> lead")
+    return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+
+
 def _candidates(placed: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b; a < b) of members (key, id, root, n) of one bucket and of two classes so far.
+    """Pairs (a, b; a < b) of two classes so far, from members (key, id, root, score, keys) of buckets.
 
-    First every member with its bucket's smallest id; then, with another deal each turn, all pairs within
-    shares of about ``SHARE`` members of a bucket, which are whole buckets where these are no larger.
+    Buckets of ``SHARE`` members and less: all pairs. Larger ones (those with ``keys``) are split by
+    ``SPLITS`` other bands of their members, others each turn: similar texts agree there too, texts
+    that have but a passage in common hardly ever do. Of each class the most central members of
+    ``STAND`` parts stand there, and what is still larger than ``SHARE`` is dealt into shares.
     """
-    if turn == 0:
-        led = placed.groupBy("key").agg(F.min("id").alias("a"))
-        return placed.join(led, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    many = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    mixed = placed.join(many.select("key"), "key")
+    first = (turn - 1) * SPLITS
+    parts = F.transform(F.array(*[F.lit(i) for i in range(first, first + SPLITS)]), lambda i: F.xxhash64("key", i, F.get("keys", i)))
+    parts = F.when(F.col("keys").isNull(), F.array(F.xxhash64("key"))).otherwise(parts)
+    # in a small bucket each stands for itself, in a larger one the most central ones of parts of a class
+    one = F.when(F.col("keys").isNull(), F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(-turn)), F.lit(STAND)))
+    here = mixed.select(F.explode(parts).alias("part"), "root", one.alias("one"), "id", "score").groupBy(
+        "part", "root", "one").agg(_central().alias("id"))
+    sizes = here.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
     share = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("n") / SHARE))
-    dealt = placed.select("key", share.alias("share"), "id", "root")
-    other = dealt.select("key", "share", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = dealt.join(other, ["key", "share"]).where("id < b and root <> root_b")
+    dealt = saved(here.join(sizes, "part").select("part", share.alias("share"), "root", "id"), "dealt")
+    other = dealt.select("part", "share", F.col("id").alias("b"), F.col("root").alias("root_b"))
+    pairs = dealt.join(other, ["part", "share"]).where("id < b and root <> root_b")
     return pairs.select(F.col("id").alias("a"), "b").distinct()
 
 
@@ -263,26 +302,26 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.monotonically_increasing_id().alias("id"), "*"), "texts")
     buckets = nodes.select("id", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = saved(buckets.join(sizes, "key").select("key", "id", "n"), "buckets")
+    met = buckets.join(sizes, "key")
+    shared = saved(met.join(met.groupBy("id").agg(F.sum("n").alias("score")), "id").select("key", "id", "n", "score"), "buckets")
     wanted = nodes.join(shared.select("id").distinct(), "id").select("id", "content")
     first = rows.groupBy("content").agg(F.first("text").alias("text"))
     texts = saved(wanted.join(first, "content").select("id", "text"), "candidate-texts")
 
+    small = shared.where(F.col("n") <= SHARE).select("key", "id", "score", F.lit(None).cast("array<long>").alias("keys"))
+    large = saved(shared.where(F.col("n") > SHARE).join(nodes.select("id", "keys"), "id").select(
+        "key", "id", "score", "keys"), "large-buckets")
     links = tested = labels = None
-    for turn in count():
-        if turn == 2:  # smaller buckets have been compared whole
-            shared = shared.where(F.col("n") > SHARE)
-        placed = shared
-        if turn:
-            placed = shared.join(labels, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-            mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-            placed = placed.join(mixed.select("key"), "key")
-        pairs = _candidates(placed, turn)
-        if turn:
+    for turn in range(1 + BANDS // SPLITS):
+        if turn == 0:
+            pairs = _first_candidates(shared)
+        else:  # small buckets are compared whole once
+            members = small.unionByName(large) if turn == 1 else large
+            pairs = _candidates(members.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id")), turn)
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
         found = saved(_verified(pairs, texts, idf, threshold), "links")
-        if turn and not found.take(1):
+        if turn > 1 and not found.take(1):
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)

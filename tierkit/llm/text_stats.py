@@ -73,9 +73,11 @@ def with_stats(df: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
 
     def run(batches):
         for b in batches:
-            rows = [stats_of(t or "") for t in b.column(at).to_pylist()]
-            cols = np.array(rows, np.int64).reshape(-1, len(STATS)).T
-            stats = pa.StructArray.from_arrays([pa.array(c) for c in cols], names=STATS)
+            rows = np.zeros((b.num_rows, len(STATS)), np.int64)
+            for i in range(0, b.num_rows, 512):  # a few texts as Python objects at a time
+                part = b.column(at).slice(i, 512).to_pylist()
+                rows[i : i + len(part)] = [stats_of(t or "") for t in part]
+            stats = pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], names=STATS)
             yield pa.RecordBatch.from_arrays([*b.columns, stats], names=schema.names)
 
     return df.mapInArrow(run, schema), name
