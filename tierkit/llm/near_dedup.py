@@ -21,8 +21,8 @@ Equal texts are collapsed first. In each bucket all members are compared with it
 most central one (whose buckets hold most texts), on their whole texts, by
 weighted Jaccard similarity, or by the plain similarity of the shingle sets where
 that is larger. Then buckets that still hold several classes: those of up to
-``SHARE`` members are compared whole; larger ones are split by each other band in
-turn, ``SPLITS`` bands a round until a round brings no new link, and a few
+``SHARE`` members are compared whole; larger ones are split by other bands,
+``SPLITS`` at first and then one a round until a round brings no new link, and a few
 central members of each class meet those of others there, in shares of about
 ``SHARE`` where there are more. So a bucket of n costs at most some n times
 ``SHARE`` comparisons a band, no bucket is left out, and copies of one text or
@@ -48,7 +48,7 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 STAND = 4  # members that stand for a class in a part of a large bucket
-SPLITS = 5  # bands by which large buckets are split in a round
+SPLITS = 5  # bands by which large buckets are split in their first round
 SHARE = 16  # members of a bucket that are compared with each other
 SKETCH = 1 << 17
 IDF_SHARE = 0.1
@@ -266,18 +266,23 @@ def _candidates(placed: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b; a < b) of two classes so far, from members (key, id, root, score, keys) of buckets.
 
     Buckets of ``SHARE`` members and less: all pairs. Larger ones (those with ``keys``) are split by
-    ``SPLITS`` other bands of their members, others each turn: similar texts agree there too, texts
-    that have but a passage in common hardly ever do. Of each class the most central members of
+    other bands of their members, ``SPLITS`` in the first turn and one in each later one: similar texts
+    agree there too, texts that have but a passage in common hardly ever do. Of each class the most central members of
     ``STAND`` parts stand there, and what is still larger than ``SHARE`` is dealt into shares.
     """
     many = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     mixed = placed.join(many.select("key"), "key")
-    first = (turn - 1) * SPLITS
-    parts = F.transform(F.array(*[F.lit(i) for i in range(first, first + SPLITS)]), lambda i: F.xxhash64("key", i, F.get("keys", i)))
-    parts = F.when(F.col("keys").isNull(), F.array(F.xxhash64("key"))).otherwise(parts)
+    # the bucket's own band and one some places on: every pair of bands comes up once
+    own = F.array_position("keys", F.col("key")).cast("int") - 1
+    other = lambda step: F.xxhash64("key", F.get("keys", (own + step) % BANDS))
+    if turn == 1:
+        parts = F.when(F.col("keys").isNull(), F.array(F.xxhash64("key"))).otherwise(F.array(*[other(i + 1) for i in range(SPLITS)]))
+        part = F.explode(parts)
+    else:
+        part = other(SPLITS + turn - 1)
     # in a small bucket each stands for itself, in a larger one the most central ones of parts of a class
     one = F.when(F.col("keys").isNull(), F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(-turn)), F.lit(STAND)))
-    here = mixed.select(F.explode(parts).alias("part"), "root", one.alias("one"), "id", "score").groupBy(
+    here = mixed.select(part.alias("part"), "root", one.alias("one"), "id", "score").groupBy(
         "part", "root", "one").agg(_central().alias("id"))
     sizes = here.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
     share = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("n") / SHARE))
@@ -312,7 +317,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     large = saved(shared.where(F.col("n") > SHARE).join(nodes.select("id", "keys"), "id").select(
         "key", "id", "score", "keys"), "large-buckets")
     links = tested = labels = None
-    for turn in range(1 + BANDS // SPLITS):
+    for turn in range(2 + BANDS // 2 - SPLITS):
         if turn == 0:
             pairs = _first_candidates(shared)
         else:  # small buckets are compared whole once
