@@ -21,12 +21,12 @@ Equal texts are collapsed first. In each bucket all members are compared with it
 most central one (whose buckets hold most texts), on their whole texts, by
 weighted Jaccard similarity, or by the plain similarity of the shingle sets where
 that is larger. Then buckets that still hold several classes: those of up to
-``SHARE`` members are compared whole; larger ones are split by other bands,
-``SPLITS`` at first and then one a round until a round brings no new link, and a few
-central members of each class meet those of others there, in shares of about
-``SHARE`` where there are more. So a bucket of n costs at most some n times
-``SHARE`` comparisons a band, no bucket is left out, and copies of one text or
-class cost none. Classes are the connected components of the verified links.
+``SHARE`` members are compared whole. Larger ones that still hold several classes are finished
+exactly by a prefix filter: each text is listed under its rarest shingles, so many that
+two texts without a common one there can't reach the threshold, and all pairs of texts
+of different classes that meet under a shingle and can reach it by what is left of them
+there are compared. So no pair of a bucket is left out, and copies of one text
+or class cost none. Classes are the connected components of the verified links.
 
 Defined cases: null and empty texts (no words) are never duplicates and form a
 class each; texts that are equal are one class whatever their doc_id; repeated
@@ -47,9 +47,7 @@ from tierkit.llm.components import components
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
-STAND = 4  # members that stand for a class in a part of a large bucket
-SPLITS = 5  # bands by which large buckets are split in their first round
-SHARE = 16  # members of a bucket that are compared with each other
+SHARE = 16  # members of a bucket up to which all are compared with each other
 SKETCH = 1 << 17
 IDF_SHARE = 0.1
 STEP = 0.1  # of ln(weight) in sampling
@@ -62,7 +60,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def _stirred(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
 
@@ -90,7 +88,7 @@ class Shingles:
                 self.powers = np.cumprod(np.full(2 * int(place.max()) + 2, _P), dtype=np.uint64)
             value = (raw.astype(np.uint64) + np.uint64(1)) * self.powers[place]
             value[space] = 0
-            return _mixed(np.add.reduceat(value, starts))
+            return _stirred(np.add.reduceat(value, starts))
 
     def hashes(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingle hashes in ascending order and how often each occurs."""
@@ -102,7 +100,7 @@ class Shingles:
             s = h[: len(h) - k + 1].copy()
             for j in range(1, k):
                 s = s * _P + h[j : len(h) - k + 1 + j]
-            return np.unique(_mixed(s), return_counts=True)
+            return np.unique(_stirred(s), return_counts=True)
 
 
 def _slices(batches, rows: int = 512):
@@ -262,36 +260,71 @@ def _first_candidates(shared: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
 
-def _candidates(placed: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b; a < b) of two classes so far, from members (key, id, root, score, keys) of buckets.
-
-    Buckets of ``SHARE`` members and less: all pairs. Larger ones (those with ``keys``) are split by
-    other bands of their members, ``SPLITS`` in the first turn and one in each later one: similar texts
-    agree there too, texts that have but a passage in common hardly ever do. Of each class the most central members of
-    ``STAND`` parts stand there, and what is still larger than ``SHARE`` is dealt into shares.
-    """
-    many = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    mixed = placed.join(many.select("key"), "key")
-    # the bucket's own band and one some places on: every pair of bands comes up once
-    own = F.array_position("keys", F.col("key")).cast("int") - 1
-    other = lambda step: F.xxhash64("key", F.get("keys", (own + step) % BANDS))
-    if turn == 1:
-        parts = F.when(F.col("keys").isNull(), F.array(F.xxhash64("key"))).otherwise(F.array(*[other(i + 1) for i in range(SPLITS)]))
-        part = F.explode(parts)
-    else:
-        part = other(SPLITS + turn - 1)
-    # in a small bucket each stands for itself, in a larger one the most central ones of parts of a class
-    one = F.when(F.col("keys").isNull(), F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(-turn)), F.lit(STAND)))
-    here = mixed.select(part.alias("part"), "root", one.alias("one"), "id", "score").groupBy(
-        "part", "root", "one").agg(_central().alias("id"))
-    sizes = here.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
-    share = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("n") / SHARE))
-    dealt = saved(here.join(sizes, "part").select("part", share.alias("share"), "root", "id"), "dealt")
-    other = dealt.select("part", "share", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = dealt.join(other, ["part", "share"]).where("id < b and root <> root_b")
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The members (key, id, root) of buckets that hold several classes."""
+    several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return placed.join(several.select("key"), "key").select("key", "id", "root")
+
+
+def _candidates(placed: DataFrame) -> DataFrame:
+    """All pairs (a, b; a < b) of different classes in the same bucket, from its members (key, id, root)."""
+    mixed = _mixed(placed)
+    other = mixed.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"))
+    pairs = mixed.join(other, "key").where("id < b and root <> root_b")
     return pairs.select(F.col("id").alias("a"), "b").distinct()
 
 
+def listed_under(h: np.ndarray, w: np.ndarray, rarity: np.ndarray, threshold: float):
+    """The rarest shingles of a text, without one of which in common no text is ``threshold`` similar to it; and
+    the count and the weight of its shingles from each of them on."""
+    at = np.lexsort((h, rarity[_cell(h)]))
+    left = np.arange(len(h), 0, -1)
+    heavy = np.cumsum(w[at][::-1])[::-1]
+    # a text with fewer common shingles than this, or less common weight, is not similar
+    n = max(int((left >= threshold * len(h) - 1e-6).sum()), int((heavy >= threshold * heavy[0] * (1 - 1e-6)).sum()))
+    return h[at[:n]], left[:n], heavy[:n]
+
+
+def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Pairs (a, b; a < b) of different classes among the members (key, id, root) of buckets that hold several:
+    all that may be similar."""
+    wanted = _mixed(placed).select("id", "root").distinct()
+    rows = saved(wanted.join(texts, "id").select("text", "id", "root"), "open-texts")
+    rarity = rows.sparkSession.sparkContext.broadcast(document_frequencies(rows)[0])
+
+    def index(batches):
+        shingles = Shingles()
+        for b in _slices(batches, 128):
+            found, sums = [], []
+            for t in b.column(0).to_pylist():
+                h, w = weighted(shingles, idf.value, t)
+                found.append(listed_under(h, w, rarity.value, threshold))
+                sums.append((len(h), w.sum()))
+            many = [len(f[0]) for f in found]
+            far = lambda x: pa.array(np.repeat(np.asarray(x), many))
+            yield pa.record_batch(
+                [pa.array(np.concatenate([f[0] for f in found]).view(np.int64)), far(b.column(1).to_numpy()), far(b.column(2).to_numpy()),
+                 far([x[0] for x in sums]), pa.array(np.concatenate([f[1] for f in found])),
+                 far([x[1] for x in sums]), pa.array(np.concatenate([f[2] for f in found]))],
+                names=["shingle", "id", "root", "n", "left", "w", "heavy"])
+
+    listed = saved(rows.mapInArrow(index, "shingle long, id long, root long, n long, left long, w double, heavy double"), "listed")
+    t = threshold / (1 + threshold) * (1 - 1e-6)  # of the sum of two sizes: the least common part
+    may = (F.least("left", "left_b") >= t * (F.col("n") + F.col("n_b"))) | (
+        F.least("heavy", "heavy_b") >= t * (F.col("w") + F.col("w_b")))
+    sums = ("n", "left", "w", "heavy")
+    # classes meet before their members do, by their best figures: members of one class are never paired
+    held = listed.groupBy("shingle", "root").agg(*[(F.min if c in ("n", "w") else F.max)(c).alias(c) for c in sums])
+    several = held.groupBy("shingle").agg(F.count("*").alias("classes")).where("classes > 1").select("shingle")
+    met = saved(held.join(several, "shingle"), "met-classes")
+    roots = met.join(met.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("root", *sums)]), "shingle").where(
+        (F.col("root") < F.col("root_b")) & may).select("shingle", "root", "root_b")
+    one = listed.join(several, "shingle")
+    other = one.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("id", "root", *sums)])
+    pairs = roots.join(one, ["shingle", "root"]).join(other, ["shingle", "root_b"]).where(may)
+    return pairs.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, content (md5 of the text), class_id (smallest doc_id of the
     class), stays (of a class the one (doc_id, content) that stays), wordless."""
@@ -313,24 +346,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = rows.groupBy("content").agg(F.first("text").alias("text"))
     texts = saved(wanted.join(first, "content").select("id", "text"), "candidate-texts")
 
-    small = shared.where(F.col("n") <= SHARE).select("key", "id", "score", F.lit(None).cast("array<long>").alias("keys"))
-    large = saved(shared.where(F.col("n") > SHARE).join(nodes.select("id", "keys"), "id").select(
-        "key", "id", "score", "keys"), "large-buckets")
-    links = tested = labels = None
-    for turn in range(2 + BANDS // 2 - SPLITS):
-        if turn == 0:
-            pairs = _first_candidates(shared)
-        else:  # small buckets are compared whole once
-            members = small.unionByName(large) if turn == 1 else large
-            pairs = _candidates(members.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id")), turn)
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        found = saved(_verified(pairs, texts, idf, threshold), "links")
-        if turn > 1 and not found.take(1):
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)  # of the ids that have a link
+    tested = saved(_first_candidates(shared), "pairs")
+    links = saved(_verified(tested, texts, idf, threshold), "links")
+    labels = components(links)  # of the ids that have a link
+    placed = shared.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    pairs = _candidates(placed.where(F.col("n") <= SHARE)).unionByName(
+        _exact_candidates(placed.where(F.col("n") > SHARE), texts, idf, threshold)).distinct()
+    found = _verified(saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), texts, idf, threshold)
+    labels = components(links.unionByName(saved(found, "links")))
     labels = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     wordless = F.size("keys") == 0
     members = nodes.join(labels, "id").select("content", "id", "doc_id", "root", wordless.alias("wordless"))
