@@ -24,3 +24,14 @@ def test_large_buckets_lose_no_link(spark):
     for r in near_dedup.classes(df).collect():
         got[r.class_id].append(r.doc_id)
     assert {tuple(sorted(g)) for g in got.values() if len(g) > 1} == want
+
+
+def test_samples_of_very_long_texts_agree_as_often_as_similarity():
+    """Texts with several times as many shingles as the table of random numbers has places."""
+    sampler, rng = near_dedup.Sampler(bands=100, rows=1), np.random.default_rng(4)
+    u = np.unique(rng.integers(0, 1 << 64, 400_000, dtype=np.uint64))
+    w = np.ones(len(u), np.float32)
+    mine = rng.random(len(u))
+    keys = lambda keep: sampler.band_keys(u[keep], w[keep])
+    assert (keys(mine < 0.5) == keys(mine >= 0.5)).mean() < 0.05  # nothing in common
+    assert abs((keys(mine < 0.9) == keys(mine >= 0.1)).mean() - 0.8) < 0.12

@@ -14,7 +14,8 @@ Consistent weighted sampling draws for each of ``BANDS * ROWS`` samples one
 probability equal to their weighted Jaccard similarity. Weights are rounded to
 steps of ten percent for sampling, and the random numbers of a (shingle, sample)
 are looked up by a hash of both in a table, so a sample costs one lookup per
-shingle. Documents that agree on all samples of a band share a bucket: at a
+shingle; of shingles with the same numbers the smallest hash wins, and a sample names the
+shingle itself, so texts with more shingles than the table has places agree no oftener. Documents that agree on all samples of a band share a bucket: at a
 similarity of 0.8, 99.96 % of pairs share one.
 
 Equal texts are collapsed first. In each bucket all members are compared with its
@@ -159,6 +160,7 @@ class Sampler:
         level = np.clip(np.rint(np.log(weights) / STEP), 0, _LEVELS - 1).astype(np.int64) * _CELLS
         best = np.full(len(self.odd), np.inf, np.float32)
         which = np.zeros(len(self.odd), np.int64)
+        who = np.zeros(len(self.odd), np.uint64)
         rows = np.arange(len(self.odd))
         short = (hashes >> np.uint64(32)).astype(np.uint32)
         with np.errstate(over="ignore"):
@@ -168,10 +170,11 @@ class Sampler:
                 a = self.ln_a[at]
                 k = a.argmin(axis=1)
                 low = a[rows, k]
-                less = low < best
+                less = low < best  # hashes ascend: of equals the smallest stays
                 best = np.where(less, low, best)
                 which = np.where(less, at[rows, k], which)
-            sample = ((which & (_CELLS - 1)) * 1_000_003 + self.t[which]).astype(np.uint64).reshape(self.bands, self.rows)
+                who = np.where(less, hashes[i + k], who)
+            sample = (who + self.t[which].astype(np.uint64) * _P).reshape(self.bands, self.rows)
             key = self.band_odd[:, -1].copy()
             for j in range(self.rows):
                 key = (key ^ (sample[:, j] + np.uint64(1))) * self.band_odd[:, j]
