@@ -53,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets_blanked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark, and n_chars set to the new length."""
     spans = fresh(docs, "secret_spans")
-    found = secret_scan.scan(docs).withColumnRenamed("secret_spans", spans)
+    found = secret_scan.scan(docs, every=True).withColumnRenamed("secret_spans", spans)
     clean = found.withColumn("text", F.when(F.col("text").isNotNull(), secret_scan.redact(F.col("text"), F.col(spans))))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

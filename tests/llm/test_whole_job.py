@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 
 from tierkit.llm import near_dedup
@@ -35,3 +36,10 @@ def test_samples_of_very_long_texts_agree_as_often_as_similarity():
     keys = lambda keep: sampler.band_keys(u[keep], w[keep])
     assert (keys(mine < 0.5) == keys(mine >= 0.5)).mean() < 0.05  # nothing in common
     assert abs((keys(mine < 0.9) == keys(mine >= 0.1)).mean() - 0.8) < 0.12
+
+
+def test_no_part_of_a_key_stays_beside_an_earlier_span(spark):
+    keys = ["q7Zp+f/xK2mVd9RtLs3wA7K2M9QX4T1W8ZB5j3Hn/8yGc+e6UvPa0bRk", "Zq+7Wm/xK2TvR9pLs3wYd8f3a1c5e7b9024d6Hn/8yGcQe6UvPa0RkJt"]
+    df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
+    for r in corpus_pipeline.secrets_blanked(spark, df, "").collect():
+        assert r.text == "key [SECRET] end"
