@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.llm import (
-    chat_format, chunk_bpe, near_dedup, packing, quality_rules, rule_ensemble, secret_scan, text_stats, token_index, url_rules,
-    vp_tree)
+    chat_format, chunk_bpe, near_dedup, packing, prefix_trie, quality_rules, rule_ensemble, secret_scan, text_stats, token_alignment,
+    token_index, url_rules, vp_tree)
 from tierkit.llm.common import saved, ship_package, table
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -167,5 +167,56 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
-QUERIES = {"op3_url_rules": op3_url_rules, "op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
-SQL = {"op2_secret_scan": _op2_sql(), "op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation c takes over the first h turns of c - c % 5 in place of its own; h = crc32(c) % 9."""
+    own = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    base = own.where(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("first"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    both = own.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5).join(base, "base", "left")
+    rest = F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0)))
+    first = F.slice(F.coalesce("first", F.slice("turns", 1, 0)), F.lit(1), h)
+    return prefix_trie.nodes(both.select("conv_id", F.concat(first, rest).alias("turns")))
+
+
+OP11_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, sha256(length(role) || ':' || role || text) AS k, strlen(text) AS size,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS place FROM t
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)), lambda x, b: list_reduce(
+      list_prepend(xor(x, b), range(8)), lambda y, i: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, 0 AS part, place, k, size FROM c JOIN o ON o.conv_id = c.base AND place <= h
+  UNION ALL SELECT c.conv_id, 1, place, k, size FROM c JOIN o ON o.conv_id = c.conv_id AND place > h
+), p AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(k, '') OVER w AS path, size FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c
+), n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size, left(path, 64 * (depth - 1)) AS parent
+  FROM p GROUP BY path, depth
+), e AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, max_by(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path
+), k AS (
+  SELECT parent AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY parent
+), d AS (
+  SELECT left(path, 64 * up) AS path, sum((n_convs - 1) * size) AS saved, count(*) FILTER (n_children IS NULL) AS leaves
+  FROM (SELECT n.*, n_children, unnest(range(depth + 1)) AS up FROM n LEFT JOIN k USING (path)) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, CASE WHEN n.depth > 0 THEN m.conv_id END AS parent_conv_id, n.n_convs,
+  coalesce(n_children, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM n JOIN d USING (path) LEFT JOIN n m ON m.path = n.parent AND m.depth = n.depth - 1 LEFT JOIN k ON k.path = n.path
+LEFT JOIN e ON e.path = n.path
+"""
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op11_prefix_trie": op11_prefix_trie, "op12_token_alignment": op12_token_alignment, "op3_url_rules": op3_url_rules, "op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+SQL = {"op2_secret_scan": _op2_sql(), "op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL, "op11_prefix_trie": OP11_SQL}
