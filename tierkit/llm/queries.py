@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.llm import (
-    chat_format, chunk_bpe, near_dedup, packing, prefix_trie, quality_rules, rule_ensemble, secret_scan, text_stats, token_alignment,
+    chat_format, chunk_bpe, language_id, near_dedup, packing, prefix_trie, quality_rules, rule_ensemble, secret_scan, text_stats, token_alignment,
     token_index, url_rules, vp_tree)
 from tierkit.llm.common import saved, ship_package, table
 
@@ -218,5 +218,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op11_prefix_trie": op11_prefix_trie, "op12_token_alignment": op12_token_alignment, "op3_url_rules": op3_url_rules, "op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+QUERIES = {"op11_prefix_trie": op11_prefix_trie, "op12_token_alignment": op12_token_alignment, "op13_language_id": op13_language_id, "op3_url_rules": op3_url_rules, "op6_vp_tree": op6_vp_tree, "op1_near_dedup": op1_near_dedup, "op4_quality_rules": op4_quality_rules, "op5_rule_ensemble": op5_rule_ensemble, "op9_chunk_bpe": op9_chunk_bpe, "op8_packing": op8_packing, "op10_token_index": op10_token_index, "op2_secret_scan": op2_secret_scan, "op7_chat_format": op7_chat_format}
 SQL = {"op2_secret_scan": _op2_sql(), "op6_vp_tree": OP6_SQL, "op7_chat_format": OP7_SQL, "op11_prefix_trie": OP11_SQL}
