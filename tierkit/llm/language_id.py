@@ -6,10 +6,11 @@ follow-the-regularised-leader (per-coordinate steps, L1 and L2 penalties, so mos
 softmax of all languages, then one temperature is fitted on labelled rows that the weights have not seen.
 
 Document frequencies are counted over all labelled rows outside the held-out fold, each task adding up its own
-before the shuffle.  Weights are fitted on at most ``FIT_ROWS`` of those rows (a documented bound): rows of all languages
-by turns, those of the smallest hash first; a tenth of them fits the temperature.  The model is one array of
-``BUCKETS`` idf values and the weights that aren't zero, at most ``BUCKETS`` times the number of languages; it is fitted in
-one task and sent to the tasks.  Whole texts are read, at training and at prediction.
+before the shuffle.  Weights are fitted on a sample of those rows, a documented bound: ``FIT_ROWS`` are expected, as many of
+each language as there are, drawn by a seeded random number (the same for the same table and partitions); a tenth of them
+fits the temperature.  They are learned in one task, one row after another as the method asks, from a sorted stream.  The
+model is one array of ``BUCKETS`` idf values and the weights that aren't zero, at most ``BUCKETS`` times the number of
+languages, and is sent to the tasks.  Whole texts are read, at training and at prediction.
 
 Defined cases: a text that is null or holds no letter (Unicode category L) is ``und`` with score 1; without a
 labelled text that holds a letter, every text is ``und`` with score 0; languages are learned by name as given, a row with a
@@ -21,11 +22,12 @@ from __future__ import annotations
 
 import math
 import sys
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierkit.llm.common import saved, ship_package, whole_text
@@ -93,25 +95,38 @@ def grams(texts: pa.Array):
             start = stop
 
 
-def document_frequencies(taught: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many texts with letters each place occurs, and how many there are."""
+def corpus_counts(taught: DataFrame, most: int) -> tuple[np.ndarray, dict[str, int]]:
+    """In how many texts each place occurs, and how many texts with a letter each language has (of ``most`` languages
+    at most, the most frequent ones); each task adds up its own texts first."""
     def run(batches):
-        df, n = np.zeros(BUCKETS + 1, np.int64), 0
+        df, langs = np.zeros(BUCKETS, np.int64), Counter()
         for b in batches:
-            for g in grams(b.column(0)):
+            for g, lang in zip(grams(b.column(0)), b.column(1).to_pylist(), strict=True):
                 if len(g):
                     seen = np.zeros(BUCKETS, bool)
                     seen[g] = True
-                    df[:BUCKETS] += seen
-                    n += 1
-        df[BUCKETS] = n
+                    df += seen
+                    langs[lang] += 1
         at = np.flatnonzero(df)
-        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], names=["place", "n"])
+        yield pa.record_batch([pa.array(at, pa.int64()), pa.nulls(len(at), pa.string()), pa.array(df[at], pa.int64())], names=["place", "lang", "n"])
+        yield pa.record_batch([pa.nulls(len(langs), pa.int64()), pa.array(list(langs), pa.string()), pa.array(list(langs.values()), pa.int64())],
+                              names=["place", "lang", "n"])
 
-    rows = taught.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(BUCKETS + 1, np.int64)  # at most BUCKETS + 1 rows come here
+    found = saved(taught.select("text", "lang").mapInArrow(run, "place long, lang string, n long").groupBy("place", "lang").agg(
+        F.sum("n").alias("n")), "lang-counts")
+    rows, df = found.where("place is not null").select("place", "n").toArrow(), np.zeros(BUCKETS, np.int64)  # BUCKETS rows at most
     df[rows["place"].to_numpy()] = rows["n"].to_numpy()
-    return df[:BUCKETS], int(df[BUCKETS])
+    langs = found.where("place is null").orderBy(F.desc("n"), "lang").limit(most).collect()
+    return df, {r.lang: r.n for r in langs}
+
+
+def shares(counts: dict[str, int], rows: int) -> dict[str, float]:
+    """The share of each language's rows to take, so that ``rows`` are expected: as many of each as there are."""
+    left, out = rows, {}
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, left / (len(counts) - i))
+        out[lang], left = take / n, left - take
+    return out
 
 
 def vector(g: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,55 +206,63 @@ class Model:
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
     """Learn from text and lang of the rows outside the held-out fold; None where there is nothing to learn."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     taught = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(
-        whole_text().alias("text"), "lang", F.xxhash64("doc_id", F.lit(13)).alias("h"))
-    df, n = document_frequencies(taught)
-    if not n:
+        whole_text().alias("text"), "lang")
+    df, langs = corpus_counts(taught, fit_rows)
+    if not langs:
         return None
-    idf = np.where(df > 0, np.log((1 + n) / (1 + df)) + 1, 0.0)
-    # the smallest hashes of each language (pruned before the shuffle), then all languages by turns
-    first = taught.where(F.col("text").rlike(r"\p{L}")).withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
-    sample = saved(first.where(F.col("turn") <= fit_rows).orderBy("turn", "h", "lang", "text").limit(fit_rows).select("lang", "h", "text"), "lang-sample")
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
+    idf = np.where(df > 0, np.log((1 + sum(langs.values())) / (1 + df)) + 1, 0.0)
+    names, share = sorted(langs), shares(langs, fit_rows)
+    # at most fit_rows rows of this table; a language of a few rows is not asked to give some for the temperature
+    wanted = spark.createDataFrame([(x, share[x], 0.1 if share[x] * langs[x] >= 20 else 0.0) for x in names],
+                                   "lang string, share double, kept double")
+    sample = taught.withColumn("r", F.rand(13)).join(F.broadcast(wanted), "lang").where(F.col("r") < F.col("share")).select(
+        "lang", "text", (F.col("r") / F.col("share")).alias("r"), (F.rand(14) < F.col("kept")).alias("kept"))
+    shared = spark.sparkContext.broadcast(idf)
 
     def vectors(batches):
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                found = [vector(g, shared.value) for g in grams(part.column(2))]
-                yield pa.record_batch([part.column(0), part.column(1), pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                                       pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["lang", "h", "at", "v"])
+                found = [vector(g, shared.value) for g in grams(part.column(1))]
+                yield pa.record_batch([part.column(0), part.column(2), part.column(3), pa.array([f[0] for f in found], pa.list_(pa.int32())),
+                                       pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["lang", "r", "kept", "at", "v"])
 
     def train(batches):
-        rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), [np.array(x.values, np.int32) for x in b.column(2)],
-                                                [np.array(x.values, np.float32) for x in b.column(3)], strict=True) if len(r[2])]
-        rows.sort(key=lambda r: (r[1], r[0]))
-        names = sorted({r[0] for r in rows})
         number = {x: i for i, x in enumerate(names)}
-        # every tenth row, but for languages of a few rows, is kept for the temperature
-        kept = [r for i, r in enumerate(rows) if i % 10 == 9]
-        rest = [r for i, r in enumerate(rows) if i % 10 != 9]
-        taught = {r[0] for r in rest}
-        rest += [r for r in kept if r[0] not in taught]
-        leader = Leader(len(names))
-        for _ in range(EPOCHS):
-            for lang, _, at, v in rest:
-                leader.learn(at, v, number[lang])
-        w = leader.weights(np.arange(BUCKETS + 1))
-        kept = kept or rest
-        logits = np.stack([v @ w[at] + w[BUCKETS] for _, _, at, v in kept])
-        heat = temperature(logits, np.array([number[r[0]] for r in kept]))
+        leader, logits, labels, spare, w = Leader(len(names)), [], [], [], None
+        for b in batches:
+            for i in range(b.num_rows):
+                turn, label = b.column(0)[i].as_py(), number[b.column(1)[i].as_py()]
+                at, v = b.column(3)[i].values.to_numpy(), b.column(4)[i].values.to_numpy()
+                if not len(at):
+                    continue
+                if turn < EPOCHS:
+                    leader.learn(at, v, label)
+                    if turn == 0 and len(spare) < 200:
+                        spare.append((at, v, label))
+                    continue
+                w = leader.weights(np.arange(BUCKETS + 1)) if w is None else w
+                logits.append(v @ w[at] + w[BUCKETS])
+                labels.append(label)
+        w = leader.weights(np.arange(BUCKETS + 1)) if w is None else w
+        if not labels:  # too few rows to keep some apart
+            logits, labels = [v @ w[at] + w[BUCKETS] for at, v, _ in spare], [x for _, _, x in spare]
         at = np.flatnonzero(w.any(1))
-        yield pa.record_batch([pa.array([names]), pa.array([at.tolist()], pa.list_(pa.int64())),
-                               pa.array([w[at].astype(np.float32).tobytes()], pa.binary()), pa.array([heat])], names=["names", "at", "w", "heat"])
-
-    vectors_of = saved(sample.repartition(max(1, min(64, fit_rows // 250))).mapInArrow(vectors, "lang string, h long, at array<long>, v array<double>"), "lang-vectors")
-    got = vectors_of.coalesce(1).mapInArrow(train, "names array<string>, at array<long>, w binary, heat double").first()
+        yield pa.record_batch([pa.array([at.tolist()], pa.list_(pa.int64())), pa.array([w[at].astype(np.float32).tobytes()], pa.binary()),
+                               pa.array([temperature(np.stack(logits), np.array(labels))])], names=["at", "w", "heat"])
+
+    # the sample in a fixed order, once per epoch and then its rows for the temperature, as one stream
+    rows = saved(sample.mapInArrow(vectors, "lang string, r double, kept boolean, at array<int>, v array<float>"), "lang-sample")
+    turns = F.when(F.col("kept"), F.array(F.lit(EPOCHS))).otherwise(F.array(*[F.lit(e) for e in range(EPOCHS)]))
+    stream = rows.select(F.explode(turns).alias("turn"), "lang", "r", "at", "v").repartition(1).sortWithinPartitions("turn", "r", "lang")
+    got = stream.select("turn", "lang", "r", "at", "v").mapInArrow(train, "at array<long>, w binary, heat double").first()
     shared.destroy()
-    w = np.zeros((BUCKETS + 1, len(got.names)), np.float32)
-    w[np.array(got.at, np.int64)] = np.frombuffer(got.w, np.float32).reshape(-1, len(got.names))
-    return Model(list(got.names), idf, w, got.heat)
+    w = np.zeros((BUCKETS + 1, len(names)), np.float32)
+    w[np.array(got.at, np.int64)] = np.frombuffer(got.w, np.float32).reshape(-1, len(names))
+    return Model(names, idf, w, got.heat)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
