@@ -17,7 +17,7 @@ from tierkit.sources.snapshots import day_folders, newest_snapshot, read_snapsho
 from tierkit.sources.tables import read_table
 from tierkit.workloads import AS_OF, RECORD_SCHEMA, SILVER_RULES
 
-S1 = "20250711_221343_092307"
+S1 = "20250711_080910_000111"
 S2 = "20250712_101010_000001"
 S3 = "20250713_000000_000000"
 

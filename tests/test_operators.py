@@ -175,8 +175,8 @@ def test_overwrite_is_static(spark, tmpdir_path):
 def test_land_json_layout_and_scan(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "bronze")
     df = spark.createDataFrame([("x", "é", None)], "id string, name string, city string")
-    stamp = land_json(df, root, stamp="20250711_221343_092307")
-    assert stamp == "20250711_221343_092307"
+    stamp = land_json(df, root, stamp="20250711_080910_000111")
+    assert stamp == "20250711_080910_000111"
     d = os.path.join(root, "year=2025", "month=07", "day=11", f"snapshot={stamp}")
     files = [f for f in os.listdir(d) if f.endswith(".json")]
     text = open(os.path.join(d, files[0]), encoding="utf-8").read()
@@ -229,3 +229,59 @@ def test_table_bytes_from_listing(spark):
 
     path = "/root/testdata/sf0.001/lineitem.parquet"
     assert table_bytes(spark, path) == os.path.getsize(path)
+
+
+@pytest.mark.parametrize("numbers", [[1, 3], [2, 3], [1, 2, 2, 3], [1, None, 2]])
+def test_pages_with_gaps_raise(spark, numbers):
+    for end in ([], [(4, "[]")]):
+        rows = [(n, _page([1])) for n in numbers] + end
+        with pytest.raises(BadPageError):
+            paged_records(spark.createDataFrame(rows, "page int, body string"), REC)
+    # pages behind the end don't count, and a source may number from 0
+    late = [(0, _page([5])), (1, "[]"), (3, _page([6])), (3, _page([6]))]
+    assert paged_records(spark.createDataFrame(late, "page int, body string"), REC, first_page=0).count() == 1
+
+
+def test_no_records_is_an_error_by_default(spark):
+    with pytest.raises(NoRecordsError):
+        paged_records(spark.createDataFrame([(1, "[]")], "page int, body string"), REC)
+    assert paged_records(spark.createDataFrame([(1, "[]")], "page int, body string"), REC, check_nonempty=False).count() == 0
+
+
+HELPERS = ["__salt", "__spread", "__k0", "__rn", "__a", "__r", "__latest", "__Salt2"]
+
+
+@pytest.mark.parametrize("name", HELPERS)
+def test_columns_named_like_a_helper(spark, tmpdir_path, name):
+    from tierkit.operators.dedup import first_per_key
+    from tierkit.operators.snapshot import latest_snapshot
+
+    df = spark.createDataFrame([("x", 1, "a"), ("x", 2, "b"), (None, 3, "c")], f"k string, `{name}` int, s string")
+    ref = spark.createDataFrame([("x", "attr"), ("y", "other")], f"k string, `{'__a' if name != '__a' else 'v'}` string")
+    attr = ref.columns[1]
+    for strategy in ("broadcast", "shuffle"):
+        out = enrich_left(df, ref, ["k"], [attr], strategy=strategy)
+        assert out.columns == ["k", name, "s", attr]
+        assert sorted((r[1], r[3]) for r in out.collect()) == [(1, "attr"), (2, "attr"), (3, None)]
+    assert sorted(first_per_key(df, ["k"], [F.col(name)], [F.col("s")]).collect(), key=str) == sorted(
+        df.where(F.col(name) != 2).collect(), key=str)
+    assert latest_snapshot(df, "s", "a").collect() == [(None, 3, "c")]
+    path = os.path.join(tmpdir_path, "t")
+    cluster_layout(df, path, [name], num_files=2)
+    assert sorted(map(str, read_table(spark, path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_a_filter_skips_files_of_the_clustered_table(spark, tmpdir_path):
+    from tierkit.sinks.layout import rows_scanned
+
+    df = spark.range(8000).select((F.col("id") * 7919 % 8000).alias("k"), F.col("id").cast("string").alias("v"))
+    decoded = {}
+    for name in ("dealt", "clustered"):
+        path = os.path.join(tmpdir_path, name)
+        if name == "dealt":
+            overwrite_table(df.repartition(8), path)
+        else:
+            cluster_layout(df, path, ["k"], num_files=8)
+        found, decoded[name] = rows_scanned(read_table(spark, path).where("k between 100 and 199"))
+        assert found == 100
+    assert decoded["dealt"] == 8000 and decoded["clustered"] <= 2000

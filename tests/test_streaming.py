@@ -12,7 +12,7 @@ from tierkit.streaming.incremental import stream_bronze_to_silver
 from tierkit.workloads import RECORD_SCHEMA, SILVER_RULES
 
 OLD = "20250710_000000_000000"
-S1 = "20250711_221343_092307"
+S1 = "20250711_080910_000111"
 S2 = "20250712_101010_000001"
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierkit.control import fresh_name
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -31,7 +33,8 @@ def first_per_key(df: DataFrame, keys, order, tie_break, keep_null_keys: bool =
     key_cols = [_c(k) for k in keys]
     if normalize_key is not None:
         key_cols = [normalize_key(k) for k in key_cols]
-    names = [f"__k{i}" for i in range(len(key_cols))]
+    names = [fresh_name(df.columns, f"__k{i}") for i in range(len(key_cols))]
+    rank = fresh_name(df.columns, "__rn")
     src = df.select("*", *[k.alias(n) for k, n in zip(key_cols, names)])
     w = Window.partitionBy(*names).orderBy(*[_c(o) for o in order], *[_c(t) for t in tie_break])
     if keep_null_keys:
@@ -40,8 +43,8 @@ def first_per_key(df: DataFrame, keys, order, tie_break, keep_null_keys: bool =
             any_null = any_null | F.col(n).isNull()
         nulls = src.where(any_null)
         src = src.where(~any_null)
-    out = (src.withColumn("__rn", F.row_number().over(w))
-           .where(F.col("__rn") == 1).drop("__rn"))
+    out = (src.withColumn(rank, F.row_number().over(w))
+           .where(F.col(rank) == 1).drop(rank))
     if keep_null_keys:
         out = out.unionByName(nulls)
     return out.drop(*names)

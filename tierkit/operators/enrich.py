@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from tierkit.control import fresh_name
 from tierkit.session import scratch_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -69,10 +70,11 @@ def session_broadcast_limit(spark) -> int:
 def unique_reference(ref: DataFrame, keys, attrs) -> DataFrame:
     """One row per non-NULL key; ties resolved by the smallest ``attrs`` tuple."""
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    least = fresh_name([*keys, *attrs], "__a")
     return (ref.where(not_null)
             .groupBy(*keys)
-            .agg(F.min(F.struct(*[F.col(a) for a in attrs])).alias("__a"))
-            .select(*keys, *[F.col(f"__a.{a}").alias(a) for a in attrs]))
+            .agg(F.min(F.struct(*[F.col(a) for a in attrs])).alias(least))
+            .select(*keys, *[F.col(least)[a].alias(a) for a in attrs]))
 
 
 def enrich_left(df: DataFrame, ref: DataFrame, keys, attrs,
@@ -105,7 +107,7 @@ def enrich_left(df: DataFrame, ref: DataFrame, keys, attrs,
         if strategy == "broadcast":
             raise ValueError(f"the reference is too large to broadcast: {size['rows']} rows, {size['bytes']} bytes")
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salt = "__salt"
+    salt = fresh_name([*df.columns, *attrs], "__salt")
     salted = df.withColumn(salt, F.when(any_null, F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)) + 1)
                            .otherwise(F.lit(0)).cast("long"))
     joined = salted.join(uref.withColumn(salt, F.lit(0).cast("long")), on=[*keys, salt], how="left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierkit.control import fresh_name
 from tierkit.functions.stamps import EPOCH_STAMP
 
 
@@ -34,6 +35,7 @@ def latest_snapshot(df: DataFrame, stamp_col: str, since: str | None = None) ->
     global aggregate - exactly one row - so broadcasting it has a proven size
     bound.  Nothing newer (``MAX`` NULL) -> zero rows.
     """
-    mx = max_stamp(df, stamp_col, "__latest", since)
-    return (df.join(F.broadcast(mx), F.col(stamp_col) == F.col("__latest"), "inner")
-            .drop("__latest"))
+    latest = fresh_name(df.columns, "__latest")
+    mx = max_stamp(df, stamp_col, latest, since)
+    return (df.join(F.broadcast(mx), F.col(stamp_col) == F.col(latest), "inner")
+            .drop(latest))

@@ -167,6 +167,10 @@ FROM facts f LEFT JOIN ref r ON f.nation = r.nation AND f.area_code = r.area_cod
     "csv_export_partitioned": SILVER_ALL,
     "csv_export_plain": AUDIT,
     "cluster_layout": "SELECT * FROM lineitem",
+    "cluster_skipping": """SELECT count(*) FILTER (l_partkey BETWEEN 10 AND 20) AS rows,
+  min(l_orderkey) FILTER (l_partkey BETWEEN 10 AND 20) AS first_order,
+  max(l_orderkey) FILTER (l_partkey BETWEEN 10 AND 20) AS last_order,
+  count(*) AS decoded_of_dealt, TRUE AS clustered_decodes_under_half FROM lineitem""",
     "cluster_file_ranges": "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS overlapping_files FROM lineitem",
     "bronze_to_silver": SILVER_LATEST,
     "silver_to_gold": _gold_over(SILVER_LATEST),

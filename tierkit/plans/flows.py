@@ -8,10 +8,10 @@ Design points (compared with a straight "SQL per step" job):
 * Each result is written once as a new version and *read back* for the CSV
   mirror and the ``MAX`` stamp: no step recomputes the deduplication, the
   mirror always equals the table, and the lineage is cut at the table.
-* Nothing is written when there is nothing new.  Table and mirror are replaced
-  by moving a pointer after their write, and the watermark is committed last: a
-  failure leaves the previous table, mirror and watermark (or the new table
-  beside the old watermark, which the next run writes again, equal).
+* Nothing is written when there is nothing new.  Table, mirror and stamp are
+  replaced together by creating one pointer file after their write: a crash
+  between any two steps leaves a matching set, and the watermark row that may be
+  missing after it is written by the next run (``published_watermark``).
 * A flow runs in a session of its own for its shuffle sizes; the caller's
   settings are not touched.
 """
@@ -23,23 +23,23 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierkit.operators.aggregate import audit_columns, group_count
 from tierkit.operators.dedup import first_per_key
 from tierkit.operators.enrich import enrich_left
 from tierkit.operators.guards import is_empty
 from tierkit.operators.project import apply_rules
-from tierkit.plans.watermark import compact_watermark, effective_watermark, read_watermark, \
-    write_watermark
+from tierkit.control import fresh_name
+from tierkit.functions.stamps import default_stamp
+from tierkit.plans.watermark import compact_watermark, published_watermark, write_watermark
 from tierkit.session import job_session
-from tierkit.sinks.files import export_csv, land_json, overwrite_table
-from tierkit.sinks.layout import cluster_layout
+from tierkit.sinks.commits import compact_commits
+from tierkit.sinks.files import land_json, publish
+from tierkit.sinks.layout import clustered
 from tierkit.sources.snapshots import Snapshot, newest_snapshot, read_snapshots
 from tierkit.sources.tables import read_table, table_bytes
 
-CORRUPT_COL = "__corrupt"
-
-
 @dataclass
 class Enrichment:
     """J2 inside the silver step: ``attrs`` of ``reference`` by the silver columns ``keys``."""
@@ -104,7 +104,7 @@ def silver_frame(scan: DataFrame, cfg: SilverConfig, newest: str) -> DataFrame:
 
 def bronze_to_silver(spark: SparkSession, cfg: SilverConfig) -> dict:
     """Newest unseen snapshot -> deduplicated, cleaned silver table."""
-    since = effective_watermark(spark, cfg.watermark_path)
+    since = default_stamp(published_watermark(spark, cfg.watermark_path, cfg.silver_path))
     snap = newest_snapshot(spark, cfg.bronze_root, since, cfg.layout)
     if snap.stamp is None:
         return {"status": "nothing_new", "since": since}
@@ -118,7 +118,8 @@ def publish_snapshot(spark: SparkSession, cfg: SilverConfig, snap: Snapshot) ->
     the run before anything is replaced, or go to ``cfg.corrupt_path``.
     """
     job = job_session(spark, snap.bytes)
-    divert = CORRUPT_COL if cfg.corrupt_path else None
+    fields = StructType.fromDDL(cfg.record_schema) if isinstance(cfg.record_schema, str) else cfg.record_schema
+    divert = fresh_name([*fields.fieldNames(), cfg.stamp_col], "__corrupt") if cfg.corrupt_path else None
     scan = read_snapshots(job, cfg.bronze_root, cfg.record_schema, layout=cfg.layout,
                           stamp_col=cfg.stamp_col, folders=snap.folders, corrupt_col=divert)
     out = {"status": "written", "stamp": snap.stamp}
@@ -134,10 +135,7 @@ def publish_snapshot(spark: SparkSession, cfg: SilverConfig, snap: Snapshot) ->
     if is_empty(scan.where(F.col(cfg.stamp_col) == F.lit(snap.stamp))):
         return dict(out, status="empty")
     silver = silver_frame(scan, cfg, snap.stamp)
-    overwrite_table(silver, cfg.silver_path, cfg.partition_by, cfg.fmt)
-    if cfg.csv_path:
-        export_csv(read_table(job, cfg.silver_path, cfg.fmt, schema=silver.schema), cfg.csv_path,
-                   cfg.partition_by, rebalance=False)
+    publish(silver, cfg.silver_path, cfg.partition_by, cfg.fmt, cfg.csv_path, snap.stamp)
     write_watermark(spark, cfg.watermark_path, snap.stamp)
     return out
 
@@ -157,15 +155,13 @@ def silver_to_gold(spark: SparkSession, cfg: GoldConfig, as_of: datetime | None
     if stats["n"] == 0:
         return {"status": "empty"}
     newest = stats["m"]
-    if cfg.skip_if_current and newest is not None and newest == read_watermark(
-            spark, cfg.watermark_path):
+    if cfg.skip_if_current and newest is not None and newest == published_watermark(
+            spark, cfg.watermark_path, cfg.gold_path):
         return {"status": "current", "stamp": newest}
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     gold = gold_frame(silver, cfg, as_of)
     # K4 + K5 in one write: the range sample and the write share the aggregate's shuffle
-    cluster_layout(gold, cfg.gold_path, cfg.keys, fmt=cfg.fmt)
-    if cfg.csv_path:
-        export_csv(read_table(job, cfg.gold_path, cfg.fmt, schema=gold.schema), cfg.csv_path)
+    publish(clustered(gold, cfg.keys), cfg.gold_path, fmt=cfg.fmt, csv_path=cfg.csv_path, stamp=newest or "")
     if newest:
         write_watermark(spark, cfg.watermark_path, newest)
     return {"status": "written", "stamp": newest, "as_of": as_of}
@@ -176,8 +172,8 @@ def run_all(spark: SparkSession, records: DataFrame | None, bronze_watermark: st
             watermark_max_files: int = 64, stamp: str | None = None) -> dict:
     """C4: land (when records are given) -> silver -> gold; a failure stops the rest.
 
-    Last, the layers' watermark datasets are compacted once they hold more
-    than ``watermark_max_files`` commit files (one small job each).
+    Last, the layers' watermark datasets and bronze's commit rows are compacted once they hold more
+    than ``watermark_max_files`` commit files (one listing each; small jobs when due).
     """
     out = {}
     if records is not None:
@@ -187,4 +183,5 @@ def run_all(spark: SparkSession, records: DataFrame | None, bronze_watermark: st
     for wm in (bronze_watermark, silver_cfg.watermark_path, gold_cfg.watermark_path):
         if wm:
             compact_watermark(spark, wm, watermark_max_files)
+    compact_commits(spark, silver_cfg.bronze_root, watermark_max_files)
     return out

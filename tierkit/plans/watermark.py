@@ -12,7 +12,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tierkit.functions.stamps import default_stamp
-from tierkit.control import append_rows, file_count, replace_rows, rows_of
+from tierkit.control import append_rows, replace_rows, row_files, rows_of
+from tierkit.sinks.versions import current_commit
 
 WATERMARK_SCHEMA = "stamp string, written_at timestamp"
 
@@ -34,6 +35,25 @@ def effective_watermark(spark: SparkSession, path: str) -> str:
     return default_stamp(read_watermark(spark, path))
 
 
+def published_watermark(spark: SparkSession, path: str, table_path: str) -> str | None:
+    """The stamp that the table at ``table_path`` was published of, by its commit and the watermark's rows.
+
+    The commit of a table carries its stamp (``sinks.versions``).  A run that crashed after it, before its
+    watermark row, is finished here: the row is written.  A row written after the commit rules, so a watermark that was
+    moved back on purpose stays there.
+    """
+    df, commit = rows_of(spark, path, WATERMARK_SCHEMA), current_commit(spark, table_path)
+    row = df.agg(F.max(F.trim("stamp")).alias("m"), F.max("written_at").alias("at")).first() if df is not None else None
+    stored = row["m"] if row else None
+    if commit is None or not commit.stamp:
+        return stored
+    at = datetime.fromtimestamp(commit.at_micros / 1_000_000, timezone.utc).replace(tzinfo=None)
+    if (row and row["at"] and row["at"] >= at) or (stored or "") >= commit.stamp:
+        return stored
+    write_watermark(spark, path, commit.stamp)
+    return commit.stamp
+
+
 def write_watermark(spark: SparkSession, path: str, stamp: str) -> None:
     """K7: commit ``stamp`` (one row, one file)."""
     append_rows(spark, path, WATERMARK_SCHEMA, [_row(stamp)])
@@ -53,8 +73,7 @@ def compact_watermark(spark: SparkSession, path: str, max_files: int = 64) -> bo
     The row of the largest stamp is appended before the older files go, so the
     watermark is the same at any moment.  Returns whether it compacted.
     """
-    df = rows_of(spark, path, WATERMARK_SCHEMA)
-    if df is None or file_count(df) <= max_files:
+    if len(row_files(spark, path)) <= max_files:
         return False
     replace_rows(spark, path, WATERMARK_SCHEMA, [_row(read_watermark(spark, path))])
     return True

@@ -10,24 +10,22 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierkit.control import fresh_name
 from tierkit.session import TARGET_SHUFFLE_INPUT_BYTES
 from tierkit.sinks.files import overwrite_table
 
 
-def _spread(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(c) for c in df.columns]).alias("__spread")
-
-
 def clustered(df: DataFrame, cols, num_files: int | None = None) -> DataFrame:
     """Range-partition on ``cols`` (+ row hash) and sort within partitions."""
-    keyed = df.select("*", _spread(df))
-    parts = [F.col(c) for c in cols] + [F.col("__spread")]
+    spread = fresh_name(df.columns, "__spread")
+    keyed = df.select("*", F.xxhash64(*df.columns).alias(spread))
+    parts = [F.col(c) for c in cols] + [F.col(spread)]
     ranged = (keyed.repartitionByRange(num_files, *parts) if num_files
               else keyed.repartitionByRange(*parts))
-    return ranged.sortWithinPartitions(*parts).drop("__spread")
+    return ranged.sortWithinPartitions(*parts).drop(spread)
 
 
 def cluster_layout(df: DataFrame, path: str, cols, num_files: int | None = None,
@@ -61,3 +59,14 @@ def overlapping_files(df: DataFrame, cols) -> DataFrame:
     ranges = file_ranges(df, cols).withColumn("before", before)
     return ranges.agg(F.sum("rows").alias("rows"),
                       F.count(F.when(F.col("low") < F.col("before"), 1)).alias("overlapping_files"))
+
+
+def rows_scanned(df: DataFrame) -> tuple[int, int]:
+    """Rows that ``df`` returns, and rows that its file scans decode for it, counted by the scans themselves.
+
+    A scan decodes the row groups whose footer statistics may fit the pushed filters; the others are skipped unread.
+    """
+    plan = df._jdf.queryExecution()
+    returned = plan.toRdd().count()
+    leaves = plan.executedPlan().collectLeaves()
+    return returned, sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))

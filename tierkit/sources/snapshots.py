@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierkit.functions.stamps import EPOCH_STAMP, FILE_STAMP_REGEX, STAMP_TEXT_REGEX
-from tierkit.control import folder_bytes, hadoop_path, rows_of
-from tierkit.sinks.files import COMMIT_SCHEMA, commits_path
+from tierkit.control import folder_bytes, fresh_name, hadoop_path
+from tierkit.sinks.commits import newest_commit
 
 PARTITION_COLS = ("year", "month", "day", "snapshot")
 
@@ -85,7 +85,8 @@ def _parsed(df: DataFrame, rec: StructType, corrupt_col: str | None) -> DataFram
     kept = StructType([*rec.fields, StructField(corrupt_col, StringType(), True)])
     record = F.from_json("value", kept, {"columnNameOfCorruptRecord": corrupt_col})
     rest = [c for c in df.columns if c != "value"]
-    return df.where(F.trim("value") != "").select(record.alias("__r"), *rest).select("__r.*", *rest)
+    whole = fresh_name(rest, "__r")
+    return df.where(F.trim("value") != "").select(record.alias(whole), *rest).select(f"{whole}.*", *rest)
 
 
 class Snapshot(NamedTuple):
@@ -119,16 +120,13 @@ def newest_of(stamped: DataFrame, since: str | None = None) -> Snapshot:
     return Snapshot(top[0]["stamp"], sorted(top[0]["folders"]), top[0]["bytes"])
 
 
-def newest_committed(spark: SparkSession, root: str, commits: DataFrame | None, since: str | None = None) -> Snapshot:
+def newest_committed(spark: SparkSession, root: str, since: str | None = None) -> Snapshot:
     """The newest committed stamp above ``since``, its folder and the bytes there."""
-    if commits is None:
+    top = newest_commit(spark, root)
+    if top is None or top.stamp <= (since or EPOCH_STAMP):
         return Snapshot(None, [], None)
-    top = commits.where(F.col("stamp") > F.lit(since or EPOCH_STAMP)).agg(
-        F.max(F.struct("stamp", "folder")).alias("m")).first()["m"]
-    if top is None:
-        return Snapshot(None, [], None)
-    folder = f"{root.rstrip('/')}/{top['folder']}"
-    return Snapshot(top["stamp"], [folder], folder_bytes(spark, folder))
+    folder = f"{root.rstrip('/')}/{top.folder}"
+    return Snapshot(top.stamp, [folder], folder_bytes(spark, folder))
 
 
 def day_folders(spark: SparkSession, root: str, day_glob: str, since: str | None = None) -> list[str]:
@@ -154,7 +152,7 @@ def newest_snapshot(spark: SparkSession, root: str, since: str | None = None,
     folders from the day of ``since`` on; no record is parsed, and no list of files reaches the driver.
     """
     if layout == "directory":
-        return newest_committed(spark, root, rows_of(spark, commits_path(root), COMMIT_SCHEMA), since)
+        return newest_committed(spark, root, since)
     if layout != "file_name":
         raise ValueError(f"unknown layout {layout!r}")
     day_glob, _, last = glob.rpartition("/")

@@ -26,10 +26,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tierkit.plans.flows import SilverConfig, publish_snapshot
-from tierkit.plans.watermark import effective_watermark
-from tierkit.sinks.files import COMMIT_SCHEMA, commits_path
-from tierkit.sources.snapshots import BINARY_FILE_SCHEMA, listing_columns, newest_committed, \
-    newest_of
+from tierkit.functions.stamps import default_stamp
+from tierkit.plans.watermark import published_watermark
+from tierkit.sinks.commits import COMMIT_SCHEMA, commits_path
+from tierkit.sources.snapshots import BINARY_FILE_SCHEMA, listing_columns, newest_of, \
+    newest_snapshot
 
 
 def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint: str,
@@ -50,8 +51,9 @@ def stream_bronze_to_silver(spark: SparkSession, cfg: SilverConfig, checkpoint:
             f"{cfg.bronze_root.rstrip('/')}/{glob}").select(*listing_columns())
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        since = effective_watermark(spark, cfg.watermark_path)
-        snap = (newest_committed(spark, cfg.bronze_root, batch, since) if cfg.layout == "directory"
+        since = default_stamp(published_watermark(spark, cfg.watermark_path, cfg.silver_path))
+        # the batch only says that something landed: a compacted commit row may be newer than its files
+        snap = (newest_snapshot(spark, cfg.bronze_root, since) if cfg.layout == "directory"
                 else newest_of(batch, since))
         if snap.stamp is not None:
             publish_snapshot(spark, cfg, snap)
