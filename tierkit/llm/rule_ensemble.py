@@ -58,17 +58,26 @@ class RuleModel:
     intercept: float
     rules: list[tuple[tuple[tuple[str, str, float], ...], float]] = field(default_factory=list)
 
-    def score(self, stats: str) -> Column:
+    def score(self, values: str) -> Column:
+        """The probability of label 1, from an array of the features' values."""
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + F.when(_holds(rule, stats), F.lit(weight)).otherwise(0.0)
+            total = total + F.when(_holds(rule, values), F.lit(weight)).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
-def _holds(rule, stats: str) -> Column:
+_PLACE = {name: i for i, name in enumerate(FEATURES)}
+
+
+def feature_values(stats: str) -> Column:
+    """All features of a row in one array, so that rules compare values and don't spell features out again."""
+    return F.array(*[f(lambda s: F.col(stats)[s]).cast("double") for f in FEATURES.values()])
+
+
+def _holds(rule, values: str) -> Column:
     out = F.lit(True)
     for name, op, at in rule:
-        v = FEATURES[name](lambda s: F.col(stats)[s])
+        v = F.col(values)[_PLACE[name]]
         out = out & ((v <= at) if op == "<=" else (v > at))
     return out
 
@@ -98,7 +107,8 @@ def training_rows(docs: DataFrame, stats: str, labels: DataFrame, rows: int) ->
         share = min(1.0, 1.2 * rows / known + 0.001)
         y = y.where(F.pmod(F.xxhash64("label_doc", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
     joined = docs.select(F.col("doc_id").alias("doc"), F.col(stats).alias("stats")).join(y, F.col("doc") == F.col("label_doc"))
-    return joined.orderBy(F.xxhash64("label_doc", F.lit(11)), "label").limit(rows).select("stats", "label")
+    return joined.orderBy(F.xxhash64("label_doc", F.lit(11)), "label").limit(rows).select(
+        feature_values("stats").alias("values"), "label")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -116,22 +126,19 @@ def fit(docs: DataFrame, stats: str, labels: DataFrame, rows: int = FIT_ROWS, tr
     if not n or not 0 < ones < n:
         share = min(max((ones or 0) / n, 0.001), 0.999) if n else 0.5
         return RuleModel(math.log(share / (1 - share)))
-    values = train.select("label", "stats", array_to_vector(F.array(*[
-        f(lambda s: F.col("stats")[s]).cast("double") for f in FEATURES.values()])).alias("features"))
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird").fit(values)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird").fit(
+        train.select("label", array_to_vector("values").alias("features")))
     rules = sorted(tree_paths(forest.toDebugString, names))
     if not rules:
         return RuleModel(math.log(ones / (n - ones)))
-    fired = train.select("label", array_to_vector(F.array(*[
-        _holds(r, "stats").cast("double") for r in rules])).alias("features"))
-    fired = saved(fired, "quality-rules").coalesce(8).cache()
-    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60).fit(fired)
-    fired.unpersist()
+    fired = saved(train.select("label", F.array(*[_holds(r, "values").cast("double") for r in rules]).alias("fired")), "quality-rules")
+    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60).fit(
+        fired.coalesce(8).select("label", array_to_vector("fired").alias("features")))
     kept = [(r, float(w)) for r, w in zip(rules, lr.coefficients.toArray().tolist(), strict=True) if abs(w) > 1e-6]
     return RuleModel(float(lr.intercept), kept)
 
 
 def scored(df: DataFrame, stats: str, model: RuleModel) -> tuple[DataFrame, str]:
     """``df`` with the probability of label 1 in one more column, and its name."""
-    name = fresh(df, "quality_score")
-    return df.withColumn(name, model.score(stats)), name
+    name, values = fresh(df, "quality_score"), fresh(df, "quality_values")
+    return df.withColumn(values, feature_values(stats)).withColumn(name, model.score(values)).drop(values), name
