@@ -312,6 +312,7 @@ def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float
                 names=["shingle", "id", "root", "n", "left", "w", "heavy"])
 
     listed = saved(rows.mapInArrow(index, "shingle long, id long, root long, n long, left long, w double, heavy double"), "listed")
+    rarity.destroy()
     t = threshold / (1 + threshold) * (1 - 1e-6)  # of the sum of two sizes: the least common part
     may = (F.least("left", "left_b") >= t * (F.col("n") + F.col("n_b"))) | (
         F.least("heavy", "heavy_b") >= t * (F.col("w") + F.col("w_b")))
@@ -330,24 +331,25 @@ def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, content (md5 of the text), class_id (smallest doc_id of the
-    class), stays (of a class the one (doc_id, content) that stays), wordless."""
+    class), stays (one row of each class; of repeated rows one), wordless."""
     spark = docs.sparkSession
     ship_package(spark)
     text = whole_text()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), _content(text).alias("content"))
     cells, n = document_frequencies(rows)
     idf = spark.sparkContext.broadcast(idf_weights(cells, n))
-    signed = saved(_signatures(rows, idf), "signatures")
+    signed = saved(_signatures(rows, idf).select(F.monotonically_increasing_id().alias("row"), "*"), "signatures")
     # one row per distinct text, numbered; the number of a written row doesn't change
-    nodes = saved(signed.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")).select(
-        F.monotonically_increasing_id().alias("id"), "*"), "texts")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    nodes = saved(signed.groupBy("content").agg(first, F.first("keys").alias("keys")).select(
+        F.monotonically_increasing_id().alias("id"), "content", "first.doc_id", F.col("first.row").alias("first_row"), "keys"), "texts")
     buckets = nodes.select("id", F.explode("keys").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = buckets.join(sizes, "key")
     shared = saved(met.join(met.groupBy("id").agg(F.sum("n").alias("score")), "id").select("key", "id", "n", "score"), "buckets")
     wanted = nodes.join(shared.select("id").distinct(), "id").select("id", "content")
-    first = rows.groupBy("content").agg(F.first("text").alias("text"))
-    texts = saved(wanted.join(first, "content").select("id", "text"), "candidate-texts")
+    one = rows.groupBy("content").agg(F.first("text").alias("text"))
+    texts = saved(wanted.join(one, "content").select("id", "text"), "candidate-texts")
 
     tested = saved(_first_candidates(shared), "pairs")
     links = saved(_verified(tested, texts, idf, threshold), "links")
@@ -357,17 +359,18 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         _exact_candidates(placed.where(F.col("n") > SHARE), texts, idf, threshold)).distinct()
     found = _verified(saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), texts, idf, threshold)
     labels = components(links.unionByName(saved(found, "links")))
+    idf.destroy()
     labels = nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     wordless = F.size("keys") == 0
-    members = nodes.join(labels, "id").select("content", "id", "doc_id", "root", wordless.alias("wordless"))
+    members = nodes.join(labels, "id").select("content", "id", "doc_id", "first_row", "root", wordless.alias("wordless"))
     tops = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("id"))).alias("top")).select(
         "root", F.col("top.doc_id").alias("class_id"), F.col("top.id").alias("top_id"))
     known = members.join(tops, "root").select(
-        "content", "class_id", F.col("doc_id").alias("first_doc"), (F.col("id") == F.col("top_id")).alias("top"), "wordless")
-    out = signed.select("doc_id", "content").join(known, "content")
+        "content", "class_id", "first_row", (F.col("id") == F.col("top_id")).alias("top"), "wordless")
+    out = signed.select("row", "doc_id", "content").join(known, "content")
     return out.select(
         "doc_id", "content", F.when(F.col("wordless"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        (F.col("wordless") | (F.col("top") & F.col("doc_id").eqNullSafe(F.col("first_doc")))).alias("stays"), "wordless")
+        (F.col("wordless") | (F.col("top") & (F.col("row") == F.col("first_row")))).alias("stays"), "wordless")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
