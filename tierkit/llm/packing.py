@@ -30,7 +30,6 @@ from tierkit.llm.common import saved, ship_package, whole_text
 from tierkit.llm.tokens import crc32_of_ids, vocabulary_path, word_encoder
 
 SHARD_PIECES = 40_000
-PASSES = 12
 
 
 def cut_pieces(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
@@ -83,11 +82,10 @@ class Bins:
                 by_room[room - n].append(b)
                 rooms |= 1 << (room - n)
 
-    def improve(self, passes: int = PASSES) -> None:
-        """Move, one-for-one and two-for-one steps until none helps, or for ``passes`` passes."""
-        for _ in range(passes):
-            if not self._pass():
-                break
+    def improve(self) -> None:
+        """Move, one-for-one and two-for-one steps until none helps: the sum of squared fills grows with each, so it ends."""
+        while self._pass():
+            pass
 
     def _pass(self) -> bool:
         size, fill, held = self.size, self.fill, self.held
@@ -98,11 +96,18 @@ class Bins:
         for b in open_bins:
             for n, p in held[b]:
                 singles[n].append((b, p))
-            small = sorted(held[b])[:6]
-            for i, (n, p) in enumerate(small):
-                for m, q in small[i + 1 :]:
-                    if n + m < size:
-                        pairs[n + m].append((b, p, q))
+            # one pair for each sum; the lengths that differ in a bin are few, since they add up to its size at most
+            own: dict[int, list[int]] = defaultdict(list)
+            for n, p in held[b]:
+                own[n].append(p)
+            sums, lengths = {}, sorted(own)
+            for i, n in enumerate(lengths):
+                if len(own[n]) > 1:
+                    sums[2 * n] = (b, *own[n][:2])
+                for m in lengths[i + 1 :]:
+                    sums[n + m] = (b, own[n][0], own[m][0])
+            for n, entry in sums.items():
+                pairs[n].append(entry)
         one = sum(1 << n for n in singles)
         two = sum(1 << n for n in pairs)
         changed = False
@@ -134,9 +139,7 @@ class Bins:
             return None
 
         for k, a in enumerate(open_bins):
-            tries = 0
-            while 0 < fill[a] < size and tries < 8:
-                tries += 1
+            while 0 < fill[a] < size:  # each step fills it further
                 gap, step = size - fill[a], None
                 for y, py in [(0, -1), *sorted(set(held[a]), reverse=True)]:
                     for bits, index in ((one, singles), (two, pairs)):
@@ -193,16 +196,16 @@ def pack(docs: DataFrame, path: str | None = None, size: int = 2048, end_id: int
          shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     ship_package(docs.sparkSession)
-    pieces = saved(cut_pieces(docs, path or vocabulary_path(), size, end_id), "pieces")
+    pieces = saved(cut_pieces(docs, path or vocabulary_path(), size, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
     shards = max(1, math.ceil(pieces.count() / shard_pieces))
 
     def fill(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+        t = t.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending"), ("row", "ascending")])
         at, offset = pack_lengths(t["length"].to_numpy(), size)
         first = t["shard"][0].as_py() << 32
-        return t.drop_columns(["shard"]).append_column("sequence_id", pa.array(at + first)).append_column(
+        return t.drop_columns(["shard", "row"]).append_column("sequence_id", pa.array(at + first)).append_column(
             "offset", pa.array(offset))
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("int"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInArrow(
         fill, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
