@@ -16,6 +16,7 @@ _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _DIGITS = bytes(range(48, 58))
+_ALNUM = _UPPER + _LOWER + _DIGITS
 
 
 def window_repeats(ids: np.ndarray, kinds: int, width: int = 5) -> int:
@@ -58,7 +59,7 @@ def stats_of(text: str) -> tuple[int, ...]:
     else:
         up = low = 0
     marked = sum(1 for w in places if w[-1] in b"#*$%&|<>!" and len(w) > 1) if n else 0
-    bare = [i for w, i in places.items() if not any(c > 127 or chr(c).isalnum() for c in w[:64])]
+    bare = [i for w, i in places.items() if w.isascii() and len(w.translate(None, _ALNUM)) == len(w)]
     return (n, len(text) - count(_SPACE), count(_SYMBOLS), len(lines) - len(set(lines)), window_repeats(ids, len(places)),
             len(lines), count(_UPPER) + up, count(_LOWER) + low, count(_DIGITS), len(places),
             int((ids[1:] == ids[:-1]).sum()), marked, max(map(len, places), default=0),
