@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,48 @@ def test_mined_rules_equal_brute_force(spark):
     out = url_rules.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     got = {r.page_id: r.verdict for r in out.collect()}
     assert got == {i: "block" if i // 2 % 2 and i % 2 else "allow" for i in range(900)}
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_tokenizers_for_each_vocabulary(name):
+    path = vocabulary_path(name)
+    plain = load_tokenizer(path)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in ODD]
+    words, chunks = WordEncoder(path), chunk_bpe.ChunkEncoder(path, 64)
+    assert words.by_words == (name == "word_bpe_49k.json")
+    for texts in (ODD, pa.array(ODD, pa.string()), pa.array(ODD, pa.large_string())):
+        assert [np.frombuffer(r, words.dtype).tolist() for r in words.encode(texts)] == want
+    for t, raw, ids in zip(ODD, chunks.encode(ODD), want, strict=True):
+        assert np.frombuffer(raw, chunks.words.dtype).tolist() == ids
+        assert chunks.decode(np.array(ids, np.int64)).decode() == plain.decode(ids, skip_special_tokens=False), t
+
+
+def test_a_join_that_never_agrees_is_encoded_whole(monkeypatch):
+    path = vocabulary_path()
+    enc, plain = chunk_bpe.ChunkEncoder(path, 16), load_tokenizer(path)
+
+    def never(*a):
+        raise chunk_bpe.JoinError
+
+    monkeypatch.setattr(enc, "_join", never)
+    text = LONG[:2000] + "w" * 300
+    assert np.frombuffer(enc.encode([text])[0], enc.words.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_ends_without_caps_and_fills_bins_of_short_pieces():
+    rng = np.random.default_rng(2)
+    for lengths, over in ((rng.integers(5, 60, 5000), 0), (rng.integers(300, 1200, 5000), 0.01), (np.full(999, 700), 1)):
+        at, offset = packing.pack_lengths(lengths, 2048)
+        fill = np.bincount(at, weights=lengths)
+        assert fill.max() <= 2048 and fill.min() > 0
+        assert len(fill) <= -(-int(lengths.sum()) // 2048) * (1 + over)
+        for b in range(0, len(fill), 97):
+            held = np.flatnonzero(at == b)
+            order = held[np.argsort(offset[held])]
+            assert offset[order].tolist() == np.concatenate([[0], np.cumsum(lengths[order])[:-1]]).tolist()
+
+
+def test_repeated_rows_are_dealt_to_all_shards(spark):
+    df = spark.range(400).select(F.lit(7).alias("doc_id"), F.lit("the same text again").alias("text"))
+    rows = packing.pack(df, shard_pieces=50).collect()
+    assert len(rows) == 400 and len({r.sequence_id >> 32 for r in rows}) == 8

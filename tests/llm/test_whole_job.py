@@ -43,3 +43,36 @@ def test_no_part_of_a_key_stays_beside_an_earlier_span(spark):
     df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
     for r in corpus_pipeline.secrets_blanked(spark, df, "").collect():
         assert r.text == "key [SECRET] end"
+
+
+def test_one_of_repeated_rows_stays(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text), (1, text), (2, text), (None, text), (3, text + " thirteen"), (5, "alone here"), (5, "alone here"), (6, None), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.class_id, r.stays) for r in near_dedup.classes(df).collect()]
+    assert [g for g in got if g[1] == 1 and g[2]] == [(1, 1, True)] and len(got) == len(rows)
+    assert [g[2] for g in got if g[0] == 5].count(True) == 1
+    assert sorted((r.doc_id or 0) for r in near_dedup.keep_one(df).collect()) == [1, 5, 6, 6]
+
+
+def test_statistics_look_at_whole_words():
+    from tierkit.llm import text_stats
+
+    at = text_stats.STATS.index("n_bare")
+    assert text_stats.stats_of("#" * 64 + "abc ## é " + "-" * 500)[at] == 2
+
+
+def test_rules_compare_values_that_are_computed_once(spark):
+    """The plan of a score names each statistic's ratio once, however many rules use it."""
+    from tierkit.llm import rule_ensemble, text_stats
+
+    rules = [((("symbols", "<=", i / 500), ("words", ">", float(i % 7))), 0.01 * (i % 5 - 2)) for i in range(300)]
+    docs, stats = text_stats.with_stats(spark.createDataFrame([(1, "a # b"), (2, "some words here # #")], "doc_id long, text string"))
+    out, score = rule_ensemble.scored(docs, stats, rule_ensemble.RuleModel(0.1, rules))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("n_symbols") <= 12
+    for r in out.collect():
+        s = r[stats]
+        have = {"symbols": s.n_symbols / s.n_words, "words": np.log1p(s.n_words)}
+        total = 0.1 + sum(w for rule, w in rules if all(have[n] <= at if op == "<=" else have[n] > at for n, op, at in rule))
+        assert abs(r[score] - 1 / (1 + np.exp(-total))) < 1e-9

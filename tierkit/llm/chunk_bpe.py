@@ -65,6 +65,10 @@ class Chunk:
     solid: bool  # no white space: all of it is part of one word
 
 
+class JoinError(ValueError):
+    """A join of chunks that doesn't come to agree with them within the reach that is tried."""
+
+
 class ChunkEncoder:
     def __init__(self, path: str, mean: int):
         self.words = word_encoder(path)
@@ -103,7 +107,7 @@ class ChunkEncoder:
                     break
                 before, after = f"{before} {before}".strip(), f"{after} {after}".strip()
             else:
-                raise ValueError("a join of chunks does not come to agree with them")
+                raise JoinError(broken)
             if len(self.joins) > 100_000:
                 self.joins.clear()
             self.joins[broken] = ids[len(a) : len(ids) - len(b)]
@@ -116,6 +120,8 @@ class ChunkEncoder:
         return out
 
     def _part(self, texts: list[str]) -> list[bytes]:
+        if not self.words.by_words:  # a join rests on blanks: other tokenizers encode whole texts
+            return [self._whole(t) for t in texts]
         if self.held > CACHE_BYTES:
             self.chunks.clear()
             self.held = 0
@@ -131,7 +137,17 @@ class ChunkEncoder:
             new.update((c, None) for c in own if c not in self.chunks)
         if new:
             self._learn(list(new))
-        return [self.words._ask([t])[0] if own is None else self._assemble(own) for t, own in zip(texts, cut, strict=True)]
+        return [self._whole(t) if own is None else self._assembled(t, own) for t, own in zip(texts, cut, strict=True)]
+
+    def _whole(self, text: str) -> bytes:
+        return self.words._ask([text])[0]
+
+    def _assembled(self, text: str, chunks: list[bytes]) -> bytes:
+        """The ids of a text from its chunks; a text with a join that doesn't come to agree is encoded whole."""
+        try:
+            return self._assemble(chunks)
+        except JoinError:
+            return self._whole(text)
 
     def _assemble(self, chunks: list[bytes]) -> bytes:
         out, broken, left = [], "", None
@@ -149,7 +165,9 @@ class ChunkEncoder:
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """The decoded text in UTF-8: this tokenizer has no decoder, so its tokens with blanks between."""
+        """The decoded text in UTF-8: the dealt tokenizer has no decoder, so its tokens with blanks between."""
+        if self.words.tokenizer.decoder is not None:
+            return self.words.tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode()
         pieces = self.pieces
         return b" ".join([pieces[i] for i in ids.tolist()])
 

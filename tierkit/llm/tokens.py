@@ -2,7 +2,7 @@
 
 The word-BPE tokenizer splits at white space before it merges, and neither its
 normalizer nor its patterns reach over white space, so the ids of a text are
-those of its words one after another.  Arrow splits a batch of texts and finds
+those of its words one after another; a file with other settings (``splits_at_blanks``) is asked for whole texts.  Arrow splits a batch of texts and finds
 its distinct words; a worker keeps the ids of the words that it has met (up to
 ``CACHE_WORDS``, then it starts anew) and asks the tokenizer only for new ones,
 and words of letters go straight to its merges, without the normalizer.
@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_WORDS = 600_000
+# fixed value: the pattern of the words of word_bpe_49k.json
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # ASCII punctuation but the apostrophe: a run of it behind letters is a piece of its own
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _LATIN = "\xff"  # the last Latin-1 letter
@@ -40,6 +42,21 @@ def load_tokenizer(path: str):
     return t
 
 
+def splits_at_blanks(tokenizer) -> bool:
+    """Whether a tokenizer's settings are those that encoding word by word rests on: texts are composed, white space
+    becomes blanks, letters lower case; then words are cut out without their blanks, and no special token needs its place."""
+    import json
+
+    made = json.loads(tokenizer.to_str())
+    kinds = lambda part, name: [x["type"] for x in (part or {}).get(name, [])]
+    cut = ((made["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    return (kinds(made["normalizer"], "normalizers") == ["NFC", "Replace", "Lowercase"]
+            and kinds(made["pre_tokenizer"], "pretokenizers") == ["Split", "ByteLevel"]
+            and cut["pattern"].get("Regex") == WORD_PATTERN and cut["behavior"] == "Removed" and cut["invert"]
+            and made["model"]["type"] == "BPE" and not made["model"].get("dropout") and not made["post_processor"]
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in made["added_tokens"]))
+
+
 class WordEncoder:
     """Ids of texts as little-endian 16-bit bytes (32-bit for larger vocabularies), by a word cache."""
 
@@ -47,6 +64,7 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = load_tokenizer(path)
+        self.by_words = splits_at_blanks(self.tokenizer)
         self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
@@ -109,7 +127,9 @@ class WordEncoder:
 
     def encode(self, texts: list[str] | pa.Array, at_once: int = 2048) -> list[bytes]:
         """The ids of each text; words of ``at_once`` texts are looked up together."""
-        every = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        every = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not self.by_words:  # another kind of tokenizer: whole texts
+            return [x for i in range(0, len(every), 256) for x in self._ask(every.slice(i, 256).to_pylist())]
         out: list[bytes] = []
         for i in range(0, len(every), at_once):
             if len(self.known) > CACHE_WORDS:
