@@ -76,3 +76,29 @@ def test_rules_compare_values_that_are_computed_once(spark):
         have = {"symbols": s.n_symbols / s.n_words, "words": np.log1p(s.n_words)}
         total = 0.1 + sum(w for rule, w in rules if all(have[n] <= at if op == "<=" else have[n] > at for n, op, at in rule))
         assert abs(r[score] - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_very_long_texts_and_conversations_take_linear_time(spark):
+    """100,000 characters of one run, 8,000 keys and 40,000 turns: by the square of the length each took over a minute."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tierkit.llm import chat_format, secret_scan
+
+    rng = np.random.default_rng(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(letters[i] for i in rng.integers(0, 64, 100_000))
+    keys = " ".join(f"{k:016x}" for k in rng.integers(1 << 60, 1 << 62, 8000).tolist())
+    began = time.time()
+    df = spark.createDataFrame([(1, f"data {run} end"), (2, keys)], "doc_id long, text string")
+    for r in corpus_pipeline.secrets_blanked(spark, df, "").collect():
+        assert r.text in ("data [SECRET] end", " ".join(["[SECRET]"] * 8000))
+    found = {r.doc_id: r.secret_spans for r in secret_scan.scan(df).collect()}
+    assert sum(s.k == 2 for s in found[2]) == 8000 and any(s.end - s.start > 50_000 for s in found[1])
+    chat = spark.range(40_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.lit("hi é").alias("text"))
+    out = chat_format.format_chats(chat)
+    got = out.select(F.size(chat_format.read_turns(F.col("formatted"))).alias("n"), F.array_join(
+        chat_format.masked_texts(F.col("formatted"), F.col("loss_spans")), "").alias("t")).first()
+    assert got.n == 40_000 and got.t == "hi é" * 40_000
+    assert time.time() - began < 100

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierkit.llm.common import characters, cut_out, folded, let
+
 OPEN = {"user": "[INST]", "assistant": "[OUT]", "system": "[SYS]"}
 CLOSE = {"user": "[/INST]", "assistant": "</s>", "system": "[/SYS]"}
 BEGIN, TURN, ROLE, MSG, END_MSG = "<s>", "[TURN]", "[ROLE]", "[MSG]", "[/MSG]"
@@ -82,15 +84,13 @@ def format_chats(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
             F.length(t).alias("n"),
             F.when(i == F.size(b["texts"]) - 1, F.length(closed(b["role"]))).otherwise(F.lit(0)).alias("after"),
             (b["role"] == "assistant").alias("loss"))))).alias("pieces"))
+    def step(at: Column, spans: Column, p: Column):
+        begin = at["at"] + p["before"]
+        return F.struct((begin + p["n"] + p["after"]).alias("at")), F.when(p["loss"], F.concat(spans, F.array(F.struct(
+            begin.alias("start"), (begin + p["n"]).alias("end"))))).otherwise(spans)
+
     none = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.aggregate(
-        "pieces", F.struct(F.lit(len(BEGIN)).alias("at"), none.alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + p["before"] + p["n"] + p["after"]).alias("at"),
-            F.when(p["loss"], F.concat(a["spans"], F.array(F.struct(
-                (a["at"] + p["before"]).alias("start"), (a["at"] + p["before"] + p["n"]).alias("end")))))
-            .otherwise(a["spans"]).alias("spans")),
-        lambda a: a["spans"])
+    spans = folded(F.col("pieces"), F.struct(F.lit(len(BEGIN)).alias("at")), none, step)["out"]
     return out.select(F.col("conv").alias(conv), "formatted", spans.alias("loss_spans"))
 
 
@@ -112,4 +112,4 @@ def read_turns(formatted: Column) -> Column:
 
 def masked_texts(formatted: Column, spans: Column) -> Column:
     """The unescaped texts under the loss mask."""
-    return F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"])))
+    return let(characters(formatted), lambda c: F.transform(spans, lambda s: unescape(cut_out(c, s["start"], s["end"]))))

@@ -31,6 +31,47 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def let(value, body):
+    """``body(value)`` with the column ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def folded(items, state, none, step, block: int = 512):
+    """What ``step`` gives for each item of an array, in one array, carrying a state along.
+
+    ``step(state, out, item)`` returns the next state and ``out`` with what the item adds, as a pair or a struct of both; ``state`` is a
+    struct column, ``none`` an empty array.  An array that grows by an item is copied each time, so items are folded
+    ``block`` at a time and the blocks' arrays put together at the end: no copy is longer than a block.
+    Returns a struct of ``state`` and ``out``.
+    """
+    pair = lambda s, out: F.struct(s.alias("state"), out.alias("out"))
+
+    def one(a, item):
+        got = step(a["state"], a["out"], item)
+        return pair(*got) if isinstance(got, tuple) else got
+
+    def blocks(every):
+        n = F.size(every)
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / block).cast("int")),
+                            lambda i: F.slice(every, i * block + 1, F.lit(block)))
+        lists = F.array(none)
+        return F.aggregate(parts, pair(state, F.slice(lists, 1, 0)), lambda a, part: let(
+            F.aggregate(part, pair(a["state"], none), one), lambda x: pair(x["state"], F.concat(a["out"], F.array(x["out"])))),
+            lambda a: pair(a["state"], F.flatten(a["out"])))
+
+    return let(items, blocks)
+
+
+def characters(text):
+    """The characters of a text as an array: a piece of it is then taken without walking over what stands before."""
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def cut_out(chars, start, end):
+    """The text of an array of characters from ``start`` to ``end`` (exclusive)."""
+    return F.array_join(F.slice(chars, start + 1, F.greatest(end - start, F.lit(0))), "")
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder of the session and read it back.
 

@@ -55,10 +55,8 @@ def _op2_sql() -> str:
 {c.kind} AS (SELECT id, min(a) AS s, {k} AS k, max(a) + {c.window} AS e FROM (
   SELECT *, sum(fresh) OVER (PARTITION BY id, i ORDER BY a) AS island FROM (
     SELECT *, CASE WHEN a <= lag(a) OVER (PARTITION BY id, i ORDER BY a) + {c.window} THEN 0 ELSE 1 END AS fresh FROM {c.kind}_w))
-  GROUP BY id, i, island),
-{c.kind}_x AS ({known} UNION ALL SELECT * FROM {c.kind} n WHERE NOT EXISTS (
-  SELECT 1 FROM ({known}) o WHERE o.id = n.id AND o.s < n.e AND n.s < o.e))"""]
-        known = f"SELECT * FROM {c.kind}_x"
+  GROUP BY id, i, island)"""]
+        known += f" UNION ALL SELECT * FROM {c.kind}"
     names = "[" + ", ".join(f"'{p.kind}'" for p in (*patterns, *classes)) + "]"
     listed = f"coalesce(string_agg({names}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (%s), '')"
     counts = ", ".join(f"count(k) FILTER (k = {k}) AS n_{p.kind}" for k, p in enumerate(patterns))
