@@ -104,8 +104,8 @@ def read_turns(formatted: Column) -> Column:
         for name, o in OPEN.items():
             role = role.when(mark == o, F.lit(name))
         texts = F.when(other, F.regexp_replace(body, r"(?s)^.*?\[MSG\]", "")).otherwise(body)
-        return F.transform(F.split(texts, r"\[TURN\]", -1),
-                           lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
+        return let(F.struct(role.alias("role"), F.split(texts, r"\[TURN\]", -1).alias("texts")), lambda b: F.transform(
+            b["texts"], lambda t: F.struct(b["role"].alias("role"), unescape(t).alias("text"))))
 
     return F.flatten(F.transform(F.regexp_extract_all(formatted, F.lit(_BLOCK), F.lit(0)), turns))
 
