@@ -144,6 +144,40 @@ def test_token_index_reads_back(spark, docs, nothing, monkeypatch):
     empty = scratch_path(spark, "index-empty")
     token_index.write_ids(nothing, empty)
     assert token_index.read_ids(spark, empty).count() == 0
+    assert token_index.read_ids(spark, empty, [5, None]).count() == token_index.read_ids(spark, empty, some).count() == 0
+
+
+def test_token_index_opens_one_file_of_each_table_for_a_key(spark, docs, monkeypatch):
+    """All other files are spoilt, and the lookup still works."""
+    from pathlib import Path
+
+    monkeypatch.setattr(token_index, "RANGE_DOCS", 3)
+    monkeypatch.setattr(token_index, "BUCKET_KEYS", 4)
+    folder = scratch_path(spark, "index-lookup")
+    many = docs.select("doc_id", "text").unionByName(spark.range(100, 140).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")))
+    many = many.unionByName(spark.range(30).select(F.lit(120).alias("doc_id"), F.concat(F.lit("more "), "id").alias("text")))
+    token_index.write_ids(many, folder)
+    want = {(r.key, r.start): r for r in token_index.read_ids(spark, folder).collect()}
+    assert len(want) == many.count()
+    as_table = spark.createDataFrame([(k,) for k in (None, 5, 120, 133, 777)], "key long")
+    for got in (token_index.read_ids(spark, folder, [None, 5, 120, 120, 133, 777]), token_index.read_ids(spark, folder, as_table)):
+        rows = got.collect()
+        assert {(r.key, r.start): r for r in rows} == {k: r for k, r in want.items() if k[0] in (None, 5, 120, 133)} and sum(r.key == 120 for r in rows) == 31
+    # absent keys, as many as there are in the index and more
+    lots = spark.range(10_000, 10_300).select(F.col("id").alias("key"))
+    assert token_index.read_ids(spark, folder, lots).count() == 0
+    place = token_index._places(spark, folder, spark.createDataFrame([(133,)], "key long"), True).first()
+    bucket = spark.createDataFrame([(133,)], "key long").select(token_index._bucket(spark.read.parquet(f"{folder}/about").first()[0])).first()[0]
+    keep = {f"part={place.part}", f"bucket={bucket}"}
+    spoilt = 0
+    for name in ("shards", "index"):
+        for f in Path(folder.removeprefix("file://").removeprefix("file:"), name).glob("*/*.parquet"):
+            if f.parent.name not in keep:
+                f.write_bytes(b"spoilt")
+                spoilt += 1
+    assert spoilt > 20
+    rows = token_index.read_ids(spark, folder, [133]).collect()
+    assert len(rows) == 1 and rows[0] == want[(133, rows[0].start)]
 
 
 def test_search_is_exact_at_factor_one_and_close_beyond(spark):
@@ -220,6 +254,18 @@ def test_mined_rules_equal_brute_force(spark):
     assert got == {i: "block" if i // 2 % 2 and i % 2 else "allow" for i in range(900)}
 
 
+def test_hosts_of_a_site_count_together(spark):
+    """A site whose bad pages are spread over more hosts than any one of them has the support for."""
+    host = lambda i: f"h{i % 300}.{'spam' if i % 3 == 0 else 'news'}.org"
+    pages = [(i, f"http://{host(i)}/{i}") for i in range(1200)]
+    labels = [(i, int(i % 3 > 0), None) for i in range(900)]
+    out = url_rules.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    for r in out.collect():
+        assert r.verdict == ("block" if r.page_id % 3 == 0 else "allow") and ("site:spam.org" in (r.mined_rule or "")) == (r.page_id % 3 == 0)
+    long = spark.createDataFrame([("http://" + "a." * 50_000 + "org/x",)], "url string").select(url_rules.tokens_of(F.col("url")).alias("t")).first().t
+    assert sum(t.startswith("site:") for t in long) == 3
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_ids_are_the_tokenizers_for_each_vocabulary(name):
     path = vocabulary_path(name)
