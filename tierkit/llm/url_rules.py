@@ -1,6 +1,7 @@
 """URL filter: a rule list first, then association rules that FP-growth mines from labelled URLs.
 
-A URL's tokens are its scheme, host, host suffix, sub-domain, path segments,
+A URL's tokens are its scheme, host, host suffix, sites (the last two, three and four labels of its host, so that
+hosts of one site count together), sub-domain, path segments,
 extension and query keys; numbers become one token, so tokens repeat between
 pages. Labelled URLs are baskets of tokens with an item for a bad label, and
 Spark's FP-growth finds combinations that reach the support and whose
@@ -31,6 +32,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.6
 SURE = (3.0, 0.5)  # of a rule: its confidence, less this many standard errors (Wilson), is at least this
+SITE_LABELS = (2, 3, 4)  # last labels of a host that name a site
 MOST_SEGMENTS = 4  # path segments with a token of their own place; deeper ones share a place
 
 
@@ -78,9 +80,11 @@ def tokens_of(url: Column) -> Column:
     segments = F.transform(parts, lambda s, i: F.concat(F.lit("path"), F.least(i, F.lit(MOST_SEGMENTS)).cast("string"), F.lit(":"),
                                                        F.regexp_replace(number(s), r"\.[A-Za-z]+$", "")))
     keys = F.transform(F.filter(F.split(query, "&"), lambda s: s != ""), lambda s: F.concat(F.lit("query:"), number(F.substring_index(s, "=", 1))))
+    labels = F.split(host, r"\.")
+    sites = [one("site", F.when(F.size(labels) >= n, F.substring_index(host, ".", -n)).otherwise("")) for n in SITE_LABELS]
     found = F.concat(
-        one("scheme", F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))), one("host", host),
-        one("suffix", F.substring_index(host, ".", -1)), one("sub", F.when(F.size(F.split(host, r"\.")) > 2, F.substring_index(host, ".", 1)).otherwise("")),
+        *sites, one("scheme", F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))), one("host", host),
+        one("suffix", F.substring_index(host, ".", -1)), one("sub", F.when(F.size(labels) > 2, F.substring_index(host, ".", 1)).otherwise("")),
         one("ext", F.regexp_extract(path, r"\.([A-Za-z]+)$", 1)), segments, keys)
     return F.array_sort(F.array_distinct(found))
 
