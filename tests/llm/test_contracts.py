@@ -1,0 +1,246 @@
+"""The query functions themselves on the smallest tables, against brute force of what they promise."""
+
+import hashlib
+import math
+import re
+import zlib
+from itertools import combinations
+
+import corpus_pipeline
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from tierkit.llm import near_dedup, quality_rules, queries, rule_ensemble, text_stats
+from tierkit.llm.common import ship_package
+from tierkit.llm.tokens import load_tokenizer, vocabulary_path
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts():
+    got = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    return {i: t or "" for i, t in zip(got["doc_id"], got["text"], strict=True)}
+
+
+@pytest.fixture(scope="module")
+def ids(texts):
+    plain = load_tokenizer(vocabulary_path())
+    return {i: plain.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+
+
+def rows_of(spark, name):
+    return queries.QUERIES[name](spark, SF).collect()
+
+
+def raw(tokens) -> bytes:
+    return np.array(tokens, "<u4").tobytes()
+
+
+def test_chunk_bpe(spark, texts, ids):
+    plain = load_tokenizer(vocabulary_path())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows_of(spark, "op9_chunk_bpe")}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert got == {i: (len(x), sha(raw(x)), sha(plain.decode(x, skip_special_tokens=False).encode())) for i, x in ids.items()}
+
+
+def test_token_index(spark, ids):
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows_of(spark, "op10_token_index")}
+    want, at = {}, 0
+    for i in sorted(ids):
+        x = [*ids[i], 1]
+        want[i] = (at, len(x), zlib.crc32(raw(x)))
+        at += len(x)
+    assert got == want
+
+
+def test_packing(spark, ids):
+    rows, size = rows_of(spark, "op8_packing"), 2048
+    want = {}
+    for i, x in ids.items():
+        x = [*x, 0]
+        for n, at in enumerate(range(0, len(x), size)):
+            want[i, n] = (at, len(x[at : at + size]), zlib.crc32(raw(x[at : at + size])))
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want and len(rows) == len(want)
+    fill = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill.get(r.sequence_id, 0)
+        fill[r.sequence_id] = r.offset + r.length
+    assert max(fill.values()) <= size and len(fill) <= math.ceil(sum(fill.values()) / size) + 1
+
+
+def statistics(texts):
+    return {i: dict(zip(text_stats.STATS, text_stats.stats_of(t), strict=True)) for i, t in texts.items()}
+
+
+def cast_votes(s):
+    """The rules' votes on one document, spelt out."""
+    share = lambda a, b: s[a] / s[b] if s[b] else None
+    letters = s["n_upper"] + s["n_lower"]
+    values = [(share("n_symbols", "n_words"), 0.02, 0.10, None), (s["n_upper"] / letters if letters else None, 0.10, 0.25, None),
+              (share("n_echo", "n_words"), 0.02, 0.10, 0.40), (share("n_repeat_words", "n_words"), 0.10, 0.30, None),
+              (share("n_marked", "n_distinct"), 0.02, 0.10, None), (share("n_bare", "n_words"), 0.02, 0.10, None),
+              (share("n_dup_lines", "n_lines"), 0.10, 0.50, None),
+              (abs(s["word_chars"] / s["n_words"] - 5.5) if s["n_words"] else None, 2.5, 6.0, None),
+              (share("n_digits", "word_chars"), 0.10, 0.30, None), (s["n_longest"] if s["n_words"] else None, 60, 400, None)]
+    return [0 if v is None else -2 if worst is not None and v > worst else -1 if v > bad else 1 if v <= good else 0
+            for v, good, bad, worst in values]
+
+
+def posteriors(stats):
+    """Expectation-maximisation document by document, in plain Python."""
+    every = {i: cast_votes(s) for i, s in stats.items()}
+    rules, kinds = range(10), (1, -1, -2)
+    first = {True: (0.98, 0.019, 0.001), False: (0.7, 0.2, 0.1)}
+    says = {c: [dict(zip(kinds, first[c], strict=True)) for _ in rules] for c in first}
+    good = 0.85
+
+    def chance(v):
+        odds = math.log(good / (1 - good)) + sum(math.log(says[True][r][v[r]] / says[False][r][v[r]]) for r in rules if v[r])
+        return 1 / (1 + math.exp(-max(-500, min(500, odds))))
+
+    for _ in range(300):
+        p = {i: chance(v) for i, v in every.items()}
+        new = {}
+        for c in first:
+            new[c] = []
+            for r in rules:
+                seen = {k: sum((p[i] if c else 1 - p[i]) for i, v in every.items() if v[r] == k) for k in kinds}
+                n = sum(seen.values())
+                new[c].append({k: (seen[k] + f * (n + 2)) / (n + n + 2) for k, f in zip(kinds, first[c], strict=True)})
+        for r in rules:
+            for k in (-1, -2):
+                new[False][r][k] = max(new[False][r][k], new[True][r][k])
+        says, good = new, (sum(p.values()) + 1.7) / (len(p) + 2)
+    return {i: chance(v) for i, v in every.items()}
+
+
+def fails(s):
+    return s["n_words"] < 10 or 100 * s["n_repeat_words"] > 20 * s["n_words"]
+
+
+def test_quality_rules(spark, texts):
+    stats = statistics(texts)
+    want = posteriors(stats)
+    rows = rows_of(spark, "op4_quality_rules")
+    assert len(rows) == len(texts)
+    for r in rows:
+        s = stats[r.doc_id]
+        assert all(r[c] == s[c] for c in text_stats.STATS[:5]) and r.base_failed == fails(s)
+        assert abs(r.posterior - want[r.doc_id]) < 1e-6 and r.kept == (not fails(s) and want[r.doc_id] >= 0.5)
+
+
+def test_label_model_is_not_bound_by_its_start():
+    """A rule that is wrong on half of the good documents is seen through; one that nobody votes by keeps its prior."""
+    rng = np.random.default_rng(8)
+    bad = rng.random(30_000) < 0.2
+    votes = np.where(rng.random((30_000, 5)) < np.where(bad, 0.7, 0.01)[:, None], -1, 1)
+    votes[:, 3] = np.where(rng.random(30_000) < 0.5, -1, 1)
+    votes[:, 4] = 0
+    m = quality_rules.fit(*np.unique(votes, axis=0, return_counts=True))
+    base, plus, minus = m.weights()
+    assert m.on_good[3, 0] < 0.8 and abs(minus[3]) < 0.5 * abs(minus[0]) and np.allclose(m.on_good[4], np.array(quality_rules.PRIOR_GOOD))
+    assert ((m.posterior(votes) < 0.5) == bad).mean() > 0.95
+    half = quality_rules.fit(*(x if x.ndim > 1 else x * 1000 for x in np.unique(votes, axis=0, return_counts=True)))
+    assert np.abs(half.on_good[:4] - m.on_good[:4]).max() < 0.001  # a thousand times the rows: the same estimates
+
+
+def scores(model, stats):
+    out = {}
+    for i, s in stats.items():
+        share = lambda a, b: s[a] / s[b] if s[b] else 0.0  # noqa: B023, E731
+        letters = s["n_upper"] + s["n_lower"]
+        have = {"symbols": share("n_symbols", "n_words"), "upper": s["n_upper"] / letters if letters else 0.0, "echo": share("n_echo", "n_words"),
+                "repeats": share("n_repeat_words", "n_words"), "marked": share("n_marked", "n_distinct"), "duplicate_lines": share("n_dup_lines", "n_lines"),
+                "word_length": share("word_chars", "n_words"), "digits": share("n_digits", "word_chars"), "distinct": share("n_distinct", "n_words"),
+                "line_words": share("n_words", "n_lines"), "stops": share("n_stops", "n_words"), "bare": share("n_bare", "n_words"), "words": math.log1p(s["n_words"])}
+        z = model.intercept + sum(w for rule, w in model.rules if all(have[n] <= at if op == "<=" else have[n] > at for n, op, at in rule))
+        out[i] = 1 / (1 + math.exp(-z))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    ship_package(spark)
+    docs, stats = text_stats.with_stats(spark.read.parquet(f"{SF}/documents.parquet"))
+    return rule_ensemble.fit(docs, stats, spark.read.parquet(f"{SF}/labels.parquet"))
+
+
+def test_rule_ensemble(spark, texts, model):
+    want, rows = scores(model, statistics(texts)), rows_of(spark, "op5_rule_ensemble")
+    assert len(rows) == len(texts) and model.rules
+    got = pq.read_table(f"{SF}/labels.parquet").to_pydict()
+    quality = dict(zip(got["doc_id"], got["quality"], strict=True))
+    right = []
+    for r in rows:
+        assert abs(r.score - want[r.doc_id]) < 1e-9 and r.predicted == int(want[r.doc_id] >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        if r.held_out and quality.get(r.doc_id) is not None:
+            right.append(r.predicted == quality[r.doc_id])
+    assert np.mean(right) > 0.9
+
+
+def duplicate_classes(texts):
+    """The smallest id of each document's class, by all pairs."""
+    shingles = near_dedup.Shingles()
+    cells = np.zeros(near_dedup.SKETCH, np.int64)
+    found = {i: shingles.hashes(t)[0] for i, t in texts.items()}
+    for h in found.values():
+        np.add.at(cells, near_dedup._cell(h), 1)
+    idf = near_dedup.idf_weights(cells, sum(1 for h in found.values() if len(h)))
+    of = {i: near_dedup.weighted(shingles, idf, t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in combinations(sorted(texts), 2):
+        if len(of[a][0]) and len(of[b][0]) and near_dedup.similarity(of[a], of[b]) >= near_dedup.THRESHOLD:
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    return {i: top(i) for i in texts}
+
+
+def test_near_duplicates(spark, texts):
+    want = duplicate_classes(texts)
+    assert len(set(want.values())) < len(texts)
+    got = {r.doc_id: (r.class_id, r.kept) for r in rows_of(spark, "op1_near_dedup")}
+    assert got == {i: (c, i == c) for i, c in want.items()}
+
+
+def test_url_rules(spark):
+    listed = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+    got = pq.read_table(f"{SF}/pages.parquet", columns=["page_id", "url"]).to_pydict()
+    rows = {r.page_id: r for r in rows_of(spark, "op3_url_rules")}
+    assert len(rows) == len(got["page_id"])
+    for i, url in zip(got["page_id"], got["url"], strict=True):
+        at = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (at[1].translate({c: c + 32 for c in range(65, 91)}), at[2]) if at else ("", "")
+        fit = [r for r in listed if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+        best = max(fit, key=lambda r: len(r[0] + r[1]), default=None)
+        r = rows[i]
+        assert (r.host, r.path, r.rule) == (host, path, best and best[0] + best[1])
+        assert r.verdict == (best[2] if best else "block" if r.mined_rule else "allow")
+
+
+def test_pipeline(spark, texts, ids, model):
+    """The first three stages decide which documents are packed; the fourth changes texts alone."""
+    left = {i: t for i, t in texts.items() if scores(model, statistics({i: t}))[i] >= corpus_pipeline.LEAST_SCORE}
+    stats = statistics(left)
+    good = posteriors(stats)
+    left = {i: t for i, t in left.items() if not fails(stats[i]) and good[i] >= corpus_pipeline.LEAST_POSTERIOR}
+    want = {i for i, c in duplicate_classes(left).items() if i == c}
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id for r in rows} == want
+    fill = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill.get(r.sequence_id, 0)
+        fill[r.sequence_id] = r.offset + r.length
+    clean = queries.QUERIES["op2_secret_scan"](spark, SF).where("spans = ''").select("doc_id").collect()
+    for i in {r.doc_id for r in clean} & want:  # nothing was blanked: its own ids
+        mine = b"".join(raw([r.length, r.ids_crc32]) for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r.piece))
+        x = [*ids[i], 0]
+        assert mine == b"".join(raw([len(x[a : a + 2048]), zlib.crc32(raw(x[a : a + 2048]))]) for a in range(0, len(x), 2048))
