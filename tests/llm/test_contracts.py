@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+from tests.llm.test_text_operators import true_factors
 from tierkit.llm import near_dedup, quality_rules, queries, rule_ensemble, text_stats
 from tierkit.llm.common import ship_package
 from tierkit.llm.tokens import load_tokenizer, vocabulary_path
@@ -184,11 +185,7 @@ def test_rule_ensemble(spark, texts, model):
 def duplicate_classes(texts):
     """The smallest id of each document's class, by all pairs."""
     shingles = near_dedup.Shingles()
-    cells = np.zeros(near_dedup.SKETCH, np.int64)
-    found = {i: shingles.hashes(t)[0] for i, t in texts.items()}
-    for h in found.values():
-        np.add.at(cells, near_dedup._cell(h), 1)
-    idf = near_dedup.idf_weights(cells, sum(1 for h in found.values() if len(h)))
+    idf = true_factors(texts.values())
     of = {i: near_dedup.weighted(shingles, idf, t) for i, t in texts.items()}
     root = {i: i for i in texts}
 
@@ -198,7 +195,7 @@ def duplicate_classes(texts):
         return i
 
     for a, b in combinations(sorted(texts), 2):
-        if len(of[a][0]) and len(of[b][0]) and near_dedup.similarity(of[a], of[b]) >= near_dedup.THRESHOLD:
+        if len(of[a][0]) and len(of[b][0]) and near_dedup.weighted_jaccard(of[a], of[b]) >= near_dedup.THRESHOLD:
             x, y = sorted((top(a), top(b)))
             root[y] = x
     return {i: top(i) for i in texts}

@@ -167,6 +167,15 @@ def test_rule_ensemble_without_labels(spark, docs, nothing):
         assert [r[score] for r in judged.collect()] == [0.5] * df.count()
 
 
+def true_factors(texts):
+    """The factors of shingles by counting them all."""
+    found = [near_dedup.Shingles().hashes(t)[0] for t in texts]
+    docs = sum(1 for h in found if len(h))
+    u, df = np.unique(np.concatenate(found), return_counts=True)
+    least = near_dedup.least_frequent(docs, int(df.sum()))
+    return near_dedup.Factors(u[df >= least], df[df >= least], docs, least)
+
+
 def near_texts():
     rng = np.random.default_rng(11)
     vocabulary = [f"w{i}" for i in range(3000)]
@@ -198,11 +207,7 @@ def test_near_duplicates_equal_brute_force(spark):
         got[r.class_id].add(r.doc_id)
         kept[r.class_id] += r.stays
     shingles = near_dedup.Shingles()
-    hashes = [shingles.hashes(t)[0] for t in texts]
-    cells = np.zeros(near_dedup.SKETCH, np.int64)
-    for h in hashes:
-        np.add.at(cells, near_dedup._cell(h), 1)
-    idf = near_dedup.idf_weights(cells, sum(1 for h in hashes if len(h)))
+    idf = true_factors(texts)
     weighted = [near_dedup.weighted(shingles, idf, t) for t in texts]
     root = list(range(len(texts)))
 
@@ -213,7 +218,7 @@ def test_near_duplicates_equal_brute_force(spark):
 
     for i in range(len(texts)):
         for j in range(i):
-            if near_dedup.similarity(weighted[i], weighted[j]) >= 0.8:
+            if near_dedup.weighted_jaccard(weighted[i], weighted[j]) >= 0.8:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     want = defaultdict(set)
@@ -223,6 +228,39 @@ def test_near_duplicates_equal_brute_force(spark):
     assert set(kept.values()) == {1}
 
 
+def test_factors_follow_true_document_frequencies(spark, monkeypatch):
+    """Many rare shingles beside frequent ones: a cell's load doesn't make a rare shingle frequent; also where
+    tasks can't hold their counts, and where fewer shingles may be frequent."""
+    rng = np.random.default_rng(8)
+    often = " ".join(f"often{i}" for i in range(60))
+    texts = [" ".join(rng.choice(100_000, 150).astype(str)) + (f" {often}" if i % 3 == 0 else "") for i in range(900)] + ["", "one"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for most in (near_dedup.MAX_FREQUENT, 1000):
+        monkeypatch.setattr(near_dedup, "MAX_FREQUENT", most)
+        got, want = near_dedup.idf_factors(df), true_factors(texts)
+        assert len(want.hashes) == 56 and (got.hashes == want.hashes).all() and np.allclose(got.factors, want.factors)
+        assert 1 < got.factors.max() < got.rare
+    probe = np.append(got.hashes[:3], np.uint64(12345))
+    assert np.allclose(got.of(probe), [*got.factors[:3], got.rare])
+
+
+def test_weights_decide_what_is_similar(spark):
+    """A pair alike by its frequent shingles alone, and one by its repeated ones: weighted and plain similarity differ."""
+    common = [f"c{i}" for i in range(90)]
+    filler = [" ".join([*common, *(f"f{g}x{i}" for i in range(60))]) for g in range(60)]
+    texts = filler + [" ".join([*common, *(f"{x}{i}" for i in range(9))]) for x in "ab"]  # plain 86 / 104
+    again = [f"r{i}" for i in range(40)]
+    texts += [" ".join([*again * 9, *(f"{x}{i}" for i in range(8))]) for x in "pq"]  # plain 40 / 64
+    of = [near_dedup.weighted(near_dedup.Shingles(), true_factors(texts), t) for t in texts[-4:]]
+    plain = [len(np.intersect1d(a[0], b[0])) / len(np.union1d(a[0], b[0])) for a, b in ((of[0], of[1]), (of[2], of[3]))]
+    real = [near_dedup.weighted_jaccard(of[0], of[1]), near_dedup.weighted_jaccard(of[2], of[3])]
+    assert plain[0] > real[0] and real[1] > plain[1]
+    assert plain[0] >= 0.8 and real[1] >= 0.8 > plain[1]
+    n = len(texts)
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert (got[n - 3] == n - 4) == (real[0] >= 0.8) and got[n - 1] == n - 2
+
+
 def test_samples_agree_as_often_as_similarity():
     sampler, rng = near_dedup.Sampler(bands=200, rows=1), np.random.default_rng(2)
     rates = []

@@ -5,6 +5,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 
+from tests.llm.test_text_operators import true_factors
 from tierkit.llm import near_dedup
 
 
@@ -18,8 +19,9 @@ def test_large_buckets_lose_no_link(spark):
         if g < 300:
             texts.append(" ".join(common + own[:6] + [f"h{g}x{i}" for i in range(14)]))
             want.add((len(texts) - 2, len(texts) - 1))
-    of = [near_dedup.weighted(near_dedup.Shingles(), np.ones(near_dedup.SKETCH, np.float32), t) for t in texts[:4]]
-    assert near_dedup.similarity(of[0], of[1]) > 0.82 and near_dedup.similarity(of[0], of[2]) < 0.77
+    idf = true_factors(texts)
+    of = [near_dedup.weighted(near_dedup.Shingles(), idf, t) for t in texts[:4]]
+    assert near_dedup.weighted_jaccard(of[0], of[1]) > near_dedup.THRESHOLD + 0.01 and near_dedup.weighted_jaccard(of[0], of[2]) < 0.77
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = defaultdict(list)
     for r in near_dedup.classes(df).collect():

@@ -2,12 +2,13 @@
 
 Shingles are five words in a row (lower case, split at ASCII white space; a
 shorter text with words is one shingle). A shingle weighs ``(1 + ln tf) * (1 + IDF_SHARE
-* idf)``, where idf runs from 1 (one document has it) to 0 (all have it), so
-boilerplate counts less while near copies of a large group, which make their own
-shingles frequent, stay close to each other. Document frequencies come from a
-sketch of fixed size: shingles are counted per document in ``SKETCH`` cells by
-hash, and the mean load of a cell is taken off each; it covers all documents at
-every size.
+* idf)``, where idf runs from 1 (at most ``FREQUENT`` of the documents have it) to 0 (all
+have it), by the logarithm of its document frequency, so boilerplate counts less while
+near copies of a large group, which make their own shingles frequent, stay close to each
+other. Document frequencies are true counts over all documents: a count-min sketch of
+fixed size rules out what can't be frequent, and the shingles that are left are counted
+exactly in a second pass. At most ``MAX_FREQUENT`` shingles can be frequent, whatever the
+table's size: where texts are so long that more could, the least count of a frequent one rises.
 
 Consistent weighted sampling draws for each of ``BANDS * ROWS`` samples one
 (shingle, level) pair such that two documents agree on a sample with a
@@ -20,8 +21,7 @@ similarity of 0.8, 99.96 % of pairs share one.
 
 Equal texts are collapsed first. In each bucket all members are compared with its
 most central one (whose buckets hold most texts), on their whole texts, by
-weighted Jaccard similarity, or by the plain similarity of the shingle sets where
-that is larger. Then buckets that still hold several classes: those of up to
+weighted Jaccard similarity. Then buckets that still hold several classes: those of up to
 ``SHARE`` members are compared whole. Larger ones that still hold several classes are finished
 exactly by a prefix filter: each text is listed under its rarest shingles, so many that
 two texts without a common one there can't reach the threshold, and all pairs of texts
@@ -49,10 +49,12 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 SHARE = 16  # members of a bucket up to which all are compared with each other
-SKETCH = 1 << 17
+SKETCH_ROWS, SKETCH_BITS = 2, 17  # cells: two to this power in each row
+FREQUENT = 0.01  # of the documents: a shingle in fewer weighs as a rare one
+MAX_FREQUENT = 1 << 20
 IDF_SHARE = 0.1
 STEP = 0.1  # of ln(weight) in sampling
-_LEVELS = 40
+_LEVELS = 40  # the last one is never reached: tf would have to be e to the 44th
 _CELLS = 1 << 16  # of the table of random numbers
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,33 +113,97 @@ def _slices(batches, rows: int = 512):
             yield b.slice(i, rows)
 
 
-def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+def _cell(hashes: np.ndarray, row: int = 0) -> np.ndarray:
+    """The cells of hashes in a row of the sketch: rows take different bits."""
+    shift = np.uint64(64 - SKETCH_BITS * (row + 1))
+    return ((hashes >> shift) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
 
-def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """For each cell of the sketch how many (document, shingle) pairs fall there; and the documents with words."""
+def sketch(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """How many (document, shingle) pairs fall into each cell, by row; and the documents with words."""
+    size = SKETCH_ROWS << SKETCH_BITS
+
     def tally(batches):
-        shingles, total, docs = Shingles(), np.zeros(SKETCH, np.int64), 0
+        shingles, total, docs = Shingles(), np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64), 0
         for b in _slices(batches):
             found = [shingles.hashes(t)[0] for t in b.column(0).to_pylist()]
             docs += sum(1 for f in found if len(f))
             if found:
-                total += np.bincount(_cell(np.concatenate(found)), minlength=SKETCH)
+                every = np.concatenate(found)
+                for row in range(SKETCH_ROWS):
+                    total[row] += np.bincount(_cell(every, row), minlength=1 << SKETCH_BITS)
+        total = total.ravel()
         at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], docs))], names=["cell", "n"])
+        yield pa.record_batch([pa.array(np.append(at, size)), pa.array(np.append(total[at], docs))], names=["cell", "n"])
 
     summed = texts.select("text").mapInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(SKETCH + 1, np.int64)
-    out[summed["cell"].to_numpy()] = summed["n"].to_numpy()  # -1: the last place
-    return out[:-1], int(out[-1])
+    out = np.zeros(size + 1, np.int64)
+    out[summed["cell"].to_numpy()] = summed["n"].to_numpy()
+    return out[:-1].reshape(SKETCH_ROWS, -1), int(out[-1])
+
+
+class Factors:
+    """What a shingle's idf multiplies its weight by: known shingles by their document frequency, others as rare ones."""
+
+    def __init__(self, hashes: np.ndarray, df: np.ndarray, docs: int, least: float):
+        at = np.argsort(hashes)
+        self.hashes, self.rare = hashes[at], np.float32(1 + IDF_SHARE)
+        span = np.log(max(docs, 1) / least)
+        idf = np.log(docs / df[at]) / span if span > 0 else np.ones(len(df))
+        self.factors = (1 + IDF_SHARE * idf).astype(np.float32)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), self.rare)
+        if len(self.hashes):
+            at = np.searchsorted(self.hashes, hashes).clip(max=len(self.hashes) - 1)
+            known = self.hashes[at] == hashes
+            out[known] = self.factors[at[known]]
+        return out
+
+
+def least_frequent(docs: int, pairs: int) -> float:
+    """The least document frequency of a frequent shingle, in a table of so many documents with words and
+    (document, shingle) pairs: at most ``MAX_FREQUENT`` shingles can have it."""
+    return max(FREQUENT * docs, pairs / MAX_FREQUENT, 1.0)
+
 
+def idf_factors(texts: DataFrame) -> Factors:
+    """The factors of a table's shingles, by the true document frequencies of the frequent ones."""
+    spark = texts.sparkSession
+    cells, docs = sketch(texts)
+    least = least_frequent(docs, int(cells[0].sum()))
+    maybe = spark.sparkContext.broadcast(cells >= least)
 
-def idf_weights(cells: np.ndarray, docs: int) -> np.ndarray:
-    """A shingle's factor by its cell."""
-    load = (cells.sum() - cells) / (len(cells) - 1)
-    df = np.clip(cells - load, 1, max(docs, 1))
-    return (1 + IDF_SHARE * (1 - np.log(df) / np.log(max(docs, 2)))).astype(np.float32)
+    def count(batches):
+        shingles, held, size = Shingles(), [], 0
+
+        def total():
+            u, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+            return u, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+
+        def rows(u, n):
+            return pa.record_batch([pa.array(u.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+
+        for b in _slices(batches):
+            found = [shingles.hashes(t)[0] for t in b.column(0).to_pylist()]
+            every = np.concatenate([np.zeros(0, np.uint64), *found])
+            for row in range(SKETCH_ROWS):
+                every = every[maybe.value[row][_cell(every, row)]]
+            held.append((every, np.ones(len(every))))
+            size += len(every)
+            if size > 1 << 20:
+                u, n = total()
+                if len(u) > 1 << 19:  # too many to hold: the shuffle adds up the rest
+                    yield rows(u, n)
+                    u, n = u[:0], n[:0]
+                held, size = [(u, n)], len(u)
+        if held:
+            yield rows(*total())
+
+    counted = texts.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    known = counted.where(F.col("n") >= F.lit(least)).toArrow()
+    maybe.destroy()
+    return Factors(known["shingle"].to_numpy().view(np.uint64), known["n"].to_numpy(), docs, least)
 
 
 class Sampler:
@@ -182,9 +248,9 @@ class Sampler:
         return key.astype(np.int64)
 
 
-def weighted(shingles: Shingles, idf: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
+def weighted(shingles: Shingles, idf: Factors, text: str) -> tuple[np.ndarray, np.ndarray]:
     h, tf = shingles.hashes(text)
-    return h, (1 + np.log(np.maximum(tf, 1))) * idf[_cell(h)]
+    return h, (1 + np.log(np.maximum(tf, 1))) * idf.of(h)
 
 
 def weighted_jaccard(a, b) -> float:
@@ -196,14 +262,6 @@ def weighted_jaccard(a, b) -> float:
     return float(both / (wa.sum() + wb.sum() - both))
 
 
-def similarity(a, b) -> float:
-    """The weighted Jaccard similarity, or the plain one of the shingle sets where that is larger: weights
-    must not part documents that share four fifths of their shingles, common as these may be."""
-    both = len(np.intersect1d(a[0], b[0], assume_unique=True))
-    plain = both / (len(a[0]) + len(b[0]) - both) if both else 0.0
-    return max(plain, weighted_jaccard(a, b))
-
-
 def _content(text) -> F.Column:
     return F.unhex(F.md5(text.cast("binary")))
 
@@ -227,7 +285,7 @@ def _signatures(rows: DataFrame, idf) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose similarity is ``threshold`` or more."""
+    """The pairs (a, b) whose weighted Jaccard similarity is ``threshold`` or more."""
     def compare(batches):
         shingles, last = Shingles(), {}
 
@@ -240,7 +298,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
         for b in _slices(batches):
             ia, ib, ta, tb = (b.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b"))
-            keep = [similarity(of(x, t), weighted(shingles, idf.value, u)) >= threshold
+            keep = [weighted_jaccard(of(x, t), weighted(shingles, idf.value, u)) >= threshold
                     for x, t, u in zip(ia, ta, tb, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))],
                                              names=["a", "b"])
@@ -279,13 +337,11 @@ def _candidates(placed: DataFrame) -> DataFrame:
 
 def listed_under(h: np.ndarray, w: np.ndarray, rarity: np.ndarray, threshold: float):
     """The rarest shingles of a text, without one of which in common no text is ``threshold`` similar to it; and
-    the count and the weight of its shingles from each of them on."""
+    the weight of its shingles from each of them on."""
     at = np.lexsort((h, rarity[_cell(h)]))
-    left = np.arange(len(h), 0, -1)
     heavy = np.cumsum(w[at][::-1])[::-1]
-    # a text with fewer common shingles than this, or less common weight, is not similar
-    n = max(int((left >= threshold * len(h) - 1e-6).sum()), int((heavy >= threshold * heavy[0] * (1 - 1e-6)).sum()))
-    return h[at[:n]], left[:n], heavy[:n]
+    n = int((heavy >= threshold * heavy[0] * (1 - 1e-6)).sum())  # with less common weight a text is not similar
+    return h[at[:n]], heavy[:n]
 
 
 def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -293,7 +349,7 @@ def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float
     all that may be similar."""
     wanted = _mixed(placed).select("id", "root").distinct()
     rows = saved(wanted.join(texts, "id").select("text", "id", "root"), "open-texts")
-    rarity = rows.sparkSession.sparkContext.broadcast(document_frequencies(rows)[0])
+    rarity = rows.sparkSession.sparkContext.broadcast(sketch(rows)[0][0])  # an order for all; its use is to meet seldom
 
     def index(batches):
         shingles = Shingles()
@@ -302,23 +358,20 @@ def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float
             for t in b.column(0).to_pylist():
                 h, w = weighted(shingles, idf.value, t)
                 found.append(listed_under(h, w, rarity.value, threshold))
-                sums.append((len(h), w.sum()))
+                sums.append(w.sum())
             many = [len(f[0]) for f in found]
             far = lambda x: pa.array(np.repeat(np.asarray(x), many))
             yield pa.record_batch(
                 [pa.array(np.concatenate([f[0] for f in found]).view(np.int64)), far(b.column(1).to_numpy()), far(b.column(2).to_numpy()),
-                 far([x[0] for x in sums]), pa.array(np.concatenate([f[1] for f in found])),
-                 far([x[1] for x in sums]), pa.array(np.concatenate([f[2] for f in found]))],
-                names=["shingle", "id", "root", "n", "left", "w", "heavy"])
+                 far(sums), pa.array(np.concatenate([f[1] for f in found]))], names=["shingle", "id", "root", "w", "heavy"])
 
-    listed = saved(rows.mapInArrow(index, "shingle long, id long, root long, n long, left long, w double, heavy double"), "listed")
+    listed = saved(rows.mapInArrow(index, "shingle long, id long, root long, w double, heavy double"), "listed")
     rarity.destroy()
-    t = threshold / (1 + threshold) * (1 - 1e-6)  # of the sum of two sizes: the least common part
-    may = (F.least("left", "left_b") >= t * (F.col("n") + F.col("n_b"))) | (
-        F.least("heavy", "heavy_b") >= t * (F.col("w") + F.col("w_b")))
-    sums = ("n", "left", "w", "heavy")
+    t = threshold / (1 + threshold) * (1 - 1e-6)  # of the sum of two weights: the least common part
+    may = F.least("heavy", "heavy_b") >= t * (F.col("w") + F.col("w_b"))
+    sums = ("w", "heavy")
     # classes meet before their members do, by their best figures: members of one class are never paired
-    held = listed.groupBy("shingle", "root").agg(*[(F.min if c in ("n", "w") else F.max)(c).alias(c) for c in sums])
+    held = listed.groupBy("shingle", "root").agg(F.min("w").alias("w"), F.max("heavy").alias("heavy"))
     several = held.groupBy("shingle").agg(F.count("*").alias("classes")).where("classes > 1").select("shingle")
     met = saved(held.join(several, "shingle"), "met-classes")
     roots = met.join(met.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("root", *sums)]), "shingle").where(
@@ -336,8 +389,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ship_package(spark)
     text = whole_text()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), _content(text).alias("content"))
-    cells, n = document_frequencies(rows)
-    idf = spark.sparkContext.broadcast(idf_weights(cells, n))
+    idf = spark.sparkContext.broadcast(idf_factors(rows))
     signed = saved(_signatures(rows, idf).select(F.monotonically_increasing_id().alias("row"), "*"), "signatures")
     # one row per distinct text, numbered; the number of a written row doesn't change
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
