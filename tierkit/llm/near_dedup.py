@@ -21,7 +21,9 @@ similarity of 0.8, 99.96 % of pairs share one.
 
 Equal texts are collapsed first. In each bucket all members are compared with its
 most central one (whose buckets hold most texts), on their whole texts, by
-weighted Jaccard similarity. Then buckets that still hold several classes: those of up to
+weighted Jaccard similarity, or by the plain similarity of the shingle sets where
+that is larger: in a large group of near copies the common shingles are frequent and weigh
+less, so by weights alone some of its documents would stay outside. Then buckets that still hold several classes: those of up to
 ``SHARE`` members are compared whole. Larger ones that still hold several classes are finished
 exactly by a prefix filter: each text is listed under its rarest shingles, so many that
 two texts without a common one there can't reach the threshold, and all pairs of texts
@@ -262,6 +264,14 @@ def weighted_jaccard(a, b) -> float:
     return float(both / (wa.sum() + wb.sum() - both))
 
 
+def similarity(a, b) -> float:
+    """The weighted Jaccard similarity, or the plain one of the shingle sets where that is larger: weights
+    must not part documents that share four fifths of their shingles, common as these may be."""
+    both = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    plain = both / (len(a[0]) + len(b[0]) - both) if both else 0.0
+    return max(plain, weighted_jaccard(a, b))
+
+
 def _content(text) -> F.Column:
     return F.unhex(F.md5(text.cast("binary")))
 
@@ -285,7 +295,7 @@ def _signatures(rows: DataFrame, idf) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity is ``threshold`` or more."""
+    """The pairs (a, b) whose similarity is ``threshold`` or more."""
     def compare(batches):
         shingles, last = Shingles(), {}
 
@@ -298,7 +308,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
         for b in _slices(batches):
             ia, ib, ta, tb = (b.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b"))
-            keep = [weighted_jaccard(of(x, t), weighted(shingles, idf.value, u)) >= threshold
+            keep = [similarity(of(x, t), weighted(shingles, idf.value, u)) >= threshold
                     for x, t, u in zip(ia, ta, tb, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(keep)), b.column("b").filter(pa.array(keep))],
                                              names=["a", "b"])
@@ -337,11 +347,13 @@ def _candidates(placed: DataFrame) -> DataFrame:
 
 def listed_under(h: np.ndarray, w: np.ndarray, rarity: np.ndarray, threshold: float):
     """The rarest shingles of a text, without one of which in common no text is ``threshold`` similar to it; and
-    the weight of its shingles from each of them on."""
+    the count and the weight of its shingles from each of them on."""
     at = np.lexsort((h, rarity[_cell(h)]))
+    left = np.arange(len(h), 0, -1)
     heavy = np.cumsum(w[at][::-1])[::-1]
-    n = int((heavy >= threshold * heavy[0] * (1 - 1e-6)).sum())  # with less common weight a text is not similar
-    return h[at[:n]], heavy[:n]
+    # a text with fewer common shingles than this, or less common weight, is not similar
+    n = max(int((left >= threshold * len(h) - 1e-6).sum()), int((heavy >= threshold * heavy[0] * (1 - 1e-6)).sum()))
+    return h[at[:n]], left[:n], heavy[:n]
 
 
 def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -358,20 +370,23 @@ def _exact_candidates(placed: DataFrame, texts: DataFrame, idf, threshold: float
             for t in b.column(0).to_pylist():
                 h, w = weighted(shingles, idf.value, t)
                 found.append(listed_under(h, w, rarity.value, threshold))
-                sums.append(w.sum())
+                sums.append((len(h), w.sum()))
             many = [len(f[0]) for f in found]
             far = lambda x: pa.array(np.repeat(np.asarray(x), many))
             yield pa.record_batch(
                 [pa.array(np.concatenate([f[0] for f in found]).view(np.int64)), far(b.column(1).to_numpy()), far(b.column(2).to_numpy()),
-                 far(sums), pa.array(np.concatenate([f[1] for f in found]))], names=["shingle", "id", "root", "w", "heavy"])
+                 far([x[0] for x in sums]), pa.array(np.concatenate([f[1] for f in found])),
+                 far([x[1] for x in sums]), pa.array(np.concatenate([f[2] for f in found]))],
+                names=["shingle", "id", "root", "n", "left", "w", "heavy"])
 
-    listed = saved(rows.mapInArrow(index, "shingle long, id long, root long, w double, heavy double"), "listed")
+    listed = saved(rows.mapInArrow(index, "shingle long, id long, root long, n long, left long, w double, heavy double"), "listed")
     rarity.destroy()
-    t = threshold / (1 + threshold) * (1 - 1e-6)  # of the sum of two weights: the least common part
-    may = F.least("heavy", "heavy_b") >= t * (F.col("w") + F.col("w_b"))
-    sums = ("w", "heavy")
+    t = threshold / (1 + threshold) * (1 - 1e-6)  # of the sum of two sizes: the least common part
+    may = (F.least("left", "left_b") >= t * (F.col("n") + F.col("n_b"))) | (
+        F.least("heavy", "heavy_b") >= t * (F.col("w") + F.col("w_b")))
+    sums = ("n", "left", "w", "heavy")
     # classes meet before their members do, by their best figures: members of one class are never paired
-    held = listed.groupBy("shingle", "root").agg(F.min("w").alias("w"), F.max("heavy").alias("heavy"))
+    held = listed.groupBy("shingle", "root").agg(*[(F.min if c in ("n", "w") else F.max)(c).alias(c) for c in sums])
     several = held.groupBy("shingle").agg(F.count("*").alias("classes")).where("classes > 1").select("shingle")
     met = saved(held.join(several, "shingle"), "met-classes")
     roots = met.join(met.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("root", *sums)]), "shingle").where(
