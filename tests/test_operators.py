@@ -202,6 +202,36 @@ def test_cluster_layout_files_do_not_overlap(spark, tmpdir_path):
     assert overlapping_files(read_table(spark, q), ["a", "b"]).first()["overlapping_files"] == 3
 
 
+def test_ranges_grow_with_rows(spark, tmpdir_path, monkeypatch):
+    """A task sorts a range: the query's eight files are the fewest, not all there may be."""
+    from tierkit import workloads
+    from tierkit.sinks import layout
+
+    rows = spark.range(3000).select(
+        (F.col("id") % 3).cast("string").alias("l_returnflag"), F.when(F.col("id") % 5 > 0, "O").alias("l_linestatus"),
+        F.col("id").alias("l_orderkey"), (F.col("id") % 200).alias("l_partkey"))
+    rows.write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    assert workloads.q_cluster_file_ranges(spark, tmpdir_path).first() == (3000, 0)
+    monkeypatch.setattr(layout, "RANGE_ROWS", 100)
+    assert workloads.q_cluster_file_ranges(spark, tmpdir_path).first() == (3000, 0)
+    for min_files in (1, 8):
+        back = workloads._clustered_lineitem(spark, tmpdir_path, min_files=min_files)
+        ranges = file_ranges(back, workloads.CLUSTER_KEYS).collect()
+        assert len(ranges) > 20 and max(r.rows for r in ranges) < 300
+        assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_file_ranges_sort_no_rows(spark, tmpdir_path):
+    df = spark.createDataFrame([(None, 1, 1), ("a", None, 2), ("a", 2, 3), ("b", 1, 4)], "file string, key int, v int")
+    overwrite_table(df.coalesce(1), tmpdir_path + "/t")
+    ranges = file_ranges(read_table(spark, tmpdir_path + "/t"), ["file", "key"])
+    assert [tuple(r)[1:] for r in ranges.collect()] == [(4, (None, 1), ("b", 1))]
+    plan = ranges._jdf.queryExecution().sparkPlan().toString()
+    scan = plan.index("FileScan")
+    lowest = max((i, op) for op in ("HashAggregate", "SortAggregate") for i in [plan.rfind(op, 0, scan)])[1]
+    assert lowest == "HashAggregate"  # rows of the scan; a sort sees one row per file and tuple
+
+
 def test_literal_rows_and_pandas(spark):
     from tierkit.sources.tables import literal_rows
 
