@@ -134,6 +134,36 @@ def test_fold_arrow_kernel_slices(monkeypatch):
     assert T.fold_text_arrow(pa.array(xs).slice(7)).to_pylist() == exp[7:]
 
 
+def test_fold_queries_send_small_batches(spark, tmpdir_path):
+    """Whole texts go to the workers, few at a time: their memory doesn't grow with rows or their length."""
+    from tierkit import workloads
+    from tierkit.session import ARROW_BATCH_BYTES
+
+    texts = ["Côte " * 100_000, None, "", "a_-_b"] * 6  # 600,000 bytes each, the long ones
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(
+        f"{tmpdir_path}/documents.parquet")
+    for query in (workloads.q_fold_slug, workloads.q_fold_slug_sql):
+        df = query(spark, tmpdir_path)
+        assert {r.doc_id: r.text_fold for r in df.collect()} == {i: T.fold_text(t) for i, t in enumerate(texts)}
+        size = df.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+        assert int(size.rstrip("b")) == ARROW_BATCH_BYTES <= 4 * 1024 * 1024
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b") == str(64 * 1024 * 1024)
+
+
+def test_fold_kernel_temporaries_stay_small():
+    """Texts that lose most bytes: what the kernel holds beside them is a small part of them."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    arr = pa.array(["한국어 日本 é" * 150] * 4000)
+    tracemalloc.start()
+    T.fold_text_arrow(arr)
+    most = tracemalloc.get_traced_memory()[1]  # numpy's share
+    tracemalloc.stop()
+    assert most < arr.nbytes * 3
+
+
 def test_fold_udf_code_travels_by_value(tmp_path):
     # a Python worker started anywhere (no tierkit on its path) can run the UDF body
     import subprocess

@@ -35,7 +35,7 @@ from tierkit.plans.flows import Enrichment, GoldConfig, SilverConfig, bronze_to_
     land_snapshot, run_all, silver_to_gold as run_gold
 from tierkit.plans.statements import gold_statement, silver_statement
 from tierkit.plans.watermark import effective_watermark, read_watermark, write_watermark
-from tierkit.session import scratch_path
+from tierkit.session import job_session, scratch_path
 from tierkit.sinks.commits import COMMIT_SCHEMA, commits_path
 from tierkit.sinks.files import export_csv, land_json, overwrite_table
 from tierkit.sinks.layout import cluster_layout, overlapping_files, rows_scanned
@@ -302,13 +302,14 @@ def q_slug(spark, sf_dir):
 
 
 def q_fold_slug(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(job_session(spark, None), sf_dir, "documents")
     return d.select("doc_id", T.fold_slug("text").alias("text_fold"))
 
 
 def q_fold_slug_sql(spark, sf_dir):
-    T.register_fold_udf(spark, "fold_slug")
-    return _viewed(spark, table(spark, sf_dir, "documents"),
+    job = job_session(spark, None)
+    T.register_fold_udf(job, "fold_slug")
+    return _viewed(job, table(job, sf_dir, "documents"),
                    lambda v: f"SELECT doc_id, fold_slug(text) AS text_fold FROM {v}", {})
 
 
